@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from hackney.functions.text import literal
 
 # Report labels.
 PAYMENT_LABELS = {1: "Credit Card", 2: "Cash", 3: "No Charge", 4: "Dispute"}
@@ -27,38 +26,38 @@ OFF_PEAK = "Off-Peak"
 WEEKEND, WEEKDAY = "Weekend", "Weekday"
 VENDOR_LABELS = {1: "Creative Mobile Technologies", 2: "VeriFone Inc."}
 VENDOR_OTHER = "Unknown"
-MONTH_NAMES = (
-    "Jan", "Feb", "Mar", "Apr", "May", "Jun",
-    "Jul", "Aug", "Sep", "Oct", "Nov", "Dec",
-)
+MONTH_NAMES = "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()
 
 
-def label_of(code: Column, labels: Mapping[int, str], other: str) -> Column:
-    items = [F.lit(x) for pair in labels.items() for x in pair]
-    return F.coalesce(F.try_element_at(F.create_map(*items), code), F.lit(other))
+def label_of(code: str, labels: Mapping[int, str], other: str) -> str:
+    cases = " ".join(f"WHEN {key} THEN {literal(label)}" for key, label in labels.items())
+    return f"CASE {code} {cases} ELSE {literal(other)} END"
 
 
-def payment_label(code: Column) -> Column:
+def payment_label(code: str) -> str:
     return label_of(code, PAYMENT_LABELS, PAYMENT_OTHER)
 
 
-def rate_code_label(code: Column) -> Column:
-    return label_of(code.try_cast("int"), RATE_CODE_LABELS, RATE_CODE_OTHER)
+def rate_code_label(code: str) -> str:
+    return label_of(f"try_cast({code} AS int)", RATE_CODE_LABELS, RATE_CODE_OTHER)
 
 
-def vendor_label(code: Column, labels: Mapping[int, str] = VENDOR_LABELS) -> Column:
+def vendor_label(code: str, labels: Mapping[int, str] = VENDOR_LABELS) -> str:
     return label_of(code, labels, VENDOR_OTHER)
 
 
-def day_type(weekend: Column) -> Column:
-    return F.when(weekend == 1, F.lit(WEEKEND)).otherwise(F.lit(WEEKDAY))
+def day_type(weekend: str) -> str:
+    return label_of(weekend, {1: WEEKEND}, WEEKDAY)
 
 
-def time_period(hour: Column) -> Column:
-    names = [F.when(hour.between(*span), F.lit(name)) for name, span in PEAK_PERIODS.items()]
-    return F.coalesce(*names, F.lit(OFF_PEAK))
+def time_period(hour: str) -> str:
+    cases = " ".join(
+        f"WHEN {hour} BETWEEN {first} AND {last} THEN {literal(name)}"
+        for name, (first, last) in PEAK_PERIODS.items()
+    )
+    return f"CASE {cases} ELSE {literal(OFF_PEAK)} END"
 
 
-def month_label(year: Column, month: Column) -> Column:
-    name = F.try_element_at(F.array(*map(F.lit, MONTH_NAMES)), month)
-    return F.concat_ws(" ", name, year.cast("string"))
+def month_label(year: str, month: str) -> str:
+    name = label_of(month, dict(enumerate(MONTH_NAMES, start=1)), "")
+    return f"concat({name}, ' ', CAST({year} AS string))"

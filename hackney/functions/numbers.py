@@ -2,60 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from hackney.functions.text import strip
 
 # Texts (any case) that a forgiving parse reads as zero.
 MISSING_TEXTS = ("", "null", "na", "nan")
 
 
-def round_half_even(value: Column, digits: int = 2) -> Column:
-    scale = float(10**digits)
-    return F.rint(value * scale) / scale
+def round_half_even(value: str, digits: int = 2) -> str:
+    scale = f"1e{digits}D"
+    return f"(rint(({value}) * {scale}) / {scale})"
 
 
-def to_number(value: Column) -> Column:
-    """A double, or null where the value is not a number."""
-    number = value.try_cast("double")
-    return F.when(~F.isnan(number), number)
+def number(value: str) -> str:
+    return f"try_cast({value} AS double)"
 
 
-def lenient_double(text: Column) -> Column:
+def lenient_double(text: str) -> str:
     """Missing markers, NaN and infinities become 0.0; other junk becomes null.
 
     A null result marks a record to skip, so it must not be averaged over.
     """
-    word = strip(F.coalesce(text, F.lit("")))
-    marked = F.when(F.lower(word).isin(*MISSING_TEXTS), F.lit(0.0))
-    number = F.coalesce(word.try_cast("double"), marked)
+    word = strip(f"coalesce({text}, '')")
+    missing = ", ".join(f"'{marker}'" for marker in MISSING_TEXTS)
+    parsed = f"coalesce({number(word)}, CASE WHEN lower({word}) IN ({missing}) THEN 0D END)"
     # Adding 0 * x keeps finite numbers and turns infinities into NaN, so one
     # parse serves the usual case. The cast also takes spellings such as `inf`;
     # only `Infinity` is a number.
-    loose = word.rlike("(?i)inf") & ~word.rlike("^[+-]?Infinity$")
-    return F.nanvl(number + number * 0.0, F.when(~loose, F.lit(0.0)))
+    loose = f"({word} RLIKE '(?i)inf' AND NOT {word} RLIKE '^[+-]?Infinity$')"
+    return f"nanvl({parsed} + {parsed} * 0D, CASE WHEN NOT {loose} THEN 0D END)"
 
 
-def zero_filled(value: Column) -> Column:
+def zero_filled(value: str) -> str:
     """The typed counterpart of `lenient_double`: null, NaN, infinite -> 0.0."""
-    number = value.cast("double")
-    return F.when(F.abs(number) < float("inf"), number).otherwise(F.lit(0.0))
+    cast = f"CAST({value} AS double)"
+    return f"coalesce(nanvl({cast} + {cast} * 0D, 0D), 0D)"
 
 
-def strict_int(text: Column) -> Column:
+def strict_int(text: str) -> str:
     """Whole numbers only: `5` parses, `5.0` gives null."""
-    return strip(text).try_cast("int")
+    return f"try_cast({strip(text)} AS int)"
 
 
-def truncated_int(value: Column) -> Column:
+def truncated_int(value: str) -> str:
     """Text or number to int through double, cutting the fraction."""
-    return value.try_cast("double").try_cast("int")
+    return f"try_cast({number(value)} AS int)"
 
 
-def percent(part: Column, whole: Column) -> Column:
-    return F.try_divide(part, whole) * 100.0
+def percent(part: str, whole: str) -> str:
+    return f"(try_divide({part}, {whole}) * 100D)"
 
 
-def percent_or_zero(part: Column, whole: Column) -> Column:
-    return F.when(whole > 0, F.try_divide(part, whole) * 100.0).otherwise(F.lit(0.0))
+def percent_or_zero(part: str, whole: str) -> str:
+    return f"CASE WHEN {whole} > 0 THEN {percent(part, whole)} ELSE 0D END"

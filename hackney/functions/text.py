@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+# Every control character up to and including the space, as SQL escapes.
+BLANKS = "".join(f"\\u{code:04x}" for code in range(0x21))
 
-# Every control character up to and including the space.
-BLANKS = "".join(map(chr, range(0x21)))
 
+def strip(text: str) -> str:
+    return f"trim(BOTH '{BLANKS}' FROM {text})"
 
-def strip(text: Column) -> Column:
-    return F.btrim(text, F.lit(BLANKS))
+
+def literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"

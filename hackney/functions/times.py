@@ -6,36 +6,32 @@ that would pass through the session time zone and shift daylight-saving gaps.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def to_time(value: str) -> str:
+    return f"try_cast({value} AS timestamp_ntz)"
 
-def to_time(value: Column) -> Column:
-    return value.try_cast("timestamp_ntz")
 
+def minutes_between(start: str, end: str) -> str:
+    return f"(timestampdiff(MICROSECOND, {start}, {end}) / 1e6D / 60D)"
 
-def minutes_between(start: Column, end: Column) -> Column:
-    micros = F.timestamp_diff("MICROSECOND", start, end)
-    return micros / F.lit(1e6) / F.lit(60.0)
 
-
-def time_text(value: Column) -> Column:
+def time_text(value: str) -> str:
     """`yyyy-MM-dd HH:mm:ss`"""
-    return F.substring(value.cast("string"), 1, 19)
+    return f"substring(CAST({value} AS string), 1, 19)"
 
 
-def compact_time(value: Column) -> Column:
+def compact_time(value: str) -> str:
     """`yyyyMMddHHmmss`"""
-    return F.translate(time_text(value), "- :", "")
+    return f"translate({time_text(value)}, '- :', '')"
 
 
-def day_text(value: Column) -> Column:
-    return value.cast("date").cast("string")
+def day_text(value: str) -> str:
+    return f"CAST(CAST({value} AS date) AS string)"
 
 
-def day_name(value: Column) -> Column:
-    return F.date_format(value.cast("date"), "EEEE")
+def day_name(value: str) -> str:
+    return f"date_format(CAST({value} AS date), 'EEEE')"
 
 
-def is_weekend(value: Column) -> Column:
-    return F.weekday(value).isin(5, 6).cast("int")
+def is_weekend(value: str) -> str:
+    return f"CAST(weekday({value}) IN (5, 6) AS int)"

@@ -11,24 +11,27 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hackney.functions import numbers, times, trips
-from hackney.operators.features import with_features
+from hackney.functions import times, trips
+from hackney.functions.numbers import number, truncated_int
+from hackney.functions.rows import inline_rows
+from hackney.functions.text import literal
+from hackney.operators.features import with_columns, with_features
 from hackney.schema import GEO_COLUMNS, MONEY_COLUMNS, TIME_COLUMNS
 
 # Limits of the cleaning rules.
-MIN_MINUTES, MAX_MINUTES = 1.0, 180.0
+MIN_MINUTES, MAX_MINUTES = "1D", "180D"
 MIN_PASSENGERS, MAX_PASSENGERS = 1, 6
-MAX_MILES = 100.0
+MAX_MILES = "100D"
 VENDORS = (1, 2)
 RATE_CODES = (1, 6)
 FLAGS = ("Y", "N")
 LATITUDES = (40.40, 41.10)
 LONGITUDES = (-74.35, -73.60)
 MAX_TOTAL = 500.0
-MAX_SPEED = 80.0
+MAX_SPEED = "80D"
 
 # Step names of the removal report.
 DUPLICATES_STEP = "Drop duplicate rows"
@@ -44,78 +47,74 @@ ZONES_STEP = "Drop rows with missing PULocationID/DOLocationID"
 MONEY_STEP = "Keep non-negative fare/money fields (total_amount <= {max_total:g})"
 SPEED_STEP = "Keep 0 < avg_speed_mph <= 80"
 
+INFINITY = "double('infinity')"
+
 # The documented spelling; data files spell it `RatecodeID`.
 RATE_CODE_COLUMN = "RateCodeID"
 
 
 class Rule(NamedTuple):
     step: str
-    keep: Column
-
-
-def _number(name: str) -> Column:
-    return F.col(name).try_cast("double")
+    keep: str
 
 
-def valid_times() -> Column:
-    parsed = [times.to_time(F.col(name)) for name in TIME_COLUMNS]
-    return parsed[0].isNotNull() & parsed[1].isNotNull()
+def valid_times() -> str:
+    return " AND ".join(f"{times.to_time(name)} IS NOT NULL" for name in TIME_COLUMNS)
 
 
-def valid_duration() -> Column:
-    return trips.raw_duration().between(MIN_MINUTES, MAX_MINUTES)
+def valid_duration() -> str:
+    return f"{trips.raw_duration()} BETWEEN {MIN_MINUTES} AND {MAX_MINUTES}"
 
 
-def valid_passengers() -> Column:
+def valid_passengers() -> str:
     # Counts are cut to whole numbers, so 6.9 still reads as 6.
-    count = _number("passenger_count")
-    return (count >= float(MIN_PASSENGERS)) & (count < float(MAX_PASSENGERS + 1))
+    count = number("passenger_count")
+    return f"{count} >= {MIN_PASSENGERS}D AND {count} < {MAX_PASSENGERS + 1}D"
 
 
-def valid_distance() -> Column:
-    miles = _number("trip_distance")
-    return (miles > 0.0) & (miles <= MAX_MILES)
+def valid_distance() -> str:
+    miles = number("trip_distance")
+    return f"{miles} > 0D AND {miles} <= {MAX_MILES}"
 
 
-def valid_vendor() -> Column:
-    return F.col("VendorID").isin(*VENDORS)
+def valid_vendor() -> str:
+    return f"VendorID IN {VENDORS}"
 
 
-def valid_rate_code(column: str = RATE_CODE_COLUMN) -> Column:
+def valid_rate_code(column: str = RATE_CODE_COLUMN) -> str:
     low, high = RATE_CODES
-    code = _number(column)
-    return (code >= float(low)) & (code < float(high + 1))
+    code = number(column)
+    return f"{code} >= {low}D AND {code} < {high + 1}D"
 
 
-def valid_flag() -> Column:
-    return trips.flag_letter(F.col("store_and_fwd_flag")).isin(*FLAGS)
+def valid_flag() -> str:
+    return f"{trips.flag_letter('store_and_fwd_flag')} IN {FLAGS}"
 
 
-def valid_coordinates() -> Column:
-    keep = F.lit(True)
-    for end in ("pickup", "dropoff"):
-        # The box leaves out (0, 0), the mark of a missing satellite fix.
-        keep &= _number(f"{end}_latitude").between(*LATITUDES)
-        keep &= _number(f"{end}_longitude").between(*LONGITUDES)
-    return keep
+def valid_coordinates() -> str:
+    # The box leaves out (0, 0), the mark of a missing satellite fix.
+    return " AND ".join(
+        f"{number(f'{end}_{axis}')} BETWEEN {low}D AND {high}D"
+        for end in ("pickup", "dropoff")
+        for axis, (low, high) in {"latitude": LATITUDES, "longitude": LONGITUDES}.items()
+    )
 
 
-def valid_zones() -> Column:
-    return F.col("PULocationID").isNotNull() & F.col("DOLocationID").isNotNull()
+def valid_zones() -> str:
+    return "PULocationID IS NOT NULL AND DOLocationID IS NOT NULL"
 
 
-def valid_money(columns: Sequence[str] = MONEY_COLUMNS, max_total: float = MAX_TOTAL) -> Column:
-    keep = F.lit(True)
-    for name in columns:
-        # NaN sorts above infinity, so the upper bound turns it away.
-        high = max_total if name == "total_amount" else float("inf")
-        keep &= _number(name).between(0.0, high)
-    return keep
+def valid_money(columns: Sequence[str] = MONEY_COLUMNS, max_total: float = MAX_TOTAL) -> str:
+    # NaN sorts above infinity, so the upper bound turns it away.
+    bounds = {"total_amount": f"{float(max_total)}D"}
+    return " AND ".join(
+        f"{number(name)} BETWEEN 0D AND {bounds.get(name, INFINITY)}" for name in columns
+    )
 
 
-def valid_speed() -> Column:
-    speed = trips.trip_speed(_number("trip_distance"), trips.trip_duration())
-    return (speed > 0.0) & (speed <= MAX_SPEED)
+def valid_speed() -> str:
+    speed = trips.trip_speed(number("trip_distance"), trips.trip_duration())
+    return f"{speed} > 0D AND {speed} <= {MAX_SPEED}"
 
 
 def row_rules(
@@ -127,7 +126,7 @@ def row_rules(
     for the documented spelling, or when asked for.
     """
     present = set(columns)
-    everything = F.lit(True)
+    everything = "true"
     folded = {name.lower(): name for name in columns}
     rate_column = folded.get(RATE_CODE_COLUMN.lower())
     rate_on = RATE_CODE_COLUMN in present or (apply_ratecode_rule and rate_column is not None)
@@ -153,19 +152,16 @@ def row_rules(
 
 def normalized(frame: DataFrame) -> DataFrame:
     """Column rewrites of the rules: parsed times, whole counts, upper-case flags."""
-    present = frame.columns
-    rewrites = {name: times.to_time(F.col(name)) for name in TIME_COLUMNS}
-    if "passenger_count" in present:
-        rewrites["passenger_count"] = numbers.truncated_int(F.col("passenger_count"))
-    if "store_and_fwd_flag" in present:
-        rewrites["store_and_fwd_flag"] = trips.flag_letter(F.col("store_and_fwd_flag"))
-    if RATE_CODE_COLUMN in present:
-        rewrites[RATE_CODE_COLUMN] = numbers.truncated_int(F.col(RATE_CODE_COLUMN))
-    measures = [*MONEY_COLUMNS, "trip_distance"]
-    if set(GEO_COLUMNS).issubset(present):
-        measures += GEO_COLUMNS
-    rewrites |= {name: _number(name) for name in measures if name in present}
-    return frame.withColumns(rewrites)
+    rewrites = {name: times.to_time(name) for name in TIME_COLUMNS}
+    rewrites |= {
+        name: number(name) for name in ("trip_distance", *GEO_COLUMNS, *MONEY_COLUMNS)
+    }
+    rewrites |= {
+        "passenger_count": truncated_int("passenger_count"),
+        "store_and_fwd_flag": trips.flag_letter("store_and_fwd_flag"),
+        RATE_CODE_COLUMN: truncated_int(RATE_CODE_COLUMN),
+    }
+    return with_columns(frame, {c: rewrites[c] for c in frame.columns if c in rewrites})
 
 
 def drop_copies(frame: DataFrame) -> DataFrame:
@@ -177,12 +173,8 @@ def clean_trips(
 ) -> DataFrame:
     """Rows that pass every rule, without copies, with the derived columns."""
     rules = row_rules(raw.columns, apply_ratecode_rule=apply_ratecode_rule, max_total=max_total)
-    keep = F.lit(True)
-    for rule in rules:
-        keep &= rule.keep
-    return (
-        raw.where(keep).transform(drop_copies).transform(normalized).transform(with_features)
-    )
+    keep = " AND ".join(f"({rule.keep})" for rule in rules)
+    return with_features(normalized(drop_copies(raw.where(keep))))
 
 
 def removal_report(
@@ -195,32 +187,21 @@ def removal_report(
     first rule it fails, and all counts come out of one global aggregate.
     """
     rules = row_rules(raw.columns, apply_ratecode_rule=apply_ratecode_rule, max_total=max_total)
-    first_failed = F.coalesce(
-        *[F.when(~F.coalesce(r.keep, F.lit(False)), F.lit(i)) for i, r in enumerate(rules)],
-        F.lit(len(rules)),
-    )
-    distinct = raw.groupBy(*[F.col(f"`{c}`") for c in raw.columns]).agg(F.count("*").alias("copies"))
-    charged = distinct.select("copies", first_failed.alias("first_failed"))
-    totals = charged.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("raw"),
-        F.count("*").alias("left_0"),
-        *[F.count_if(F.col("first_failed") > i).alias(f"left_{i + 1}") for i in range(len(rules))],
-    )
+    # A rule that gives null fails too.
+    cases = " ".join(f"WHEN ({r.keep}) IS NOT TRUE THEN {i}" for i, r in enumerate(rules))
+    columns = [f"`{c}`" for c in raw.columns]
+    distinct = raw.groupBy(*columns).agg(F.count("*").alias("copies"))
+    charged = distinct.selectExpr("copies", f"CASE {cases} ELSE {len(rules)} END AS first_failed")
+    lefts = [f"count_if(first_failed > {i}) AS left_{i + 1}" for i in range(len(rules))]
+    totals = charged.selectExpr("coalesce(sum(copies), 0) AS raw", "count(*) AS left_0", *lefts)
     names = [DUPLICATES_STEP, *(r.step for r in rules)]
     counts = ["raw", *(f"left_{i}" for i in range(len(names)))]
     steps = [
-        F.struct(
-            F.lit(number).alias("step"),
-            F.lit(name).alias("cleaning_step"),
-            (F.col(before) - F.col(after)).alias("rows_removed"),
-            F.col(after).alias("rows_remaining"),
-        )
-        for number, (name, before, after) in enumerate(zip(names, counts, counts[1:]), start=1)
+        (name, f"{before} - {after}", after) for name, before, after in zip(names, counts, counts[1:])
     ]
-    total = F.struct(
-        F.lit(len(names) + 1).alias("step"),
-        F.lit("TOTAL").alias("cleaning_step"),
-        (F.col("raw") - F.col(counts[-1])).alias("rows_removed"),
-        F.col(counts[-1]).alias("rows_remaining"),
-    )
-    return totals.select(F.inline(F.array(*steps, total)))
+    steps.append(("TOTAL", f"raw - {counts[-1]}", counts[-1]))
+    rows = [
+        {"step": str(step), "cleaning_step": literal(name), "rows_removed": gone, "rows_remaining": left}
+        for step, (name, gone, left) in enumerate(steps, start=1)
+    ]
+    return totals.selectExpr(inline_rows(rows))

@@ -9,15 +9,20 @@ as one row per task.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from hackney.functions import numbers, trips
+from hackney.functions.numbers import (
+    lenient_double,
+    percent_or_zero,
+    strict_int,
+    zero_filled,
+)
+from hackney.functions.rows import inline_rows
 from hackney.functions.text import strip
-from hackney.sources.delimited import field
+from hackney.functions.trips import hour_key, tip_key
 
 SKIPPED = "skipped"
 
@@ -45,147 +50,141 @@ TIP_PAYMENTS = (1, 2)
 HOUR_PERCENTS = ("tip_percentage",)
 TIP_PERCENTS = ("avg_tip_pct", "zero_tip_rate")
 
+_PAYMENT_FIELD = "coalesce(payment_type, '')"
+_ZONE = strip("coalesce(PULocationID, '')")
+_HOUR_TEXT = strip("coalesce(pickup_hour, '')")
+_HOUR = strict_int("pickup_hour")
+_PAYMENT_TEXT = f"lower({strip(_PAYMENT_FIELD)})"
+_PAYMENT = strict_int("payment_type")
 
-def _measures(names: tuple[str, ...], read: Callable[[str], Column]) -> list[Column]:
-    return [read(name).alias(name) for name in names]
-
-
-def _from_text(name: str) -> Column:
-    return numbers.lenient_double(field(name))
+# Lines that belong to a report, readable or not.
+_IN_ZONE_JOB = f"{_ZONE} <> ''"
+_IN_HOUR_JOB = f"{_HOUR_TEXT} <> '' AND coalesce({_HOUR} BETWEEN 0 AND 23, true)"
+_IN_TIP_JOB = f"{_PAYMENT_TEXT} NOT IN ('', 'null') AND coalesce({_PAYMENT} IN {TIP_PAYMENTS}, true)"
 
 
-def _from_typed(name: str) -> Column:
-    return numbers.zero_filled(F.col(name))
+def _measures(names: Sequence[str], read: Callable[[str], str]) -> list[str]:
+    return [f"{read(name)} AS {name}" for name in names]
 
 
-def _marked(records: DataFrame, names: tuple[str, ...], also: Column | None = None) -> DataFrame:
-    """Mark the records that hold an unreadable key or measure."""
-    bad = [F.col(name).isNull() for name in names]
-    return records.withColumn(SKIPPED, reduce(Column.__or__, bad, F.lit(False) if also is None else also))
+def _any_null(values: Sequence[str]) -> str:
+    return " OR ".join(f"({value}) IS NULL" for value in values)
 
 
 def zone_records(lines: DataFrame) -> DataFrame:
-    zone = strip(field("PULocationID"))
     return (
-        lines.where(zone != "")
-        .select(zone.alias("PULocationID"), *_measures(ZONE_MEASURES, _from_text))
-        .transform(_marked, ZONE_MEASURES)
+        lines.where(_IN_ZONE_JOB)
+        .selectExpr(f"{_ZONE} AS PULocationID", *_measures(ZONE_MEASURES, lenient_double))
+        .selectExpr("*", f"{_any_null(ZONE_MEASURES)} AS {SKIPPED}")
     )
 
 
 def hour_records(lines: DataFrame) -> DataFrame:
-    text = strip(field("pickup_hour"))
-    hour = numbers.strict_int(text)
     return (
-        lines.where((text != "") & F.coalesce(hour.between(0, 23), F.lit(True)))
-        .select(trips.hour_key(text).alias("pickup_hour"), *_measures(HOUR_MEASURES, _from_text))
-        .transform(_marked, HOUR_MEASURES, F.col("pickup_hour").isNull())
+        lines.where(_IN_HOUR_JOB)
+        .selectExpr(
+            f"{hour_key('pickup_hour')} AS pickup_hour", *_measures(HOUR_MEASURES, lenient_double)
+        )
+        .selectExpr("*", f"{_any_null(['pickup_hour', *HOUR_MEASURES])} AS {SKIPPED}")
     )
 
 
 def tip_records(lines: DataFrame) -> DataFrame:
-    text = strip(field("payment_type"))
-    payment = numbers.strict_int(text)
-    wanted = ~F.lower(text).isin("", "null") & F.coalesce(payment.isin(*TIP_PAYMENTS), F.lit(True))
+    """Lines without a positive fare are no records, so they are not marked."""
     return (
-        lines.where(wanted)
-        .select(payment.alias("payment_type"), *_measures(TIP_MEASURES, _from_text))
-        .transform(_marked, TIP_MEASURES, F.col("payment_type").isNull())
-        .where(F.col(SKIPPED) | (F.col("fare_amount") > 0))
-        .withColumn("payment_fare_bucket", trips.tip_key(F.col("payment_type"), F.col("fare_amount")))
+        lines.where(_IN_TIP_JOB)
+        .selectExpr(f"{_PAYMENT} AS payment_type", *_measures(TIP_MEASURES, lenient_double))
+        .selectExpr(
+            f"{tip_key('payment_type', 'fare_amount')} AS payment_fare_bucket",
+            *TIP_MEASURES,
+            f"{_any_null(['payment_type', *TIP_MEASURES])} AS {SKIPPED}",
+        )
     )
 
 
 def zone_records_of(frame: DataFrame) -> DataFrame:
     """Zone records of typed trips; nothing in them is unreadable."""
-    return frame.where(F.col("PULocationID").isNotNull()).select(
-        F.col("PULocationID").cast("string").alias("PULocationID"),
-        *_measures(ZONE_MEASURES, _from_typed),
-        F.lit(False).alias(SKIPPED),
+    return frame.where("PULocationID IS NOT NULL").selectExpr(
+        "CAST(PULocationID AS string) AS PULocationID",
+        *_measures(ZONE_MEASURES, zero_filled),
+        f"false AS {SKIPPED}",
     )
 
 
 def hour_records_of(frame: DataFrame) -> DataFrame:
-    return frame.where(F.col("pickup_hour").between(0, 23)).select(
-        trips.hour_key(F.col("pickup_hour").cast("string")).alias("pickup_hour"),
-        *_measures(HOUR_MEASURES, _from_typed),
-        F.lit(False).alias(SKIPPED),
+    return frame.where("pickup_hour BETWEEN 0 AND 23").selectExpr(
+        f"{hour_key('CAST(pickup_hour AS string)')} AS pickup_hour",
+        *_measures(HOUR_MEASURES, zero_filled),
+        f"false AS {SKIPPED}",
     )
 
 
 def tip_records_of(frame: DataFrame) -> DataFrame:
-    payment, fare = F.col("payment_type"), numbers.zero_filled(F.col("fare_amount"))
-    return frame.where(payment.isin(*TIP_PAYMENTS) & (fare > 0)).select(
-        payment,
-        *_measures(TIP_MEASURES, _from_typed),
-        F.lit(False).alias(SKIPPED),
-        trips.tip_key(payment, fare).alias("payment_fare_bucket"),
+    return frame.where(f"payment_type IN {TIP_PAYMENTS}").selectExpr(
+        f"{tip_key('payment_type', zero_filled('fare_amount'))} AS payment_fare_bucket",
+        *_measures(TIP_MEASURES, zero_filled),
+        f"false AS {SKIPPED}",
     )
 
 
 def _usable(records: DataFrame, quality: Observation | None) -> DataFrame:
-    """Drop marked records, counting them on the way when asked to."""
-    if quality is not None:
-        records = records.observe(quality, F.count_if(SKIPPED).alias("skipped_records"))
-    return records.where(~F.col(SKIPPED))
+    """Drop marked records, counting them on the way.
+
+    The count also keeps the filter above the parsed columns; pushed below it
+    would parse every number a second time.
+    """
+    skipped = F.count_if(SKIPPED).alias("skipped_records")
+    return records.observe(quality or "record_quality", skipped).where(f"NOT {SKIPPED}")
+
+
+def _by_key(records: DataFrame, key: str, measures: dict[str, str]) -> DataFrame:
+    columns = [F.expr(sql).alias(name) for name, sql in measures.items()]
+    return records.groupBy(key).agg(*columns).orderBy(key)
 
 
-def _mean(name: str) -> Column:
-    return F.round(F.avg(name), 2)
+def _mean(name: str) -> str:
+    return f"round(avg({name}), 2)"
 
 
-def _tip_percent() -> Column:
-    return F.round(numbers.percent_or_zero(F.sum("tip_amount"), F.sum("fare_amount")), 2)
+_TIP_PERCENT = f"round({percent_or_zero('sum(tip_amount)', 'sum(fare_amount)')}, 2)"
 
 
 def zone_performance(records: DataFrame, quality: Observation | None = None) -> DataFrame:
-    return (
-        _usable(records, quality)
-        .groupBy("PULocationID")
-        .agg(
-            F.count("*").alias("total_trips"),
-            F.round(F.sum("total_amount"), 2).alias("total_revenue"),
-            _mean("fare_amount").alias("avg_fare"),
-            _mean("trip_distance").alias("avg_distance"),
-            _mean("trip_duration_min").alias("avg_duration_min"),
-            _mean("avg_speed_mph").alias("avg_speed_mph"),
-            _mean("tip_amount").alias("avg_tip"),
-        )
-        .orderBy("PULocationID")
-    )
+    measures = {
+        "total_trips": "count(*)",
+        "total_revenue": "round(sum(total_amount), 2)",
+        "avg_fare": _mean("fare_amount"),
+        "avg_distance": _mean("trip_distance"),
+        "avg_duration_min": _mean("trip_duration_min"),
+        "avg_speed_mph": _mean("avg_speed_mph"),
+        "avg_tip": _mean("tip_amount"),
+    }
+    return _by_key(_usable(records, quality), "PULocationID", measures)
 
 
 def hourly_performance(records: DataFrame, quality: Observation | None = None) -> DataFrame:
-    return (
-        _usable(records, quality)
-        .groupBy("pickup_hour")
-        .agg(
-            F.count("*").alias("total_trips"),
-            F.round(F.sum("total_amount"), 2).alias("total_revenue"),
-            _mean("total_amount").alias("avg_revenue_per_trip"),
-            _mean("passenger_count").alias("avg_passengers"),
-            _mean("trip_duration_min").alias("avg_duration_min"),
-            _mean("tip_amount").alias("avg_tip"),
-            _tip_percent().alias("tip_percentage"),
-        )
-        .orderBy("pickup_hour")
-    )
+    measures = {
+        "total_trips": "count(*)",
+        "total_revenue": "round(sum(total_amount), 2)",
+        "avg_revenue_per_trip": _mean("total_amount"),
+        "avg_passengers": _mean("passenger_count"),
+        "avg_duration_min": _mean("trip_duration_min"),
+        "avg_tip": _mean("tip_amount"),
+        "tip_percentage": _TIP_PERCENT,
+    }
+    return _by_key(_usable(records, quality), "pickup_hour", measures)
 
 
 def tip_behavior(records: DataFrame, quality: Observation | None = None) -> DataFrame:
-    no_tip = F.count_if(F.col("tip_amount") == 0.0)
-    return (
-        _usable(records, quality)
-        .groupBy("payment_fare_bucket")
-        .agg(
-            F.count("*").alias("total_trips"),
-            _mean("tip_amount").alias("avg_tip_amount"),
-            _tip_percent().alias("avg_tip_pct"),
-            F.round(no_tip / F.count("*") * 100.0, 2).alias("zero_tip_rate"),
-            _mean("passenger_count").alias("avg_passengers"),
-        )
-        .orderBy("payment_fare_bucket")
-    )
+    measures = {
+        "total_trips": "count(*)",
+        "avg_tip_amount": _mean("tip_amount"),
+        "avg_tip_pct": _TIP_PERCENT,
+        "zero_tip_rate": "round(count_if(tip_amount = 0) / count(*) * 100, 2)",
+        "avg_passengers": _mean("passenger_count"),
+    }
+    paid = _usable(records, quality).where("fare_amount > 0")
+    return _by_key(paid, "payment_fare_bucket", measures)
 
 
 def quality_counts(lines: DataFrame) -> DataFrame:
@@ -194,29 +193,28 @@ def quality_counts(lines: DataFrame) -> DataFrame:
     Values stay typed between the steps, so the malformed-value and parse-error
     counters of a text shuffle are always zero here.
     """
-
-    def unreadable(names: tuple[str, ...]) -> Column:
-        return reduce(Column.__or__, [_from_text(name).isNull() for name in names])
-
-    zone, hour_text, pay_text = (
-        strip(field(name)) for name in ("PULocationID", "pickup_hour", "payment_type")
+    every = dict.fromkeys((*ZONE_MEASURES, *HOUR_MEASURES, *TIP_MEASURES))
+    parsed = lines.selectExpr(
+        f"{_IN_ZONE_JOB} AS in_zone",
+        f"{_IN_HOUR_JOB} AS in_hour",
+        f"{_IN_TIP_JOB} AS in_tip",
+        f"{_HOUR} AS hour",
+        f"{_PAYMENT} AS payment",
+        *_measures(list(every), lenient_double),
     )
-    hour, payment = numbers.strict_int(hour_text), numbers.strict_int(pay_text)
     skipped = {
-        "zone_performance": (zone != "") & unreadable(ZONE_MEASURES),
-        "hourly_performance": (hour_text != "")
-        & (hour.isNull() | (hour.between(0, 23) & unreadable(HOUR_MEASURES))),
-        "tip_behavior": ~F.lower(pay_text).isin("", "null")
-        & (payment.isNull() | (payment.isin(*TIP_PAYMENTS) & unreadable(TIP_MEASURES))),
+        "zone_performance": f"in_zone AND ({_any_null(ZONE_MEASURES)})",
+        "hourly_performance": f"in_hour AND ({_any_null(['hour', *HOUR_MEASURES])})",
+        "tip_behavior": f"in_tip AND ({_any_null(['payment', *TIP_MEASURES])})",
     }
-    counts = lines.agg(*[F.count_if(bad).alias(job) for job, bad in skipped.items()])
+    counts = parsed.selectExpr(*[f"count_if({bad}) AS {job}" for job, bad in skipped.items()])
     rows = [
-        F.struct(
-            F.lit(job).alias("job"),
-            F.col(job).alias("skipped_records"),
-            F.lit(0).cast("bigint").alias("malformed_values"),
-            F.lit(0).cast("bigint").alias("parse_errors"),
-        )
+        {
+            "job": f"'{job}'",
+            "skipped_records": job,
+            "malformed_values": "0L",
+            "parse_errors": "0L",
+        }
         for job in skipped
     ]
-    return counts.select(F.inline(F.array(*rows)))
+    return counts.selectExpr(inline_rows(rows))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hackney.functions import times, trips
+from hackney.functions.numbers import truncated_int
 from hackney.schema import FAMILIES
 
 KEY = "row_key"
@@ -51,19 +52,19 @@ def families(table: DataFrame) -> dict[str, list[str]]:
 def wide_rows(frame: DataFrame) -> DataFrame:
     """One wide row per trip; equal keys are not merged here."""
 
-    def cell(column: str, kind: str) -> Column:
+    def cell(column: str, kind: str) -> str:
         if column.endswith("_datetime"):
-            return times.time_text(F.col(column))
+            return times.time_text(column)
         if column == "passenger_count":
-            return F.col(column).try_cast("double").try_cast(kind)
-        return F.col(column).cast(kind)
+            return truncated_int(column)
+        return f"CAST({column} AS {kind})"
 
     groups = [
-        F.struct(*[cell(column, kind).alias(name) for name, (column, kind) in cells.items()]).alias(group)
+        f"named_struct({', '.join(f'{name!r}, {cell(*source)}' for name, source in cells.items())}) AS {group}"
         for group, cells in FAMILIES.items()
     ]
-    key = trips.row_key(F.col("VendorID"), F.col("tpep_pickup_datetime"), F.col("PULocationID"))
-    return frame.select(key.alias(KEY), *groups)
+    key = trips.row_key("VendorID", "tpep_pickup_datetime", "PULocationID")
+    return frame.selectExpr(f"{key} AS {KEY}", *groups)
 
 
 def latest_per_key(frame: DataFrame, key: Sequence[str], sequence: Sequence[str | Column]) -> DataFrame:

@@ -44,58 +44,59 @@ def guarded(trips: DataFrame) -> DataFrame:
     return trips.where(F.col("VendorID").isNotNull())
 
 
-def _sum(name: str) -> Column:
-    return F.round(F.sum(name), 2)
+def _sum(name: str) -> str:
+    return f"round(sum({name}), 2)"
 
 
-def _avg(name: str) -> Column:
-    return F.round(F.avg(name), 2)
+def _avg(name: str) -> str:
+    return f"round(avg({name}), 2)"
 
 
-_TRIPS = "trip_count"
+def _grouped(trips: DataFrame, *keys: str | Column, **measures: str) -> DataFrame:
+    columns = [F.expr(sql).alias(name) for name, sql in measures.items()]
+    return trips.groupBy(*keys).agg(*columns)
+
+
+def _labelled(report: DataFrame, key: str, name: str, label: str) -> DataFrame:
+    """Put the label in place of the code the rows were grouped by."""
+    return report.selectExpr(f"{label} AS {name}", f"* EXCEPT ({key})")
 
 
 def total_trips(trips: DataFrame) -> DataFrame:
-    return trips.agg(F.count("*").alias("total_trips"))
+    return _grouped(trips, total_trips="count(*)")
 
 
 def total_revenue(trips: DataFrame) -> DataFrame:
-    return trips.agg(_sum("total_amount").alias("total_revenue"))
+    return _grouped(trips, total_revenue=_sum("total_amount"))
 
 
 def averages(trips: DataFrame) -> DataFrame:
-    return trips.agg(
-        _avg("fare_amount").alias("avg_fare"),
-        _avg("trip_distance").alias("avg_distance_miles"),
-        _avg("trip_duration_min").alias("avg_duration_min"),
-        _avg("avg_speed_mph").alias("avg_speed_mph"),
+    return _grouped(
+        trips,
+        avg_fare=_avg("fare_amount"),
+        avg_distance_miles=_avg("trip_distance"),
+        avg_duration_min=_avg("trip_duration_min"),
+        avg_speed_mph=_avg("avg_speed_mph"),
     )
 
 
 def top_zones_by_volume(trips: DataFrame, k: int = TOP_ZONES) -> DataFrame:
-    return (
-        trips.groupBy("PULocationID")
-        .agg(F.count("*").alias(_TRIPS))
-        .orderBy(F.desc(_TRIPS), "PULocationID")
-        .limit(k)
-    )
+    zones = _grouped(trips, "PULocationID", trip_count="count(*)")
+    return zones.orderBy(F.desc("trip_count"), "PULocationID").limit(k)
 
 
 def top_zones_by_revenue(trips: DataFrame, k: int = TOP_ZONES) -> DataFrame:
-    return (
-        trips.groupBy("PULocationID")
-        .agg(
-            F.count("*").alias(_TRIPS),
-            _sum("total_amount").alias("total_revenue"),
-            _avg("total_amount").alias("avg_revenue_per_trip"),
-        )
-        .orderBy(F.desc("total_revenue"), "PULocationID")
-        .limit(k)
+    zones = _grouped(
+        trips,
+        "PULocationID",
+        trip_count="count(*)",
+        total_revenue=_sum("total_amount"),
+        avg_revenue_per_trip=_avg("total_amount"),
     )
+    return zones.orderBy(F.desc("total_revenue"), "PULocationID").limit(k)
 
 
 def top_trips(trips: DataFrame, k: int = TOP_TRIPS) -> DataFrame:
-    ties = ["tpep_pickup_datetime", "PULocationID", "DOLocationID"]
     rounded = {
         "trip_distance_miles": "trip_distance",
         "trip_duration_min": "trip_duration_min",
@@ -103,77 +104,68 @@ def top_trips(trips: DataFrame, k: int = TOP_TRIPS) -> DataFrame:
         "tip_amount": "tip_amount",
         "total_amount": "total_amount",
     }
+    ends = ("tpep_pickup_datetime", "PULocationID", "DOLocationID")
     return (
-        trips.orderBy(F.desc("total_amount"), *ties)
+        trips.orderBy(F.desc("total_amount"), *ends)
         .limit(k)
-        .select(
-            "PULocationID",
-            "DOLocationID",
-            "tpep_pickup_datetime",
-            *[F.round(column, 2).alias(name) for name, column in rounded.items()],
-        )
+        .selectExpr(*ends, *[f"round({column}, 2) AS {name}" for name, column in rounded.items()])
     )
 
 
 def distance_stats(trips: DataFrame) -> DataFrame:
-    return trips.where(F.col("trip_distance") > 0).agg(
-        F.max("trip_distance").alias("max_distance_miles"),
-        F.min("trip_distance").alias("min_distance_miles"),
-        _avg("trip_distance").alias("avg_distance_miles"),
-        F.count("*").alias("total_trips"),
+    return _grouped(
+        trips.where("trip_distance > 0"),
+        max_distance_miles="max(trip_distance)",
+        min_distance_miles="min(trip_distance)",
+        avg_distance_miles=_avg("trip_distance"),
+        total_trips="count(*)",
     )
 
 
 def hourly(trips: DataFrame) -> DataFrame:
-    return (
-        trips.groupBy("pickup_hour")
-        .agg(
-            F.count("*").alias(_TRIPS),
-            _avg("trip_duration_min").alias("avg_duration_min"),
-            _avg("total_amount").alias("avg_total_amount"),
-        )
-        .orderBy("pickup_hour")
-    )
+    return _grouped(
+        trips,
+        "pickup_hour",
+        trip_count="count(*)",
+        avg_duration_min=_avg("trip_duration_min"),
+        avg_total_amount=_avg("total_amount"),
+    ).orderBy("pickup_hour")
 
 
 def weekend(trips: DataFrame) -> DataFrame:
     """Groups by the flag itself; the label comes after."""
-    return (
-        trips.groupBy("is_weekend")
-        .agg(
-            F.count("*").alias(_TRIPS),
-            _avg("total_amount").alias("avg_total_amount"),
-            _avg("trip_distance").alias("avg_distance_miles"),
-            _avg("tip_amount").alias("avg_tip"),
-        )
-        .orderBy("is_weekend")
-        .select(labels.day_type(F.col("is_weekend")).alias("day_type"), "*")
-        .drop("is_weekend")
-    )
+    report = _grouped(
+        trips,
+        "is_weekend",
+        trip_count="count(*)",
+        avg_total_amount=_avg("total_amount"),
+        avg_distance_miles=_avg("trip_distance"),
+        avg_tip=_avg("tip_amount"),
+    ).orderBy("is_weekend")
+    return _labelled(report, "is_weekend", "day_type", labels.day_type("is_weekend"))
 
 
 def payment(trips: DataFrame) -> DataFrame:
     """Groups by the payment code, so several rows can share a label."""
-    return (
-        trips.groupBy("payment_type")
-        .agg(
-            F.count("*").alias(_TRIPS),
-            _sum("total_amount").alias("total_revenue"),
-            _avg("tip_amount").alias("avg_tip"),
-            _avg("total_amount").alias("avg_fare"),
-        )
-        .orderBy(F.desc(_TRIPS), "payment_type")
-        .select(labels.payment_label(F.col("payment_type")).alias("payment_method"), "*")
-        .drop("payment_type")
-    )
+    report = _grouped(
+        trips,
+        "payment_type",
+        trip_count="count(*)",
+        total_revenue=_sum("total_amount"),
+        avg_tip=_avg("tip_amount"),
+        avg_fare=_avg("total_amount"),
+    ).orderBy(F.desc("trip_count"), "payment_type")
+    return _labelled(report, "payment_type", "payment_method", labels.payment_label("payment_type"))
 
 
 def _zone_volumes(trips: DataFrame) -> DataFrame:
-    return trips.groupBy("PULocationID").agg(
-        F.count("*").alias(_TRIPS),
-        _avg("total_amount").alias("avg_total_amount"),
-        _avg("tip_amount").alias("avg_tip"),
-        _sum("total_amount").alias("total_revenue"),
+    return _grouped(
+        trips,
+        "PULocationID",
+        trip_count="count(*)",
+        avg_total_amount=_avg("total_amount"),
+        avg_tip=_avg("tip_amount"),
+        total_revenue=_sum("total_amount"),
     )
 
 
@@ -181,9 +173,8 @@ def high_volume_zones(
     trips: DataFrame, min_trips: int = HIGH_VOLUME_TRIPS, strict: bool = True
 ) -> DataFrame:
     """Zones above the threshold; with `strict=False` the threshold counts too."""
-    count = F.col(_TRIPS)
-    keep = count > min_trips if strict else count >= min_trips
-    return _zone_volumes(trips).where(keep).orderBy(F.desc(_TRIPS), "PULocationID")
+    keep = f"trip_count {'>' if strict else '>='} {int(min_trips)}"
+    return _zone_volumes(trips).where(keep).orderBy(F.desc("trip_count"), "PULocationID")
 
 
 def adaptive_high_volume_zones(
@@ -197,73 +188,67 @@ def adaptive_high_volume_zones(
     threshold = F.greatest(F.lit(floor), F.floor(total / F.lit(share)))
     return (
         _zone_volumes(trips)
-        .where(F.col(_TRIPS) >= threshold)
-        .orderBy(F.desc(_TRIPS), "PULocationID")
+        .where(F.col("trip_count") >= threshold)
+        .orderBy(F.desc("trip_count"), "PULocationID")
     )
 
 
 def monthly(trips: DataFrame) -> DataFrame:
-    month = ["pickup_year", "pickup_month"]
-    return (
-        trips.groupBy(*month)
-        .agg(
-            F.count("*").alias(_TRIPS),
-            _sum("total_amount").alias("total_revenue"),
-            _avg("trip_distance").alias("avg_distance_miles"),
-            _avg("trip_duration_min").alias("avg_duration_min"),
-            _avg("fare_amount").alias("avg_fare"),
-        )
-        .orderBy(*month)
-    )
+    month = ("pickup_year", "pickup_month")
+    return _grouped(
+        trips,
+        *month,
+        trip_count="count(*)",
+        total_revenue=_sum("total_amount"),
+        avg_distance_miles=_avg("trip_distance"),
+        avg_duration_min=_avg("trip_duration_min"),
+        avg_fare=_avg("fare_amount"),
+    ).orderBy(*month)
 
 
 def rate_code(trips: DataFrame) -> DataFrame:
     """Groups by the rate code, so several rows can share a label."""
-    return (
-        trips.groupBy("RatecodeID")
-        .agg(
-            F.count("*").alias(_TRIPS),
-            _sum("total_amount").alias("total_revenue"),
-            _avg("fare_amount").alias("avg_fare"),
-            _avg("trip_distance").alias("avg_distance_miles"),
-            _avg("avg_speed_mph").alias("avg_speed_mph"),
-            _avg("fare_per_mile").alias("avg_fare_per_mile"),
-        )
-        .orderBy(F.desc(_TRIPS), "RatecodeID")
-        .select(labels.rate_code_label(F.col("RatecodeID")).alias("rate_code_description"), "*")
-        .drop("RatecodeID")
-    )
+    report = _grouped(
+        trips,
+        "RatecodeID",
+        trip_count="count(*)",
+        total_revenue=_sum("total_amount"),
+        avg_fare=_avg("fare_amount"),
+        avg_distance_miles=_avg("trip_distance"),
+        avg_speed_mph=_avg("avg_speed_mph"),
+        avg_fare_per_mile=_avg("fare_per_mile"),
+    ).orderBy(F.desc("trip_count"), "RatecodeID")
+    label = labels.rate_code_label("RatecodeID")
+    return _labelled(report, "RatecodeID", "rate_code_description", label)
 
 
 def peak(trips: DataFrame) -> DataFrame:
     """Groups by the period label."""
-    return (
-        trips.groupBy(labels.time_period(F.col("pickup_hour")).alias("time_period"))
-        .agg(
-            F.count("*").alias(_TRIPS),
-            _sum("total_amount").alias("total_revenue"),
-            _sum("congestion_surcharge").alias("total_congestion_surcharge"),
-            _sum("cbd_congestion_fee").alias("total_cbd_fee"),
-            _sum("Airport_fee").alias("total_airport_fee"),
-            _sum("tolls_amount").alias("total_tolls"),
-        )
-        .orderBy(F.desc(_TRIPS), "time_period")
-    )
+    period = F.expr(labels.time_period("pickup_hour")).alias("time_period")
+    return _grouped(
+        trips,
+        period,
+        trip_count="count(*)",
+        total_revenue=_sum("total_amount"),
+        total_congestion_surcharge=_sum("congestion_surcharge"),
+        total_cbd_fee=_sum("cbd_congestion_fee"),
+        total_airport_fee=_sum("Airport_fee"),
+        total_tolls=_sum("tolls_amount"),
+    ).orderBy(F.desc("trip_count"), "time_period")
 
 
 def occupancy(trips: DataFrame) -> DataFrame:
-    return (
-        trips.where(F.col("passenger_count").between(*OCCUPANCY))
-        .groupBy(numbers.truncated_int(F.col("passenger_count")).alias("passenger_count"))
-        .agg(
-            F.count("*").alias(_TRIPS),
-            _avg("trip_distance").alias("avg_distance_miles"),
-            _avg("total_amount").alias("avg_total_amount"),
-            _avg("tip_amount").alias("avg_tip_amount"),
-            F.round(numbers.percent(F.sum("tip_amount"), F.sum("fare_amount")), 2).alias("tip_percentage"),
-        )
-        .orderBy("passenger_count")
-    )
+    low, high = OCCUPANCY
+    seats = F.expr(numbers.truncated_int("passenger_count")).alias("passenger_count")
+    return _grouped(
+        trips.where(f"passenger_count BETWEEN {low} AND {high}"),
+        seats,
+        trip_count="count(*)",
+        avg_distance_miles=_avg("trip_distance"),
+        avg_total_amount=_avg("total_amount"),
+        avg_tip_amount=_avg("tip_amount"),
+        tip_percentage=f"round({numbers.percent('sum(tip_amount)', 'sum(fare_amount)')}, 2)",
+    ).orderBy("passenger_count")
 
 
 REPORTS = {

@@ -54,9 +54,9 @@ def month_series(
 ) -> DataFrame:
     return (
         monthly_report.where((F.col("pickup_year") == year) & F.col("pickup_month").isin(*months))
-        .select(
+        .selectExpr(
             "pickup_month",
-            labels.month_label(F.col("pickup_year"), F.col("pickup_month")).alias("month_name"),
+            f"{labels.month_label('pickup_year', 'pickup_month')} AS month_name",
             "total_revenue",
         )
         .orderBy("pickup_month")

@@ -9,8 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from hackney.functions import numbers, times
 from hackney.operators import keyed
@@ -36,47 +35,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SECOND = "(l_orderkey * 7919) % 86400"
+_RIDE = "(l_partkey % 200) * 60 + l_suppkey % 60"
+_PRICE = "l_extendedprice / 1000D"
+_FARE = f"CASE WHEN l_tax > 0.075D AND l_returnflag = 'R' THEN -1 ELSE 1 END * {_PRICE}"
+_TRIP_COLUMNS = {
+    "VendorID": "CASE WHEN l_quantity = 33 THEN 6 WHEN l_linestatus = 'O' THEN 1 ELSE 2 END",
+    "tpep_pickup_datetime": f"timestampadd(SECOND, CAST({_SECOND} AS int), l_shipdate)",
+    "tpep_dropoff_datetime": f"timestampadd(SECOND, CAST({_SECOND} + {_RIDE} AS int), l_shipdate)",
+    "passenger_count": "CASE WHEN l_linenumber = 1 THEN nullif(l_quantity % 8, 7D) ELSE l_quantity % 8 END",
+    "trip_distance": "l_quantity * l_quantity / 20D",
+    "RatecodeID": "CAST(l_linenumber AS double)",
+    "store_and_fwd_flag": "CASE WHEN l_linenumber = 7 AND l_returnflag = 'N' THEN 'X' "
+    "WHEN l_returnflag = 'A' THEN ' y ' ELSE 'N' END",
+    "PULocationID": "l_suppkey",
+    "DOLocationID": "l_partkey",
+    "payment_type": "l_linenumber",
+    "fare_amount": _FARE,
+    "extra": "1.0D",
+    "mta_tax": "0.5D",
+    "tip_amount": f"{_PRICE} * l_discount",
+    "tolls_amount": f"{_PRICE} * l_tax",
+    "improvement_surcharge": "0.3D",
+    "total_amount": f"({_FARE}) + {_PRICE} * l_discount + {_PRICE} * l_tax + 1.8D",
+    "congestion_surcharge": "CASE WHEN l_returnflag = 'R' THEN 2.5D ELSE 0D END",
+    "Airport_fee": "CASE WHEN l_returnflag = 'A' THEN 1.75D ELSE 0D END",
+    "cbd_congestion_fee": "CASE WHEN l_linestatus = 'F' THEN 0.75D ELSE 0D END",
+}
+
+
 def _as_trips(lineitem: DataFrame) -> DataFrame:
-    c = F.col
-    second = (c("l_orderkey") * 7919) % 86400
-    ride = (c("l_partkey") % 200) * 60 + c("l_suppkey") % 60
-    refund = (c("l_tax") > 0.075) & (c("l_returnflag") == "R")
-    fare = F.when(refund, -1).otherwise(1) * c("l_extendedprice") / 1000.0
-    seats = c("l_quantity") % 8
-
-    def later(seconds: Column) -> Column:
-        return F.timestamp_add("SECOND", seconds.cast("int"), c("l_shipdate"))
-
-    return lineitem.select(
-        F.when(c("l_quantity") == 33, 6).when(c("l_linestatus") == "O", 1).otherwise(2).alias("VendorID"),
-        later(second).alias("tpep_pickup_datetime"),
-        later(second + ride).alias("tpep_dropoff_datetime"),
-        F.when(c("l_linenumber") == 1, F.nullif(seats, F.lit(7.0))).otherwise(seats).alias("passenger_count"),
-        (c("l_quantity") * c("l_quantity") / 20.0).alias("trip_distance"),
-        c("l_linenumber").cast("double").alias("RatecodeID"),
-        F.when((c("l_linenumber") == 7) & (c("l_returnflag") == "N"), "X")
-        .when(c("l_returnflag") == "A", " y ")
-        .otherwise("N")
-        .alias("store_and_fwd_flag"),
-        c("l_suppkey").alias("PULocationID"),
-        c("l_partkey").alias("DOLocationID"),
-        c("l_linenumber").alias("payment_type"),
-        fare.alias("fare_amount"),
-        F.lit(1.0).alias("extra"),
-        F.lit(0.5).alias("mta_tax"),
-        (c("l_extendedprice") / 1000.0 * c("l_discount")).alias("tip_amount"),
-        (c("l_extendedprice") / 1000.0 * c("l_tax")).alias("tolls_amount"),
-        F.lit(0.3).alias("improvement_surcharge"),
-        (
-            fare
-            + c("l_extendedprice") / 1000.0 * c("l_discount")
-            + c("l_extendedprice") / 1000.0 * c("l_tax")
-            + 1.8
-        ).alias("total_amount"),
-        F.when(c("l_returnflag") == "R", 2.5).otherwise(0.0).alias("congestion_surcharge"),
-        F.when(c("l_returnflag") == "A", 1.75).otherwise(0.0).alias("Airport_fee"),
-        F.when(c("l_linestatus") == "F", 0.75).otherwise(0.0).alias("cbd_congestion_fee"),
-    )
+    return lineitem.selectExpr(*[f"{sql} AS {name}" for name, sql in _TRIP_COLUMNS.items()])
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,9 +78,8 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The copies come from an explode, so the table is read once.
     """
-    copies = F.when(F.col("l_orderkey") % 100 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    lineitem = table(spark, sf_dir, "lineitem")
-    return _as_trips(lineitem.select("*", F.explode(copies).alias("_copy")))
+    copies = "explode(CASE WHEN l_orderkey % 100 = 0 THEN array(1, 2) ELSE array(1) END) AS copy"
+    return _as_trips(table(spark, sf_dir, "lineitem").selectExpr("*", copies))
 
 
 def featured_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,76 +89,58 @@ def featured_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean layout as a CSV holds it: time texts, cents, plain numbers."""
+    forms = {"timestamp_ntz": times.time_text, "double": numbers.round_half_even}
     frame = featured_trips(spark, sf_dir)
-    kinds = dict(frame.dtypes)
-    columns = []
-    for name in CLEAN_COLUMNS:
-        if kinds[name] == "timestamp_ntz":
-            columns.append(times.time_text(F.col(name)).alias(name))
-        elif kinds[name] == "double":
-            columns.append(numbers.round_half_even(F.col(name)).alias(name))
-        else:
-            columns.append(F.col(name))
-    return frame.select(*columns)
+    return frame.selectExpr(
+        *[f"{forms[kind](name) if kind in forms else name} AS {name}" for name, kind in frame.dtypes]
+    )
+
+
+_JUNK_FIELDS = {
+    "fare_amount": "CASE WHEN m > 120.5D THEN CASE p WHEN 1 THEN '' WHEN 2 THEN 'null' WHEN 3 THEN 'NA' "
+    "WHEN 4 THEN 'nan' ELSE 'abc' END ELSE fare_amount END",
+    "pickup_hour": "CASE WHEN m BETWEEN 119D AND 120.5D THEN CASE p WHEN 1 THEN '' WHEN 2 THEN pickup_hour || '.0' "
+    "WHEN 3 THEN '24' WHEN 4 THEN '-1' ELSE pickup_hour END ELSE pickup_hour END",
+    "payment_type": "CASE WHEN m BETWEEN 115D AND 116D THEN CASE p WHEN 1 THEN '1.0' WHEN 2 THEN 'null' "
+    "WHEN 3 THEN '' ELSE payment_type END ELSE payment_type END",
+    "PULocationID": "CASE WHEN m BETWEEN 110D AND 111D THEN CASE p WHEN 1 THEN '' "
+    "WHEN 2 THEN ' ' || PULocationID || ' ' ELSE PULocationID END ELSE PULocationID END",
+}
+_JUNK_LINE = f"""CASE WHEN m BETWEEN 105D AND 106D THEN CASE p
+  WHEN 1 THEN regexp_replace(value, ',[^,]*$', '')
+  WHEN 2 THEN value || ',x'
+  WHEN 3 THEN '   '
+  WHEN 4 THEN '{",".join(CLEAN_COLUMNS)}'
+  ELSE '  ' || value || ' ' END ELSE value END AS value"""
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean trips as text lines, with junk in the longest trips.
 
-    Distance marks the kind of junk, payment type its spelling.
+    Distance (m) marks the kind of junk, payment type (p) its spelling.
     """
-    miles, pay = F.col("trip_distance"), F.col("payment_type")
-    text = text_trips(spark, sf_dir)
-    cells = text.select(*[F.col(name).cast("string").alias(name) for name in CLEAN_COLUMNS], miles.alias("_miles"), pay.alias("_pay"))
-    miles, pay = F.col("_miles"), F.col("_pay")
-    fare, hour = F.col("fare_amount"), F.col("pickup_hour")
-    payment, zone = F.col("payment_type"), F.col("PULocationID")
-    junk_fare = F.when(pay == 1, "").when(pay == 2, "null").when(pay == 3, "NA").when(pay == 4, "nan").otherwise("abc")
-    junk_hour = F.when(pay == 1, "").when(pay == 2, F.concat(hour, F.lit(".0"))).when(pay == 3, "24").when(pay == 4, "-1").otherwise(hour)
-    junk_payment = F.when(pay == 1, "1.0").when(pay == 2, "null").when(pay == 3, "").otherwise(payment)
-    junk_zone = F.when(pay == 1, "").when(pay == 2, F.concat(F.lit(" "), zone, F.lit(" "))).otherwise(zone)
-    cells = cells.withColumns(
-        {
-            "fare_amount": F.when(miles > 120.5, junk_fare).otherwise(fare),
-            "pickup_hour": F.when(miles.between(119, 120.5), junk_hour).otherwise(hour),
-            "payment_type": F.when(miles.between(115, 116), junk_payment).otherwise(payment),
-            "PULocationID": F.when(miles.between(110, 111), junk_zone).otherwise(zone),
-        }
-    )
-    line = F.col("value")
-    short = F.regexp_replace(line, ",[^,]*$", "")
-    header = F.lit(",".join(CLEAN_COLUMNS))
-    odd_line = (
-        F.when(pay == 1, short)
-        .when(pay == 2, F.concat(line, F.lit(",x")))
-        .when(pay == 3, "   ")
-        .when(pay == 4, header)
-        .otherwise(F.concat(F.lit("  "), line, F.lit(" ")))
-    )
-    joined = F.concat_ws(",", *[F.coalesce(F.col(name), F.lit("")) for name in CLEAN_COLUMNS])
-    return cells.select(joined.alias("value"), "_miles", "_pay").select(
-        F.when(miles.between(105, 106), odd_line).otherwise(line).alias("value")
+    cells = [f"CAST({name} AS string) AS {name}" for name in CLEAN_COLUMNS]
+    joined = ", ".join(f"coalesce({_JUNK_FIELDS.get(name, name)}, '')" for name in CLEAN_COLUMNS)
+    return (
+        text_trips(spark, sf_dir)
+        .selectExpr(*cells, "trip_distance AS m", "payment_type AS p")
+        .selectExpr(f"concat_ws(',', {joined}) AS value", "m", "p")
+        .selectExpr(_JUNK_LINE)
     )
 
 
 def located_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips in the older layout, with coordinates in place of zones."""
-    lost = F.col("payment_type") == 7
 
-    def degrees(start: float, zone: str) -> Column:
-        return F.when(lost, 0.0).otherwise(F.lit(start) + (F.col(zone) % 10) * 0.1)
+    def degrees(start: str, zone: str) -> str:
+        return f"CASE WHEN payment_type = 7 THEN 0D ELSE {start} + ({zone} % 10) * 0.1D END"
 
-    return (
-        trips(spark, sf_dir)
-        .withColumns(
-            {
-                "pickup_latitude": degrees(40.35, "PULocationID"),
-                "pickup_longitude": degrees(-74.4, "DOLocationID"),
-                "dropoff_latitude": degrees(40.35, "DOLocationID"),
-                "dropoff_longitude": degrees(-74.4, "PULocationID"),
-            }
-        )
-        .drop("PULocationID", "DOLocationID")
+    return trips(spark, sf_dir).selectExpr(
+        "* EXCEPT (PULocationID, DOLocationID)",
+        f"{degrees('40.35D', 'PULocationID')} AS pickup_latitude",
+        f"{degrees('-74.4D', 'DOLocationID')} AS pickup_longitude",
+        f"{degrees('40.35D', 'DOLocationID')} AS dropoff_latitude",
+        f"{degrees('-74.4D', 'PULocationID')} AS dropoff_longitude",
     )
 
 
@@ -187,15 +157,3 @@ def lines_path(spark: SparkSession, sf_dir: str) -> str:
     """Text files with the lines; the text jobs read these."""
     return _store(spark, sf_dir, "lines", lambda path: lines(spark, sf_dir).write.text(path))
 
-
-__all__ = [
-    "featured_trips",
-    "lines",
-    "lines_path",
-    "located_trips",
-    "raw_trips",
-    "stored_wide",
-    "table",
-    "text_trips",
-    "trips",
-]

@@ -45,17 +45,12 @@ def query(name: str) -> Callable[[Query], Query]:
 
 def portable(frame: DataFrame) -> DataFrame:
     """Timestamps as text, so that results compare across engines."""
-    return frame.select(
-        *[
-            times.time_text(F.col(name)).alias(name) if kind.startswith("timestamp") else F.col(name)
-            for name, kind in frame.dtypes
-        ]
-    )
+    late = {n: times.time_text(n) for n, kind in frame.dtypes if kind.startswith("timestamp")}
+    return features.with_columns(frame, late) if late else frame
 
 
 def fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = delimited.read_lines(spark, binding.lines_path(spark, sf_dir))
-    return delimited.split_lines(lines)
+    return delimited.read_lines(spark, binding.lines_path(spark, sf_dir))
 
 
 def written_csv(spark: SparkSession, sf_dir: str) -> str:
@@ -90,9 +85,9 @@ def s_csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("s_line_parse")
 def s_line_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = fields(spark, sf_dir)
-    names = ["VendorID", "tpep_pickup_datetime", "PULocationID", "DOLocationID", "payment_type", "fare_amount", "pickup_hour", "is_weekend"]
-    return parsed.select(F.size("fields").alias("n_fields"), *[delimited.field(n).alias(n) for n in names])
+    names = ["VendorID", "tpep_pickup_datetime", "PULocationID", "DOLocationID"]
+    names += ["payment_type", "fare_amount", "pickup_hour", "is_weekend"]
+    return fields(spark, sf_dir).select(*names)
 
 
 @query("s_quality_counts")
@@ -180,10 +175,13 @@ def s_title_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- cleaning ------------------------------------------------------------
 
 
-def _rule(name: str, keep: Callable[[], Column], **rewrites: Column) -> None:
+def _rule(name: str, keep: str, **rewrites: str) -> None:
+    """One rule alone: the raw rows it keeps, with the columns it rewrites."""
+
     @query(name)
     def rule(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return portable(binding.raw_trips(spark, sf_dir).where(keep()).withColumns(rewrites))
+        kept = binding.raw_trips(spark, sf_dir).where(keep)
+        return portable(features.with_columns(kept, rewrites) if rewrites else kept)
 
 
 @query("c01_dedupe")
@@ -194,29 +192,22 @@ def c01_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("c02_timestamps")
 def c02_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Times arrive as text; the longest trips have an impossible month."""
-    raw = binding.raw_trips(spark, sf_dir)
-    text = times.time_text(F.col("tpep_pickup_datetime"))
-    broken = F.when(F.col("trip_distance") > 115, F.regexp_replace(text, "-[0-9]+-", "-13-")).otherwise(text)
-    raw = raw.withColumn("tpep_pickup_datetime", broken).where(cleaning.valid_times())
-    return portable(raw.withColumn("tpep_pickup_datetime", times.to_time(F.col("tpep_pickup_datetime"))))
-
-
-@query("c03_duration")
-def c03_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = binding.raw_trips(spark, sf_dir).where(cleaning.valid_duration())
-    return portable(raw.withColumn("trip_duration_min", trip_exprs.raw_duration()))
-
-
-@query("c04_passengers")
-def c04_passengers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = binding.raw_trips(spark, sf_dir).where(cleaning.valid_passengers())
-    return portable(raw.withColumn("passenger_count", numbers.truncated_int(F.col("passenger_count"))))
+    pickup = "tpep_pickup_datetime"
+    text = times.time_text(pickup)
+    broken = f"CASE WHEN trip_distance > 115 THEN regexp_replace({text}, '-[0-9]+-', '-13-') ELSE {text} END"
+    raw = features.with_columns(binding.raw_trips(spark, sf_dir), {pickup: broken})
+    kept = raw.where(cleaning.valid_times())
+    return portable(features.with_columns(kept, {pickup: times.to_time(pickup)}))
 
 
-@query("c08_flag")
-def c08_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = binding.raw_trips(spark, sf_dir).where(cleaning.valid_flag())
-    return portable(raw.withColumn("store_and_fwd_flag", trip_exprs.flag_letter(F.col("store_and_fwd_flag"))))
+_rule("c03_duration", cleaning.valid_duration(), trip_duration_min=trip_exprs.raw_duration())
+_rule("c04_passengers", cleaning.valid_passengers(), passenger_count=numbers.truncated_int("passenger_count"))
+_rule("c05_distance", cleaning.valid_distance())
+_rule("c06_vendor", cleaning.valid_vendor())
+_rule("c07_ratecode", cleaning.valid_rate_code("RatecodeID"))
+_rule("c08_flag", cleaning.valid_flag(), store_and_fwd_flag=trip_exprs.flag_letter("store_and_fwd_flag"))
+_rule("c10_money", cleaning.valid_money(max_total=MAX_TOTAL))
+_rule("c11_speed", cleaning.valid_speed())
 
 
 @query("c09a_bbox")
@@ -226,17 +217,10 @@ def c09a_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("c09b_zones")
 def c09b_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Voided trips have no drop-off zone here."""
-    raw = binding.raw_trips(spark, sf_dir)
-    missing = F.when(F.col("payment_type") != 7, F.col("DOLocationID"))
-    return portable(raw.withColumn("DOLocationID", missing).where(cleaning.valid_zones()))
-
-
-_rule("c05_distance", cleaning.valid_distance)
-_rule("c06_vendor", cleaning.valid_vendor)
-_rule("c07_ratecode", lambda: cleaning.valid_rate_code("RatecodeID"))
-_rule("c10_money", lambda: cleaning.valid_money(max_total=MAX_TOTAL))
-_rule("c11_speed", cleaning.valid_speed)
+    """Trips of payment type 7 have no drop-off zone here."""
+    missing = {"DOLocationID": "CASE WHEN payment_type <> 7 THEN DOLocationID END"}
+    raw = features.with_columns(binding.raw_trips(spark, sf_dir), missing)
+    return portable(raw.where(cleaning.valid_zones()))
 
 
 @query("c12_report")
@@ -262,73 +246,61 @@ def c14_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("p_time_features")
 def p_time_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = features.with_time_features(binding.trips(spark, sf_dir))
-    return portable(trips.select("tpep_pickup_datetime", "PULocationID", "DOLocationID", *TIME_FEATURES))
-
-
-TIME_FEATURES = (
-    "pickup_date",
-    "pickup_hour",
-    "pickup_day",
-    "pickup_month",
-    "pickup_year",
-    "pickup_dayofweek",
-    "pickup_day_name",
-    "is_weekend",
-)
+    ends = ("tpep_pickup_datetime", "PULocationID", "DOLocationID")
+    return portable(trips.select(*ends, *features.time_features()))
 
 
 @query("p_trip_metrics")
 def p_trip_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trips = binding.featured_trips(spark, sf_dir)
-    return trips.select("PULocationID", "DOLocationID", "trip_distance", "trip_duration_min", "avg_speed_mph", "fare_per_mile")
+    metrics = ("trip_distance", "trip_duration_min", "avg_speed_mph", "fare_per_mile")
+    return binding.featured_trips(spark, sf_dir).select("PULocationID", "DOLocationID", *metrics)
 
 
 @query("p_row_key")
 def p_row_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pickup = F.col("tpep_pickup_datetime")
-    return binding.trips(spark, sf_dir).select(
-        times.compact_time(pickup).alias("compact"),
-        trip_exprs.row_key(F.col("VendorID"), pickup, F.col("PULocationID")).alias("row_key"),
-    )
+    pickup = "tpep_pickup_datetime"
+    key = trip_exprs.row_key("VendorID", pickup, "PULocationID")
+    return binding.trips(spark, sf_dir).selectExpr(f"{times.compact_time(pickup)} AS compact", f"{key} AS row_key")
 
 
 @query("p_hour_key")
 def p_hour_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = delimited.field("pickup_hour")
-    return fields(spark, sf_dir).select(text.alias("hour_text"), trip_exprs.hour_key(text).alias("hour_key"))
+    key = trip_exprs.hour_key("pickup_hour")
+    return fields(spark, sf_dir).selectExpr("pickup_hour AS hour_text", f"{key} AS hour_key")
 
 
 @query("p_fare_bucket")
 def p_fare_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fare = F.col("fare_amount")
-    return binding.trips(spark, sf_dir).select(
+    return binding.trips(spark, sf_dir).selectExpr(
         "fare_amount",
-        trip_exprs.fare_bucket(fare).alias("bucket"),
-        trip_exprs.tip_key(F.col("payment_type"), fare).alias("tip_key"),
+        f"{trip_exprs.fare_bucket('fare_amount')} AS bucket",
+        f"{trip_exprs.tip_key('payment_type', 'fare_amount')} AS tip_key",
     )
 
 
 @query("p_lenient_double")
 def p_lenient_double(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The junk spellings of the lines plus the infinite ones."""
-    pay = F.col("payment_type")
-    junk = F.when(pay == 1, "Infinity").when(pay == 2, "-Infinity").when(pay == 3, " NaN ").when(pay == 4, "inf").otherwise("1.5x")
-    trips = binding.text_trips(spark, sf_dir)
-    text = F.when(F.col("trip_distance") > 110, junk).otherwise(F.col("fare_amount").cast("string"))
-    return trips.select("PULocationID", "DOLocationID", "payment_type", numbers.lenient_double(text).alias("fare"))
+    """Infinite and unreadable spellings in the fares of the longest trips."""
+    junk = """CASE payment_type WHEN 1 THEN 'Infinity' WHEN 2 THEN '-Infinity' WHEN 3 THEN ' NaN '
+      WHEN 4 THEN 'inf' ELSE '1.5x' END"""
+    fare = f"CASE WHEN trip_distance > 110 THEN {junk} ELSE CAST(fare_amount AS string) END"
+    trips = features.with_columns(binding.text_trips(spark, sf_dir), {"fare_text": fare})
+    parsed = f"{numbers.lenient_double('fare_text')} AS fare"
+    return trips.selectExpr("PULocationID", "DOLocationID", "payment_type", parsed)
 
 
 @query("p_labels")
 def p_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = {
-        "vendor": labels.vendor_label(F.col("VendorID")),
-        "payment_method": labels.payment_label(F.col("payment_type")),
-        "rate_code_description": labels.rate_code_label(F.col("RatecodeID")),
-        "day_type": labels.day_type(F.col("is_weekend")),
-        "time_period": labels.time_period(F.col("pickup_hour")),
+        "vendor": labels.vendor_label("VendorID"),
+        "payment_method": labels.payment_label("payment_type"),
+        "rate_code_description": labels.rate_code_label("RatecodeID"),
+        "day_type": labels.day_type("is_weekend"),
+        "time_period": labels.time_period("pickup_hour"),
     }
-    trips = binding.featured_trips(spark, sf_dir).select(*[c.alias(n) for n, c in names.items()])
-    return trips.groupBy(*names).agg(F.count("*").alias("trips"))
+    trips = binding.featured_trips(spark, sf_dir)
+    labelled = trips.selectExpr(*[f"{sql} AS {name}" for name, sql in names.items()])
+    return labelled.groupBy(*names).agg(F.count("*").alias("trips"))
 
 
 # --- reports -------------------------------------------------------------
@@ -417,7 +389,7 @@ def k_put_rows(table: DataFrame) -> DataFrame:
     """Card trips are put again with a zero tip, and long ones under a new key too."""
     card = table.where(keyed.cell_filter("trip_info.payment_type", "=", 1))
     again = keyed.put_cells(card, F.lit(True), "financials", {"tip_amount": 0.0})
-    far = card.where(keyed.cell_filter("trip_info.trip_distance", ">", 100))
+    far = again.where(keyed.cell_filter("trip_info.trip_distance", ">", 100))
     fresh = far.withColumn(keyed.KEY, F.concat(F.lit("9_"), keyed.KEY))
     put = keyed.put_rows(table, again.unionByName(fresh))
     return keyed.project(put, ["financials"])

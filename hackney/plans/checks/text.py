@@ -129,6 +129,9 @@ _SAMPLE_KEY = (
 )
 
 
+_EMPTY = "''"
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -147,7 +150,7 @@ SQL = {
     ),
     "s_line_parse": sql(
         FIELDS,
-        f"SELECT len(f)::INTEGER AS n_fields, {', '.join(f'{field(n)} AS {n}' for n in _PLAIN_FIELDS)} FROM fields",
+        f"SELECT {', '.join(f'nullif({field(n)}, {_EMPTY}) AS {n}' for n in _PLAIN_FIELDS)} FROM fields",
     ),
     "s_quality_counts": sql(
         f"""{FIELDS}, keys AS (SELECT f, trim({field("PULocationID")}) AS z, trim({field("pickup_hour")}) AS ht,
@@ -228,7 +231,7 @@ SQL = {
     ),
     "p_hour_key": sql(
         f"{FIELDS}, h AS (SELECT {field('pickup_hour')} AS t FROM fields), n AS (SELECT t, {whole('trim(t)')} AS i FROM h)",
-        """SELECT t AS hour_text, CASE WHEN i BETWEEN 0 AND 23 THEN lpad(CAST(i AS VARCHAR), 2, '0') END AS hour_key
+        """SELECT nullif(t, '') AS hour_text, CASE WHEN i BETWEEN 0 AND 23 THEN lpad(CAST(i AS VARCHAR), 2, '0') END AS hour_key
         FROM n""",
     ),
     "p_fare_bucket": sql(

@@ -1,15 +1,15 @@
-"""Clean trips as delimited text: quoted CSV, typed CSV and raw lines."""
+"""Clean trips as delimited text: quoted CSV, typed CSV and plain lines."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from hackney.functions.text import strip
 from hackney.schema import CLEAN_COLUMNS, staging_schema, stored_types, struct_of
 
 HEADER_WORD = next(iter(CLEAN_COLUMNS))
 ARITY = len(CLEAN_COLUMNS)
+ODD_LINE = "odd_line"
 
 
 def read_staging_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -31,27 +31,38 @@ def read_typed_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path)
+    """Plain comma-split lines as the clean layout, every column text.
 
-
-def split_lines(lines: DataFrame, line: str = "value") -> DataFrame:
-    """One `fields` array per usable line.
-
-    Blank lines, header lines and lines with too few fields are left out;
-    quotes have no meaning here and extra fields are kept.
+    Quotes have no meaning, an empty field is null, and fields beyond the
+    layout are cut off. Blank lines, header lines and lines with too few fields
+    are left out. The reader splits each line once, whatever is asked of it.
     """
-    fields = F.split(strip(F.col(line)), ",", -1)
-    return lines.select(fields.alias("fields")).where(
-        (F.size("fields") >= ARITY) & (strip(F.get("fields", F.lit(0))) != HEADER_WORD)
+    options = {
+        "header": False,
+        "sep": ",",
+        "quote": "",
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": ODD_LINE,
+        # With pruning on, the reader does not notice missing fields.
+        "columnPruning": False,
+    }
+    schema = staging_schema().add(ODD_LINE, "string")
+    # Only lines with an unusual number of fields are kept as a whole.
+    wide_enough = f"{ODD_LINE} IS NULL OR size(split({ODD_LINE}, ',', -1)) >= {ARITY}"
+    first, *middle, last = CLEAN_COLUMNS
+    # Blanks around a line belong to no field.
+    ends = {name: f"nullif({strip(name)}, '') AS {name}" for name in (first, last)}
+    return (
+        spark.read.schema(schema)
+        .options(**options)
+        .csv(path)
+        .where(wide_enough)
+        .selectExpr(ends[first], *middle, ends[last])
+        .where(f"{first} IS DISTINCT FROM '{HEADER_WORD}'")
     )
 
 
-def field(name: str) -> Column:
-    """A column of the clean layout, read from `fields` by position."""
-    return F.get("fields", F.lit(list(CLEAN_COLUMNS).index(name)))
-
-
 def to_lines(trips: DataFrame) -> DataFrame:
     """Clean trips as comma-joined text lines; null is an empty field."""
-    cells = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in CLEAN_COLUMNS]
-    return trips.select(F.concat_ws(",", *cells).alias("value"))
+    cells = ", ".join(f"coalesce(CAST({name} AS string), '')" for name in CLEAN_COLUMNS)
+    return trips.selectExpr(f"concat_ws(',', {cells}) AS value")

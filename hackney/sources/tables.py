@@ -8,21 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from hackney.functions.numbers import truncated_int
-from hackney.schema import CLEAN_COLUMNS, stored_types
+from hackney.functions.numbers import number, truncated_int
+from hackney.schema import stored_types
 from hackney.sources.delimited import HEADER_WORD
 
 
 def typed_trips(staging: DataFrame) -> DataFrame:
     """Cast the all-text layout; bad values become null, header rows go."""
-    vendor = F.col(HEADER_WORD)
-    casts = {
-        "int": lambda c: truncated_int(c),
-        "double": lambda c: c.try_cast("double"),
-        "string": lambda c: c,
-    }
-    columns = [casts[kind](F.col(name)).alias(name) for name, kind in stored_types().items()]
-    return staging.where(vendor.isNotNull() & (vendor != HEADER_WORD)).select(*columns)
+    casts = {"int": truncated_int, "double": number, "string": str}
+    columns = [f"{casts[kind](name)} AS {name}" for name, kind in stored_types().items()]
+    return staging.where(f"{HEADER_WORD} <> '{HEADER_WORD}'").selectExpr(*columns)
 
 
 def write_orc(trips: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -104,17 +99,3 @@ def titled(result: DataFrame, title: str) -> DataFrame:
     """A report with its title in front."""
     return result.select(F.lit(title).alias("query_title"), "*")
 
-
-__all__ = [
-    "CLEAN_COLUMNS",
-    "read_orc",
-    "read_tsv",
-    "round_trip_check",
-    "titled",
-    "tsv_rows",
-    "typed_trips",
-    "write_csv",
-    "write_orc",
-    "write_results",
-    "write_tsv",
-]
