@@ -2,8 +2,9 @@
 
 A wide table has a text `row_key` and one struct column per column group, with
 typed cells, so cell predicates and single cells are read straight from the
-file. Stored tables are split by vendor and sorted by key: key ranges and
-prefixes then skip files and row groups by their statistics.
+file. Stored tables are split into vendor folders and sorted by key. They keep
+the folder name as a column, from which key conditions also skip whole folders;
+within a folder they skip row groups by the statistics of the sorted key.
 """
 
 from __future__ import annotations
@@ -21,6 +22,9 @@ from hackney.functions.numbers import truncated_int
 from hackney.schema import FAMILIES
 
 KEY = "row_key"
+
+# Folder column of stored tables: `v` and the vendor part of the key. The letter
+# keeps Spark from reading the folder name as a number.
 VENDOR = "key_vendor"
 
 # Key lists up to this length become a literal list that the scan can push down.
@@ -91,9 +95,14 @@ def ingest(frame: DataFrame, sequence: Sequence[str | Column] | None = None) ->
 
 
 def write_wide(table: DataFrame, path: str) -> None:
-    """Store a wide table split by vendor and sorted by key within files."""
+    """Store a wide table split by vendor and sorted by key.
+
+    The range shuffle gives every file its own key range. Files stay apart even
+    when one vendor holds most rows, because the ranges cut through vendors.
+    """
     (
-        table.withColumn(VENDOR, F.substring_index(KEY, "_", 1))
+        _unstored(table)
+        .withColumn(VENDOR, F.concat(F.lit("v"), F.substring_index(KEY, "_", 1)))
         .repartitionByRange(VENDOR, KEY)
         .sortWithinPartitions(VENDOR, KEY)
         .write.mode("overwrite")
@@ -103,7 +112,39 @@ def write_wide(table: DataFrame, path: str) -> None:
 
 
 def read_wide(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("basePath", path).parquet(path).drop(VENDOR)
+    return spark.read.parquet(path)
+
+
+def _unstored(table: DataFrame) -> DataFrame:
+    return table.drop(VENDOR)
+
+
+def _folders(
+    table: DataFrame,
+    *,
+    start: str | None = None,
+    stop: str | None = None,
+    prefix: str | None = None,
+    keys: Sequence[str] | None = None,
+) -> DataFrame:
+    """Cut a stored table to the folders that can hold the keys.
+
+    The start of every key is known from its folder, so comparing that start
+    with as much of the bound never leaves out a wanted key.
+    """
+    if VENDOR not in table.columns:
+        return table
+    head = F.concat(F.substring(VENDOR, 2, 100), F.lit("_"))
+    size = F.length(head)
+    if start is not None:
+        table = table.where(head >= F.left(F.lit(start), size))
+    if stop is not None:
+        table = table.where(head <= F.left(F.lit(stop), size))
+    if prefix is not None:
+        table = table.where(F.left(head, F.lit(len(prefix))) == F.left(F.lit(prefix), size))
+    if keys is not None:
+        table = table.where(F.col(VENDOR).isin(*sorted({"v" + k.split("_")[0] for k in keys})))
+    return table
 
 
 def flatten(table: DataFrame) -> DataFrame:
@@ -121,8 +162,8 @@ def put_rows(table: DataFrame, changes: DataFrame, key: Sequence[str] = (KEY,),
     A change set counted as small is broadcast, so the table is only filtered;
     beyond that both sides are shuffled by key.
     """
-    newest = latest_per_key(changes, key, sequence) if sequence else changes
-    kept = table.join(sized(newest.select(*key)), list(key), "left_anti")
+    newest = _unstored(latest_per_key(changes, key, sequence) if sequence else changes)
+    kept = _unstored(table).join(sized(newest.select(*key)), list(key), "left_anti")
     return kept.unionByName(newest)
 
 
@@ -133,6 +174,7 @@ def merge_cells(table: DataFrame, changes: DataFrame) -> DataFrame:
     with any subset of their cells; a new group or cell joins the table. Keys
     the table does not have become new rows.
     """
+    table, changes = _unstored(table), _unstored(changes)
     old, new = families(table), families(changes)
     groups = list(dict.fromkeys([*old, *new]))
     kinds = {
@@ -214,6 +256,8 @@ def project_prefix(table: DataFrame, prefix: str) -> DataFrame:
 
 def get_row(table: DataFrame, key: str | Column, columns: Sequence[str] | None = None) -> DataFrame:
     """The row with this key, or no row. Column groups and cells are optional."""
+    if isinstance(key, str):
+        table = _folders(table, keys=[key])
     row = table.where(F.col(KEY) == key)
     return project(row, columns) if columns else flatten(row)
 
@@ -246,8 +290,10 @@ def _chosen(table: DataFrame, keys: Sequence[str] | DataFrame, how: str) -> Data
         return table.join(sized(keys.select(KEY)), KEY, how)
     if len(keys) > LITERAL_KEYS:
         return table.join(sized(_key_frame(table, keys)), KEY, how)
-    listed = F.col(KEY).isin(*keys) if keys else F.lit(False)
-    return table.where(listed if how == "left_semi" else ~listed)
+    if not keys:
+        return table.where(F.lit(how == "left_anti"))
+    listed = F.col(KEY).isin(*keys)
+    return _folders(table, keys=keys).where(listed) if how == "left_semi" else table.where(~listed)
 
 
 def _key_frame(table: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -342,6 +388,14 @@ def key_prefix(prefix: str) -> Column:
     return F.col(KEY).startswith(prefix)
 
 
+def with_prefix(table: DataFrame, prefix: str) -> DataFrame:
+    return _folders(table, prefix=prefix).where(key_prefix(prefix))
+
+
+def in_range(table: DataFrame, start: str | None = None, stop: str | None = None) -> DataFrame:
+    return _folders(table, start=start, stop=stop).where(key_range(start, stop))
+
+
 def scan(
     table: DataFrame,
     *,
@@ -359,11 +413,9 @@ def scan(
     With a limit every task keeps that many rows. `ordered=False` saves the
     sort when the rows only feed an aggregate.
     """
-    rows = table
-    if start is not None or stop is not None:
-        rows = rows.where(key_range(start, stop))
+    rows = in_range(table, start, stop) if start is not None or stop is not None else table
     if prefix is not None:
-        rows = rows.where(key_prefix(prefix))
+        rows = with_prefix(rows, prefix)
     if where is not None:
         rows = rows.where(where)
     if ordered or limit is not None:

@@ -14,6 +14,7 @@ from hackney.operators.keyed import (
     get_rows,
     key_prefix,
     scan,
+    with_prefix,
 )
 
 # Thresholds and sizes of the reports.
@@ -130,7 +131,7 @@ def fast_trips(table: DataFrame, mph: float = FAST_MPH, compare: str = "numeric"
 
 
 def vendor_audit(table: DataFrame, prefix: str = AUDIT_PREFIX) -> DataFrame:
-    return table.where(key_prefix(prefix)).agg(
+    return with_prefix(table, prefix).agg(
         F.count("*").alias("trips"),
         _mean(_number(DISTANCE), F.count("*")).alias("avg_distance"),
         _sum(_number(TOTAL)).alias("total_revenue"),
