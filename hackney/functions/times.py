@@ -11,8 +11,13 @@ def to_time(value: str) -> str:
     return f"try_cast({value} AS timestamp_ntz)"
 
 
+def seconds_between(start: str, end: str) -> str:
+    """From the interval: `timestampdiff` would go through the session zone."""
+    return f"CAST(try_cast({end} - {start} AS decimal(18, 6)) AS double)"
+
+
 def minutes_between(start: str, end: str) -> str:
-    return f"(timestampdiff(MICROSECOND, {start}, {end}) / 1e6D / 60D)"
+    return f"({seconds_between(start, end)} / 60D)"
 
 
 def time_text(value: str) -> str:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from hackney.functions import times
+
 # What the documented attributes mean, by exact column name.
 ATTRIBUTES = {
     "VendorID": "Code indicating the TPEP provider that supplied the record (1 = Creative Mobile Technologies, 2 = VeriFone Inc.)",
@@ -77,10 +79,9 @@ def data_dictionary(frame: DataFrame, attributes: Mapping[str, str] = ATTRIBUTES
 
 
 def _as_double(name: str, kind: str) -> Column:
-    column = F.col(f"`{name}`")
     if _is(kind, TIMES):
-        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), column.cast("timestamp_ntz")) / 1e6
-    return column.cast("double")
+        return F.expr(times.seconds_between("timestamp_ntz'1970-01-01'", f"CAST(`{name}` AS timestamp_ntz)"))
+    return F.col(f"`{name}`").cast("double")
 
 
 def _melted(frame: DataFrame, columns: Mapping[str, Column], value_type: str) -> DataFrame:
