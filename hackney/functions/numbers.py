@@ -13,6 +13,15 @@ def round_half_even(value: str, digits: int = 2) -> str:
     return f"(rint(({value}) * {scale}) / {scale})"
 
 
+def settled(value: str, digits: int = 2) -> str:
+    """Round half up, the same for every partitioning.
+
+    The last bits of a sum of doubles depend on the order of its parts, which
+    could push a half either way. Rounding to eight places first removes them.
+    """
+    return f"round(round({value}, 8), {digits})"
+
+
 def number(value: str) -> str:
     return f"try_cast({value} AS double)"
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from hackney.functions.numbers import (
     lenient_double,
     percent_or_zero,
+    settled,
     strict_int,
     zero_filled,
 )
@@ -143,16 +144,16 @@ def _by_key(records: DataFrame, key: str, measures: dict[str, str]) -> DataFrame
 
 
 def _mean(name: str) -> str:
-    return f"round(avg({name}), 2)"
+    return settled(f"avg({name})")
 
 
-_TIP_PERCENT = f"round({percent_or_zero('sum(tip_amount)', 'sum(fare_amount)')}, 2)"
+_TIP_PERCENT = settled(percent_or_zero("sum(tip_amount)", "sum(fare_amount)"))
 
 
 def zone_performance(records: DataFrame, quality: Observation | None = None) -> DataFrame:
     measures = {
         "total_trips": "count(*)",
-        "total_revenue": "round(sum(total_amount), 2)",
+        "total_revenue": settled("sum(total_amount)"),
         "avg_fare": _mean("fare_amount"),
         "avg_distance": _mean("trip_distance"),
         "avg_duration_min": _mean("trip_duration_min"),
@@ -165,7 +166,7 @@ def zone_performance(records: DataFrame, quality: Observation | None = None) ->
 def hourly_performance(records: DataFrame, quality: Observation | None = None) -> DataFrame:
     measures = {
         "total_trips": "count(*)",
-        "total_revenue": "round(sum(total_amount), 2)",
+        "total_revenue": settled("sum(total_amount)"),
         "avg_revenue_per_trip": _mean("total_amount"),
         "avg_passengers": _mean("passenger_count"),
         "avg_duration_min": _mean("trip_duration_min"),
@@ -180,7 +181,7 @@ def tip_behavior(records: DataFrame, quality: Observation | None = None) -> Data
         "total_trips": "count(*)",
         "avg_tip_amount": _mean("tip_amount"),
         "avg_tip_pct": _TIP_PERCENT,
-        "zero_tip_rate": "round(count_if(tip_amount = 0) / count(*) * 100, 2)",
+        "zero_tip_rate": settled("count_if(tip_amount = 0) / count(*) * 100"),
         "avg_passengers": _mean("passenger_count"),
     }
     paid = _usable(records, quality).where("fare_amount > 0")

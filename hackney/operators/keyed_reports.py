@@ -37,13 +37,18 @@ def _number(path: str) -> Column:
     return F.coalesce(F.col(path).try_cast("double"), F.lit(0.0))
 
 
+def _settled(value: Column, digits: int = 2) -> Column:
+    """As `numbers.settled`: eight places first, so halves do not depend on order."""
+    return F.round(F.round(value, 8), digits)
+
+
 def _sum(value: Column) -> Column:
-    return F.round(F.coalesce(F.sum(value), F.lit(0.0)), 2)
+    return _settled(F.coalesce(F.sum(value), F.lit(0.0)))
 
 
 def _mean(value: Column, rows: Column) -> Column:
     """Sum over rows, zero when there are none."""
-    return F.round(F.coalesce(F.try_divide(F.sum(value), rows), F.lit(0.0)), 2)
+    return _settled(F.coalesce(F.try_divide(F.sum(value), rows), F.lit(0.0)))
 
 
 def vendor_report(table: DataFrame, vendors: Sequence[str] = VENDOR_CODES) -> DataFrame:
@@ -71,9 +76,9 @@ def vendor_report(table: DataFrame, vendors: Sequence[str] = VENDOR_CODES) -> Da
         return F.struct(
             F.lit(name).alias("vendor"),
             trips.alias("trips"),
-            F.round(revenue, 2).alias("total_revenue"),
-            F.round(miles, 2).alias("total_distance"),
-            F.round(mean, 2).alias("avg_revenue_per_trip"),
+            _settled(revenue).alias("total_revenue"),
+            _settled(miles).alias("total_distance"),
+            _settled(mean).alias("avg_revenue_per_trip"),
             top.alias("best"),
         )
 
@@ -110,7 +115,7 @@ def high_revenue(table: DataFrame, threshold: float = HIGH_REVENUE, compare: str
     return table.agg(
         F.count_if(hit).alias("trips"),
         _sum(F.when(hit, _number(TOTAL))).alias("combined_revenue"),
-        F.round(share, 1).alias("pct_of_trips"),
+        _settled(share, 1).alias("pct_of_trips"),
     )
 
 
@@ -210,9 +215,9 @@ def speed_outliers(table: DataFrame, keys: Sequence[str] | DataFrame) -> DataFra
     flag = F.when((speed > 0) & (speed < threshold), F.lit("OUTLIER")).when(speed > 0, F.lit("OK"))
     return picked.select(
         "*",
-        F.round(mean["speed"], 2).alias("mean_speed"),
-        F.round(mean["total"], 2).alias("mean_total"),
-        F.round(threshold, 2).alias("threshold"),
+        _settled(mean["speed"]).alias("mean_speed"),
+        _settled(mean["total"]).alias("mean_total"),
+        _settled(threshold).alias("threshold"),
         flag.alias("flag"),
     )
 

@@ -45,11 +45,11 @@ def guarded(trips: DataFrame) -> DataFrame:
 
 
 def _sum(name: str) -> str:
-    return f"round(sum({name}), 2)"
+    return numbers.settled(f"sum({name})")
 
 
 def _avg(name: str) -> str:
-    return f"round(avg({name}), 2)"
+    return numbers.settled(f"avg({name})")
 
 
 def _grouped(trips: DataFrame, *keys: str | Column, **measures: str) -> DataFrame:
@@ -108,7 +108,7 @@ def top_trips(trips: DataFrame, k: int = TOP_TRIPS) -> DataFrame:
     return (
         trips.orderBy(F.desc("total_amount"), *ends)
         .limit(k)
-        .selectExpr(*ends, *[f"round({column}, 2) AS {name}" for name, column in rounded.items()])
+        .selectExpr(*ends, *[f"{numbers.settled(column)} AS {name}" for name, column in rounded.items()])
     )
 
 
@@ -247,7 +247,7 @@ def occupancy(trips: DataFrame) -> DataFrame:
         avg_distance_miles=_avg("trip_distance"),
         avg_total_amount=_avg("total_amount"),
         avg_tip_amount=_avg("tip_amount"),
-        tip_percentage=f"round({numbers.percent('sum(tip_amount)', 'sum(fare_amount)')}, 2)",
+        tip_percentage=numbers.settled(numbers.percent("sum(tip_amount)", "sum(fare_amount)")),
     ).orderBy("passenger_count")
 
 

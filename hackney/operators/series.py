@@ -41,7 +41,7 @@ def payment_share(payment_report: DataFrame, all_trips: DataFrame) -> DataFrame:
     return payment_report.select(
         "payment_method",
         "trip_count",
-        F.round(F.try_divide(F.col("trip_count") * 100.0, total), 1).alias("share_pct"),
+        F.round(F.round(F.try_divide(F.col("trip_count") * 100.0, total), 8), 1).alias("share_pct"),
     )
 
 

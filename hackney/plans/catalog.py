@@ -163,7 +163,7 @@ def s_null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def s_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = profiling.describe(binding.trips(spark, sf_dir))
     exact = ["mean", "std", *profiling.QUARTILES]
-    return told.withColumns({name: F.round(name, 6) for name in exact})
+    return features.with_columns(told, {name: numbers.settled(name, 4) for name in exact})
 
 
 @query("s_title_row")

@@ -13,8 +13,8 @@ PERIOD = """CASE WHEN pickup_hour BETWEEN 16 AND 19 THEN 'Peak Evening (16-19)'
   WHEN pickup_hour BETWEEN 7 AND 9 THEN 'Peak Morning (07-09)' ELSE 'Off-Peak' END"""
 DAY_TYPE = "CASE WHEN is_weekend = 1 THEN 'Weekend' ELSE 'Weekday' END"
 
-_ZONES = """SELECT PULocationID, count(*) AS trip_count, round(avg(total_amount), 2) AS avg_total_amount,
-  round(avg(tip_amount), 2) AS avg_tip, round(sum(total_amount), 2) AS total_revenue
+_ZONES = """SELECT PULocationID, count(*) AS trip_count, CAST(round(CAST(avg(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_total_amount,
+  CAST(round(CAST(avg(tip_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_tip, CAST(round(CAST(sum(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS total_revenue
   FROM featured GROUP BY PULocationID"""
 
 
@@ -24,10 +24,10 @@ def q(body: str) -> str:
 
 SQL = {
     "q01_total_trips": q("SELECT count(*) AS total_trips FROM featured"),
-    "q02_total_revenue": q("SELECT round(sum(total_amount), 2) AS total_revenue FROM featured"),
+    "q02_total_revenue": q("SELECT CAST(round(CAST(sum(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS total_revenue FROM featured"),
     "q03_averages": q(
-        """SELECT round(avg(fare_amount), 2) AS avg_fare, round(avg(trip_distance), 2) AS avg_distance_miles,
-        round(avg(trip_duration_min), 2) AS avg_duration_min, round(avg(avg_speed_mph), 2) AS avg_speed_mph
+        """SELECT CAST(round(CAST(avg(fare_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_fare, CAST(round(CAST(avg(trip_distance) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_distance_miles,
+        CAST(round(CAST(avg(trip_duration_min) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_duration_min, CAST(round(CAST(avg(avg_speed_mph) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_speed_mph
         FROM featured"""
     ),
     "q04_top_zones_volume": q(
@@ -35,34 +35,34 @@ SQL = {
         ORDER BY trip_count DESC, PULocationID LIMIT 20"""
     ),
     "q05_top_zones_revenue": q(
-        """SELECT PULocationID, count(*) AS trip_count, round(sum(total_amount), 2) AS total_revenue,
-        round(avg(total_amount), 2) AS avg_revenue_per_trip FROM featured GROUP BY PULocationID
+        """SELECT PULocationID, count(*) AS trip_count, CAST(round(CAST(sum(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS total_revenue,
+        CAST(round(CAST(avg(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_revenue_per_trip FROM featured GROUP BY PULocationID
         ORDER BY total_revenue DESC, PULocationID LIMIT 20"""
     ),
     "q06_top_trips": q(
         f"""SELECT PULocationID, DOLocationID, {stamp("t.tpep_pickup_datetime")} AS tpep_pickup_datetime,
-        round(trip_distance, 2) AS trip_distance_miles, round(trip_duration_min, 2) AS trip_duration_min,
-        round(fare_amount, 2) AS fare_amount, round(tip_amount, 2) AS tip_amount,
-        round(total_amount, 2) AS total_amount FROM (SELECT * FROM featured
+        CAST(round(CAST(trip_distance AS DECIMAL(38, 8)), 2) AS DOUBLE) AS trip_distance_miles, CAST(round(CAST(trip_duration_min AS DECIMAL(38, 8)), 2) AS DOUBLE) AS trip_duration_min,
+        CAST(round(CAST(fare_amount AS DECIMAL(38, 8)), 2) AS DOUBLE) AS fare_amount, CAST(round(CAST(tip_amount AS DECIMAL(38, 8)), 2) AS DOUBLE) AS tip_amount,
+        CAST(round(CAST(total_amount AS DECIMAL(38, 8)), 2) AS DOUBLE) AS total_amount FROM (SELECT * FROM featured
         ORDER BY total_amount DESC, tpep_pickup_datetime, PULocationID, DOLocationID LIMIT 10) AS t"""
     ),
     "q07_distance_stats": q(
         """SELECT max(trip_distance) AS max_distance_miles, min(trip_distance) AS min_distance_miles,
-        round(avg(trip_distance), 2) AS avg_distance_miles, count(*) AS total_trips FROM featured
+        CAST(round(CAST(avg(trip_distance) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_distance_miles, count(*) AS total_trips FROM featured
         WHERE trip_distance > 0"""
     ),
     "q08_hourly": q(
-        """SELECT pickup_hour, count(*) AS trip_count, round(avg(trip_duration_min), 2) AS avg_duration_min,
-        round(avg(total_amount), 2) AS avg_total_amount FROM featured GROUP BY pickup_hour ORDER BY pickup_hour"""
+        """SELECT pickup_hour, count(*) AS trip_count, CAST(round(CAST(avg(trip_duration_min) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_duration_min,
+        CAST(round(CAST(avg(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_total_amount FROM featured GROUP BY pickup_hour ORDER BY pickup_hour"""
     ),
     "q09_weekend": q(
-        f"""SELECT {DAY_TYPE} AS day_type, count(*) AS trip_count, round(avg(total_amount), 2) AS avg_total_amount,
-        round(avg(trip_distance), 2) AS avg_distance_miles, round(avg(tip_amount), 2) AS avg_tip
+        f"""SELECT {DAY_TYPE} AS day_type, count(*) AS trip_count, CAST(round(CAST(avg(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_total_amount,
+        CAST(round(CAST(avg(trip_distance) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_distance_miles, CAST(round(CAST(avg(tip_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_tip
         FROM featured GROUP BY is_weekend ORDER BY is_weekend"""
     ),
     "q10_payment": q(
-        f"""SELECT {PAYMENT} AS payment_method, count(*) AS trip_count, round(sum(total_amount), 2) AS total_revenue,
-        round(avg(tip_amount), 2) AS avg_tip, round(avg(total_amount), 2) AS avg_fare
+        f"""SELECT {PAYMENT} AS payment_method, count(*) AS trip_count, CAST(round(CAST(sum(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS total_revenue,
+        CAST(round(CAST(avg(tip_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_tip, CAST(round(CAST(avg(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_fare
         FROM featured GROUP BY payment_type ORDER BY trip_count DESC, payment_type"""
     ),
     "q11_high_volume": q(f"SELECT * FROM ({_ZONES}) WHERE trip_count > 600"),
@@ -70,29 +70,29 @@ SQL = {
         f"SELECT * FROM ({_ZONES}) WHERE trip_count >= (SELECT greatest(10, count(*) // 500) FROM featured)"
     ),
     "q12_monthly": q(
-        """SELECT pickup_year, pickup_month, count(*) AS trip_count, round(sum(total_amount), 2) AS total_revenue,
-        round(avg(trip_distance), 2) AS avg_distance_miles, round(avg(trip_duration_min), 2) AS avg_duration_min,
-        round(avg(fare_amount), 2) AS avg_fare FROM featured GROUP BY pickup_year, pickup_month
+        """SELECT pickup_year, pickup_month, count(*) AS trip_count, CAST(round(CAST(sum(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS total_revenue,
+        CAST(round(CAST(avg(trip_distance) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_distance_miles, CAST(round(CAST(avg(trip_duration_min) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_duration_min,
+        CAST(round(CAST(avg(fare_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_fare FROM featured GROUP BY pickup_year, pickup_month
         ORDER BY pickup_year, pickup_month"""
     ),
     "q13_ratecode": q(
         f"""SELECT {RATE_CODE} AS rate_code_description, count(*) AS trip_count,
-        round(sum(total_amount), 2) AS total_revenue, round(avg(fare_amount), 2) AS avg_fare,
-        round(avg(trip_distance), 2) AS avg_distance_miles, round(avg(avg_speed_mph), 2) AS avg_speed_mph,
-        round(avg(fare_per_mile), 2) AS avg_fare_per_mile FROM featured GROUP BY RatecodeID
+        CAST(round(CAST(sum(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS total_revenue, CAST(round(CAST(avg(fare_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_fare,
+        CAST(round(CAST(avg(trip_distance) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_distance_miles, CAST(round(CAST(avg(avg_speed_mph) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_speed_mph,
+        CAST(round(CAST(avg(fare_per_mile) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_fare_per_mile FROM featured GROUP BY RatecodeID
         ORDER BY trip_count DESC, RatecodeID"""
     ),
     "q14_peak": q(
-        f"""SELECT {PERIOD} AS time_period, count(*) AS trip_count, round(sum(total_amount), 2) AS total_revenue,
-        round(sum(congestion_surcharge), 2) AS total_congestion_surcharge,
-        round(sum(cbd_congestion_fee), 2) AS total_cbd_fee, round(sum(Airport_fee), 2) AS total_airport_fee,
-        round(sum(tolls_amount), 2) AS total_tolls FROM featured GROUP BY 1 ORDER BY trip_count DESC, time_period"""
+        f"""SELECT {PERIOD} AS time_period, count(*) AS trip_count, CAST(round(CAST(sum(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS total_revenue,
+        CAST(round(CAST(sum(congestion_surcharge) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS total_congestion_surcharge,
+        CAST(round(CAST(sum(cbd_congestion_fee) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS total_cbd_fee, CAST(round(CAST(sum(Airport_fee) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS total_airport_fee,
+        CAST(round(CAST(sum(tolls_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS total_tolls FROM featured GROUP BY 1 ORDER BY trip_count DESC, time_period"""
     ),
     "q15_occupancy": q(
         """SELECT trunc(t.passenger_count)::INTEGER AS passenger_count, count(*) AS trip_count,
-        round(avg(trip_distance), 2) AS avg_distance_miles, round(avg(total_amount), 2) AS avg_total_amount,
-        round(avg(tip_amount), 2) AS avg_tip_amount,
-        round(sum(tip_amount) / nullif(sum(fare_amount), 0) * 100, 2) AS tip_percentage
+        CAST(round(CAST(avg(trip_distance) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_distance_miles, CAST(round(CAST(avg(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_total_amount,
+        CAST(round(CAST(avg(tip_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_tip_amount,
+        CAST(round(CAST(sum(tip_amount) / nullif(sum(fare_amount), 0) * 100 AS DECIMAL(38, 8)), 2) AS DOUBLE) AS tip_percentage
         FROM featured AS t WHERE t.passenger_count BETWEEN 1 AND 6 GROUP BY 1 ORDER BY 1"""
     ),
     "p_labels": q(
@@ -103,19 +103,19 @@ SQL = {
     "v3_payment_share": sql(
         TRIPS,
         f"""SELECT {PAYMENT} AS payment_method, count(*) AS trip_count,
-        round(100 * count(*) / (SELECT count(*) FROM trips), 1) AS share_pct FROM trips GROUP BY payment_type""",
+        CAST(round(CAST(100 * count(*) / (SELECT count(*) FROM trips) AS DECIMAL(38, 8)), 1) AS DOUBLE) AS share_pct FROM trips GROUP BY payment_type""",
     ),
     "v4_weekend_series": q(
-        f"""SELECT {DAY_TYPE} AS day_type, count(*) AS trip_count, round(avg(total_amount), 2) AS avg_total_amount
+        f"""SELECT {DAY_TYPE} AS day_type, count(*) AS trip_count, CAST(round(CAST(avg(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_total_amount
         FROM featured GROUP BY is_weekend"""
     ),
     "v5_month_series": q(
         """SELECT pickup_month, strftime(make_date(1997, pickup_month, 1), '%b') || ' 1997' AS month_name,
-        round(sum(total_amount), 2) AS total_revenue FROM featured
+        CAST(round(CAST(sum(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS total_revenue FROM featured
         WHERE pickup_year = 1997 AND pickup_month IN (1, 2, 3) GROUP BY pickup_month ORDER BY pickup_month"""
     ),
     "v8_ratecode_yield": q(
         f"""SELECT {RATE_CODE} AS rate_code_description, count(*) AS trip_count,
-        round(avg(fare_per_mile), 2) AS avg_fare_per_mile FROM featured GROUP BY RatecodeID"""
+        CAST(round(CAST(avg(fare_per_mile) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_fare_per_mile FROM featured GROUP BY RatecodeID"""
     ),
 }

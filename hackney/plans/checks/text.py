@@ -63,25 +63,25 @@ tip_records AS (
 
 def zone_job(source: str) -> str:
     return f"""
-SELECT PULocationID, count(*) AS total_trips, round(sum(total_amount), 2) AS total_revenue,
-  round(avg(fare_amount), 2) AS avg_fare, round(avg(trip_distance), 2) AS avg_distance,
-  round(avg(trip_duration_min), 2) AS avg_duration_min, round(avg(avg_speed_mph), 2) AS avg_speed_mph,
-  round(avg(tip_amount), 2) AS avg_tip
+SELECT PULocationID, count(*) AS total_trips, CAST(round(CAST(sum(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS total_revenue,
+  CAST(round(CAST(avg(fare_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_fare, CAST(round(CAST(avg(trip_distance) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_distance,
+  CAST(round(CAST(avg(trip_duration_min) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_duration_min, CAST(round(CAST(avg(avg_speed_mph) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_speed_mph,
+  CAST(round(CAST(avg(tip_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_tip
 FROM {source} GROUP BY PULocationID"""
 
 
-TIP_PCT = "round(CASE WHEN sum(fare_amount) > 0 THEN sum(tip_amount) / sum(fare_amount) * 100 ELSE 0 END, 2)"
+TIP_PCT = "CAST(round(CAST(CASE WHEN sum(fare_amount) > 0 THEN sum(tip_amount) / sum(fare_amount) * 100 ELSE 0 END AS DECIMAL(38, 8)), 2) AS DOUBLE)"
 HOUR_JOB = f"""
-SELECT pickup_hour, count(*) AS total_trips, round(sum(total_amount), 2) AS total_revenue,
-  round(avg(total_amount), 2) AS avg_revenue_per_trip, round(avg(passenger_count), 2) AS avg_passengers,
-  round(avg(trip_duration_min), 2) AS avg_duration_min, round(avg(tip_amount), 2) AS avg_tip,
+SELECT pickup_hour, count(*) AS total_trips, CAST(round(CAST(sum(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS total_revenue,
+  CAST(round(CAST(avg(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_revenue_per_trip, CAST(round(CAST(avg(passenger_count) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_passengers,
+  CAST(round(CAST(avg(trip_duration_min) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_duration_min, CAST(round(CAST(avg(tip_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_tip,
   {TIP_PCT} AS tip_percentage
 FROM hour_records GROUP BY pickup_hour"""
 TIP_JOB = f"""
-SELECT payment_fare_bucket, count(*) AS total_trips, round(avg(tip_amount), 2) AS avg_tip_amount,
+SELECT payment_fare_bucket, count(*) AS total_trips, CAST(round(CAST(avg(tip_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_tip_amount,
   {TIP_PCT} AS avg_tip_pct,
-  round(count(*) FILTER (WHERE tip_amount = 0) / count(*) * 100, 2) AS zero_tip_rate,
-  round(avg(passenger_count), 2) AS avg_passengers
+  CAST(round(CAST(count(*) FILTER (WHERE tip_amount = 0) / count(*) * 100 AS DECIMAL(38, 8)), 2) AS DOUBLE) AS zero_tip_rate,
+  CAST(round(CAST(avg(passenger_count) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_passengers
 FROM tip_records GROUP BY payment_fare_bucket"""
 
 _ALL_TEXT = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in CLEAN)
@@ -108,10 +108,10 @@ _SPARK_TYPES = {**RAW_COLUMNS, "PULocationID": "bigint", "DOLocationID": "bigint
 def _described(name: str) -> str:
     value = f"epoch_us({name}) / 1e6::DOUBLE" if name in TIMES else f"{name}::DOUBLE"
     return f"""
-SELECT '{name}' AS column_name, count({name}) AS count, round(avg({value}), 6) AS mean,
-  round(stddev_samp({value}), 6) AS std, min({value}) AS min, max({value}) AS max,
-  round(quantile_cont({value}, 0.25), 6) AS p25, round(quantile_cont({value}, 0.5), 6) AS p50,
-  round(quantile_cont({value}, 0.75), 6) AS p75,
+SELECT '{name}' AS column_name, count({name}) AS count, CAST(round(CAST(avg({value}) AS DECIMAL(38, 8)), 4) AS DOUBLE) AS mean,
+  CAST(round(CAST(stddev_samp({value}) AS DECIMAL(38, 8)), 4) AS DOUBLE) AS std, min({value}) AS min, max({value}) AS max,
+  CAST(round(CAST(quantile_cont({value}, 0.25) AS DECIMAL(38, 8)), 4) AS DOUBLE) AS p25, CAST(round(CAST(quantile_cont({value}, 0.5) AS DECIMAL(38, 8)), 4) AS DOUBLE) AS p50,
+  CAST(round(CAST(quantile_cont({value}, 0.75) AS DECIMAL(38, 8)), 4) AS DOUBLE) AS p75,
   NULL::BIGINT AS "unique", NULL::VARCHAR AS top, NULL::BIGINT AS freq
 FROM trips"""
 
@@ -172,8 +172,8 @@ SQL = {
     ),
     "s_result_files": sql(
         FEATURED,
-        """SELECT pickup_hour, count(*) AS trip_count, round(avg(trip_duration_min), 2) AS avg_duration_min,
-        round(avg(total_amount), 2) AS avg_total_amount FROM featured GROUP BY pickup_hour""",
+        """SELECT pickup_hour, count(*) AS trip_count, CAST(round(CAST(avg(trip_duration_min) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_duration_min,
+        CAST(round(CAST(avg(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_total_amount FROM featured GROUP BY pickup_hour""",
     ),
     "s_sample_n": sql(
         TRIPS,
