@@ -94,16 +94,18 @@ def ingest(frame: DataFrame, sequence: Sequence[str | Column] | None = None) ->
     return latest_per_key(wide_rows(frame), [KEY], order)
 
 
-def write_wide(table: DataFrame, path: str) -> None:
+def write_wide(table: DataFrame, path: str, files: int | None = None) -> None:
     """Store a wide table split by vendor and sorted by key.
 
     The range shuffle gives every file its own key range. Files stay apart even
     when one vendor holds most rows, because the ranges cut through vendors.
+    `files` sets the number of ranges; the session's shuffle setting otherwise.
     """
+    ranges = [VENDOR, KEY] if files is None else [files, VENDOR, KEY]
     (
         _unstored(table)
         .withColumn(VENDOR, F.concat(F.lit("v"), F.substring_index(KEY, "_", 1)))
-        .repartitionByRange(VENDOR, KEY)
+        .repartitionByRange(*ranges)
         .sortWithinPartitions(VENDOR, KEY)
         .write.mode("overwrite")
         .partitionBy(VENDOR)
