@@ -9,6 +9,7 @@ as one row per task.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation
@@ -135,7 +136,9 @@ def _usable(records: DataFrame, quality: Observation | None) -> DataFrame:
     would parse every number a second time.
     """
     skipped = F.count_if(SKIPPED).alias("skipped_records")
-    return records.observe(quality or "record_quality", skipped).where(f"NOT {SKIPPED}")
+    # Names of counts have to differ when one query uses several reports.
+    name = f"record_quality_{uuid.uuid4().hex[:12]}"
+    return records.observe(quality or name, skipped).where(f"NOT {SKIPPED}")
 
 
 def _by_key(records: DataFrame, key: str, measures: dict[str, str]) -> DataFrame:

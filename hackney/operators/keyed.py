@@ -271,14 +271,13 @@ def resolve_keys(keys: Sequence[str] | DataFrame) -> Sequence[str] | DataFrame:
     """
     if not isinstance(keys, DataFrame):
         return keys
-    listed = [row[0] for row in keys.select(KEY).distinct().limit(LITERAL_KEYS + 1).collect()]
-    return keys if len(listed) > LITERAL_KEYS else listed
+    listed = [row[0] for row in keys.select(KEY).limit(LITERAL_KEYS + 1).collect()]
+    return keys if len(listed) > LITERAL_KEYS else sorted(set(listed))
 
 
 def sized(changes: DataFrame) -> DataFrame:
     """Marked for broadcast if a count proves it small, unchanged otherwise."""
-    rows = changes.limit(BROADCAST_ROWS + 1).count()
-    return F.broadcast(changes) if rows <= BROADCAST_ROWS else changes
+    return F.broadcast(changes) if changes.count() <= BROADCAST_ROWS else changes
 
 
 def _chosen(table: DataFrame, keys: Sequence[str] | DataFrame, how: str) -> DataFrame:
@@ -288,10 +287,9 @@ def _chosen(table: DataFrame, keys: Sequence[str] | DataFrame, how: str) -> Data
     statistics; more keys become a join.
     """
     keys = resolve_keys(keys)
-    if isinstance(keys, DataFrame):
-        return table.join(sized(keys.select(KEY)), KEY, how)
-    if len(keys) > LITERAL_KEYS:
-        return table.join(sized(_key_frame(table, keys)), KEY, how)
+    if isinstance(keys, DataFrame) or len(keys) > LITERAL_KEYS:
+        wanted = keys.select(KEY) if isinstance(keys, DataFrame) else _key_frame(table, keys)
+        return table.join(sized(wanted), KEY, how)
     if not keys:
         return table.where(F.lit(how == "left_anti"))
     listed = F.col(KEY).isin(*keys)

@@ -39,8 +39,8 @@ ATTRIBUTES = {
 # The quartiles of a summary.
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
-# Buckets per unit of ln(1+|x|): each is about 0.05 % of its value wide.
-BUCKETS_PER_UNIT = 2048
+# Buckets per unit of ln(1+|x|): each is about 0.01 % of its value wide.
+BUCKETS_PER_UNIT = 8192
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 TIMES = ("timestamp", "timestamp_ntz", "date")
@@ -104,7 +104,7 @@ def quantiles(frame: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     """Exact quartiles with linear interpolation, one row per column.
 
     A value is sorted into a bucket that follows from the value alone and grows
-    with it, so counting buckets (pre-aggregated, some thousand per column)
+    with it, so counting buckets (pre-aggregated, some ten thousand per column)
     shows which few buckets hold the wanted ranks. Only values of those buckets
     are counted one by one. No task sees more than one narrow bucket.
     """

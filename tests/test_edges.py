@@ -86,6 +86,14 @@ def test_zone_job_skips_and_counts(read):
     assert counts == {"zone_performance": 1, "hourly_performance": 1, "tip_behavior": 1}
 
 
+def test_reports_can_share_a_query(read):
+    lines = read(line(), line(fare_amount="abc"))
+    zones, hours = jobs.zone_records(lines), jobs.hour_records(lines)
+    both = [jobs.zone_performance(zones), jobs.zone_performance(zones.where("true")), jobs.hourly_performance(hours)]
+    counts = [frame.select("total_trips") for frame in both]
+    assert [r[0] for r in counts[0].union(counts[1]).union(counts[2]).collect()] == [1, 1, 1]
+
+
 def test_hour_job(read):
     hours = ["5", "24", "-1", "5.0", "", " 23 ", "x"]
     lines = read(*[line(pickup_hour=h) for h in hours])
