@@ -101,3 +101,15 @@ def test_invariants(spark, sf_dir):
     assert total("v3_payment_share", "share_pct") == pytest.approx(100, abs=0.5)
     report = {r["cleaning_step"]: r for r in queries["c12_report"](spark, sf_dir).collect()}
     assert report["TOTAL"]["rows_removed"] == sum(r["rows_removed"] for s, r in report.items() if s != "TOTAL")
+
+
+def test_cleaning_funnel(spark, sf_dir):
+    rows = entry.queries()["c12_report"](spark, sf_dir).orderBy("step").collect()
+    left = [r["rows_remaining"] for r in rows]
+    assert rows[0]["rows_removed"] + left[0] == 6057
+    assert left == [6000, 6000, 5378, 4106, 3691, 3569, 3024, 3024, 3024, 2533, 2179, 2179]
+
+
+def test_latest_events(spark):
+    latest = entry.queries()["k_upsert_latest"](spark, "/root/testdata/sf0.01")
+    assert tuple(latest.agg(F.count("*"), F.sum("event_id")).first()) == (1200, 10_538_111)
