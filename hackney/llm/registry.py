@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hackney.llm import secrets, token_counts
+from hackney.llm import exact_dedup, mixing, secrets, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,9 +44,70 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of all sources takes of every document."""
+    return mixing.mix_sizes(table(spark, sf_dir, "documents"), weights=(5, 2, 1), most=3)
+
+
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of equal texts that every document belongs to, and whether it stays."""
+    return exact_dedup.find_copies(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_secret_scan": op2_secret_scan,
+    "op7_source_mix": op7_source_mix,
+    "op8_exact_dedup": op8_exact_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_source_mix": r"""
+        WITH measured AS (
+          SELECT doc_id, source,
+            coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+            ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15))::BIGINT AS place
+          FROM documents),
+        sizes AS (
+          SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+            row_number() OVER (ORDER BY source NULLS LAST) AS turn
+          FROM measured GROUP BY source),
+        weighted AS (
+          SELECT *, CASE turn % 3 WHEN 1 THEN 5 WHEN 2 THEN 2 ELSE 1 END AS weight FROM sizes),
+        filling AS (
+          SELECT *, row_number() OVER f AS step, sum(weight) OVER (
+              ORDER BY source_size / weight, turn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS heavier,
+            sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER (
+              ORDER BY source_size / weight, turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS remaining
+          FROM weighted WINDOW f AS (ORDER BY source_size / weight, turn)),
+        level AS (
+          SELECT step AS at, remaining, heavier FROM filling
+          WHERE 3 * source_size * heavier >= weight * remaining ORDER BY step LIMIT 1),
+        targets AS (
+          SELECT f.source, f.source_size, CASE WHEN f.step < l.at THEN CAST(3 * f.source_size AS DOUBLE)
+            ELSE CAST(f.weight * l.remaining AS DOUBLE) / CAST(l.heavier AS DOUBLE) END AS target
+          FROM filling f, level l),
+        plan AS (
+          SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS copies
+          FROM targets),
+        places AS (
+          SELECT m.source, m.place, sum(m.size) AS held,
+            sum(sum(m.size)) OVER (PARTITION BY m.source ORDER BY m.place) AS running
+          FROM measured m GROUP BY m.source, m.place),
+        extra AS (
+          SELECT p.source, p.place FROM places p JOIN plan t ON p.source IS NOT DISTINCT FROM t.source
+          WHERE p.running <= floor(t.target - t.copies * t.source_size)
+            OR (p.running - p.held <= floor(t.target - t.copies * t.source_size)
+              AND 2 * (floor(t.target - t.copies * t.source_size) - p.running + p.held) >= p.held))
+        SELECT m.doc_id, CAST(m.size AS BIGINT) AS size, t.source_size, t.target,
+          CAST(m.size * (t.copies + CASE WHEN e.place IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS taken
+        FROM measured m JOIN plan t ON m.source IS NOT DISTINCT FROM t.source
+        LEFT JOIN extra e ON m.source IS NOT DISTINCT FROM e.source AND m.place = e.place""",
+    "op8_exact_dedup": """
+        WITH normal AS (
+          SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+          FROM documents)
+        SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+          doc_id IS NOT DISTINCT FROM max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
+        FROM normal""",
+}
