@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Rows handled at a time inside a task, so that a batch of long texts stays small in Python.
 SLICE_ROWS = 256
@@ -33,7 +34,7 @@ def texts_of(frame: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     return pick(frame, key, text).withColumn(text, F.coalesce(F.col(text).cast("string"), F.lit("")))
 
 
-def map_slices(frame: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+def map_slices(frame: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType) -> DataFrame:
     """Apply a function to slices of Arrow batches; a row in may give any number of rows out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

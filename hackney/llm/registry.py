@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hackney.llm import exact_dedup, mixing, secrets, token_counts
+from hackney.llm import exact_dedup, mixing, secrets, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +44,18 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score, verdict and toxic spans of every document."""
+    scored = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "spans",
+    )
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of all sources takes of every document."""
     return mixing.mix_sizes(table(spark, sf_dir, "documents"), weights=(5, 2, 1), most=3)
@@ -57,6 +69,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_secret_scan": op2_secret_scan,
+    "op5_toxicity": op5_toxicity,
     "op7_source_mix": op7_source_mix,
     "op8_exact_dedup": op8_exact_dedup,
 }
