@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hackney.llm import exact_dedup, mixing, secrets, token_counts, toxicity
+from hackney.llm import exact_dedup, html_extraction, mixing, secrets, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,13 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, its blocks joined by newlines."""
+    found = html_extraction.extract_text(table(spark, sf_dir, "pages"))
+    text = F.array_join("blocks", "\n")
+    return found.select("page_id", "url", text.alias("text"), F.char_length(text).cast("long").alias("n_chars"))
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of all sources takes of every document."""
     return mixing.mix_sizes(table(spark, sf_dir, "documents"), weights=(5, 2, 1), most=3)
@@ -70,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_secret_scan": op2_secret_scan,
     "op5_toxicity": op5_toxicity,
+    "op6_html_extraction": op6_html_extraction,
     "op7_source_mix": op7_source_mix,
     "op8_exact_dedup": op8_exact_dedup,
 }
