@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hackney.llm import exact_dedup, html_extraction, mixing, secrets, token_counts, toxicity
+from hackney.llm import chat, exact_dedup, html_extraction, mixing, secrets, token_counts, toxicity
+from hackney.llm.frames import pick
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +45,14 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one that holds the template's marks, formatted and read back."""
+    rows = pick(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    says = r"'\### Assistant: </turn> ok'"
+    marked = spark.range(2).selectExpr("-7L AS conv_id", "id AS turn", "if(id = 0, 'user', 'assistant') AS role", f"r{says} AS text")
+    return chat.read_back(chat.format_turns(rows.unionByName(marked)))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score, verdict and toxic spans of every document."""
     scored = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -76,6 +85,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_secret_scan": op2_secret_scan,
+    "op4_chat_format": op4_chat_format,
     "op5_toxicity": op5_toxicity,
     "op6_html_extraction": op6_html_extraction,
     "op7_source_mix": op7_source_mix,
