@@ -34,13 +34,13 @@ def texts_of(frame: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     return pick(frame, key, text).withColumn(text, F.coalesce(F.col(text).cast("string"), F.lit("")))
 
 
-def map_slices(frame: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType) -> DataFrame:
+def map_slices(frame: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType, rows: int = SLICE_ROWS) -> DataFrame:
     """Apply a function to slices of Arrow batches; a row in may give any number of rows out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, SLICE_ROWS):
-                yield fn(batch.slice(start, SLICE_ROWS))
+            for start in range(0, batch.num_rows, rows):
+                yield fn(batch.slice(start, rows))
 
     return frame.mapInArrow(run, schema)
 

@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hackney.llm import chat, exact_dedup, html_extraction, mixing, secrets, token_counts, toxicity
+from hackney.llm import chat, exact_dedup, html_extraction, mixing, pieces, secrets, token_counts, toxicity
 from hackney.llm.frames import pick
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 BYTE_PAIRS = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +46,11 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and whether decoding them gives its text."""
+    return pieces.encode(table(spark, sf_dir, "documents"), PIECES)
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one that holds the template's marks, formatted and read back."""
     rows = pick(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
@@ -85,6 +91,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_secret_scan": op2_secret_scan,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_chat_format": op4_chat_format,
     "op5_toxicity": op5_toxicity,
     "op6_html_extraction": op6_html_extraction,
