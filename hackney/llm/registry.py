@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hackney.llm import chat, exact_dedup, html_extraction, mixing, pieces, secrets, token_counts, toxicity
+from hackney.llm import chat, exact_dedup, html_extraction, mixing, near_dedup, pieces, secrets, token_counts, toxicity
 from hackney.llm.frames import pick
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +88,11 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_copies(table(spark, sf_dir, "documents"))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near copies of every document, and whether it stays."""
+    return near_dedup.near_copies(table(spark, sf_dir, "documents"), similarity=0.8)
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_secret_scan": op2_secret_scan,
@@ -97,6 +102,7 @@ QUERIES: dict[str, Query] = {
     "op6_html_extraction": op6_html_extraction,
     "op7_source_mix": op7_source_mix,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_near_dedup": op9_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
