@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hackney.llm import chat, exact_dedup, html_extraction, mixing, near_dedup, pieces, secrets, token_counts, toxicity
+from hackney.llm import chat, exact_dedup, html_extraction, mixing, near_dedup, pieces, search, secrets, token_counts, toxicity
 from hackney.llm.frames import pick
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +93,13 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_copies(table(spark, sf_dir, "documents"), similarity=0.8)
 
 
+def op10_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for each document whose id is divisible by 100, taken as a query."""
+    documents = table(spark, sf_dir, "documents")
+    queries = pick(documents, "doc_id", "text").where("doc_id % 100 = 0").withColumnRenamed("doc_id", "query_id")
+    return search.top_k(documents, queries, k=10)
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_secret_scan": op2_secret_scan,
@@ -103,6 +110,7 @@ QUERIES: dict[str, Query] = {
     "op7_source_mix": op7_source_mix,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_near_dedup": op9_near_dedup,
+    "op10_top_k_search": op10_top_k_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -154,4 +162,21 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
           doc_id IS NOT DISTINCT FROM max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
         FROM normal""",
+    "op10_top_k_search": r"""
+        WITH words AS (
+          SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')) AS term FROM documents),
+        held AS (SELECT doc_id, term, count(*) AS times FROM words GROUP BY doc_id, term),
+        lengths AS (SELECT doc_id, sum(times) AS length FROM held GROUP BY doc_id),
+        total AS (SELECT count(*) AS docs, (SELECT sum(length) FROM lengths) / count(*) AS mean FROM documents),
+        rarity AS (
+          SELECT term, ln(1 + (any_value(docs) - count(*) + 0.5) / (count(*) + 0.5)) AS idf
+          FROM held, total GROUP BY term),
+        scored AS (
+          SELECT q.doc_id AS query_id, d.doc_id, round(sum(q.times * idf * d.times * 2.2
+            / (d.times + 1.2 * (0.25 + 0.75 * length / mean))), 6) AS score
+          FROM held q JOIN held d USING (term) JOIN rarity USING (term) JOIN lengths l ON l.doc_id = d.doc_id, total
+          WHERE q.doc_id % 100 = 0 GROUP BY q.doc_id, d.doc_id),
+        ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS place FROM scored)
+        SELECT query_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 10""",
 }
