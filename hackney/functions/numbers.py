@@ -13,13 +13,27 @@ def round_half_even(value: str, digits: int = 2) -> str:
     return f"(rint(({value}) * {scale}) / {scale})"
 
 
-def settled(value: str, digits: int = 2) -> str:
-    """Round half up, the same for every partitioning.
+def amount(value: str) -> str:
+    """A value as a decimal of twelve places, so that sums do not depend on their order.
 
-    The last bits of a sum of doubles depend on the order of its parts, which
-    could push a half either way. Rounding to eight places first removes them.
+    NaN, infinities and values of 1e16 and more are no amounts and count as missing.
     """
-    return f"round(round({value}, 8), {digits})"
+    return f"try_cast({value} AS decimal(28, 12))"
+
+
+def total(value: str, digits: int = 2) -> str:
+    """An exact sum, rounded half up once."""
+    return f"CAST(round(sum({amount(value)}), {digits}) AS double)"
+
+
+def mean(value: str, digits: int = 2) -> str:
+    """An exact sum over its number of values, rounded half up once."""
+    return f"CAST(round(try_divide(sum({amount(value)}), count({amount(value)})), {digits}) AS double)"
+
+
+def whole_sum(value: str) -> str:
+    """An exact sum as a double, for ratios."""
+    return f"CAST(sum({amount(value)}) AS double)"
 
 
 def number(value: str) -> str:

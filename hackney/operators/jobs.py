@@ -9,7 +9,6 @@ as one row per task.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation
@@ -17,9 +16,11 @@ from pyspark.sql import functions as F
 
 from hackney.functions.numbers import (
     lenient_double,
+    mean,
     percent_or_zero,
-    settled,
     strict_int,
+    total,
+    whole_sum,
     zero_filled,
 )
 from hackney.functions.rows import inline_rows
@@ -113,32 +114,11 @@ def zone_records_of(frame: DataFrame) -> DataFrame:
     )
 
 
-def hour_records_of(frame: DataFrame) -> DataFrame:
-    return frame.where("pickup_hour BETWEEN 0 AND 23").selectExpr(
-        f"{hour_key('CAST(pickup_hour AS string)')} AS pickup_hour",
-        *_measures(HOUR_MEASURES, zero_filled),
-        f"false AS {SKIPPED}",
-    )
-
-
-def tip_records_of(frame: DataFrame) -> DataFrame:
-    return frame.where(f"payment_type IN {TIP_PAYMENTS}").selectExpr(
-        f"{tip_key('payment_type', zero_filled('fare_amount'))} AS payment_fare_bucket",
-        *_measures(TIP_MEASURES, zero_filled),
-        f"false AS {SKIPPED}",
-    )
-
-
 def _usable(records: DataFrame, quality: Observation | None) -> DataFrame:
-    """Drop marked records, counting them on the way.
-
-    The count also keeps the filter above the parsed columns; pushed below it
-    would parse every number a second time.
-    """
-    skipped = F.count_if(SKIPPED).alias("skipped_records")
-    # Names of counts have to differ when one query uses several reports.
-    name = f"record_quality_{uuid.uuid4().hex[:12]}"
-    return records.observe(quality or name, skipped).where(f"NOT {SKIPPED}")
+    """Drop marked records, counting them on the way if a counter is given."""
+    if quality is not None:
+        records = records.observe(quality, F.count_if(SKIPPED).alias("skipped_records"))
+    return records.where(f"NOT {SKIPPED}")
 
 
 def _by_key(records: DataFrame, key: str, measures: dict[str, str]) -> DataFrame:
@@ -146,22 +126,18 @@ def _by_key(records: DataFrame, key: str, measures: dict[str, str]) -> DataFrame
     return records.groupBy(key).agg(*columns).orderBy(key)
 
 
-def _mean(name: str) -> str:
-    return settled(f"avg({name})")
-
-
-_TIP_PERCENT = settled(percent_or_zero("sum(tip_amount)", "sum(fare_amount)"))
+_TIP_PERCENT = f"round({percent_or_zero(whole_sum('tip_amount'), whole_sum('fare_amount'))}, 2)"
 
 
 def zone_performance(records: DataFrame, quality: Observation | None = None) -> DataFrame:
     measures = {
         "total_trips": "count(*)",
-        "total_revenue": settled("sum(total_amount)"),
-        "avg_fare": _mean("fare_amount"),
-        "avg_distance": _mean("trip_distance"),
-        "avg_duration_min": _mean("trip_duration_min"),
-        "avg_speed_mph": _mean("avg_speed_mph"),
-        "avg_tip": _mean("tip_amount"),
+        "total_revenue": total("total_amount"),
+        "avg_fare": mean("fare_amount"),
+        "avg_distance": mean("trip_distance"),
+        "avg_duration_min": mean("trip_duration_min"),
+        "avg_speed_mph": mean("avg_speed_mph"),
+        "avg_tip": mean("tip_amount"),
     }
     return _by_key(_usable(records, quality), "PULocationID", measures)
 
@@ -169,11 +145,11 @@ def zone_performance(records: DataFrame, quality: Observation | None = None) ->
 def hourly_performance(records: DataFrame, quality: Observation | None = None) -> DataFrame:
     measures = {
         "total_trips": "count(*)",
-        "total_revenue": settled("sum(total_amount)"),
-        "avg_revenue_per_trip": _mean("total_amount"),
-        "avg_passengers": _mean("passenger_count"),
-        "avg_duration_min": _mean("trip_duration_min"),
-        "avg_tip": _mean("tip_amount"),
+        "total_revenue": total("total_amount"),
+        "avg_revenue_per_trip": mean("total_amount"),
+        "avg_passengers": mean("passenger_count"),
+        "avg_duration_min": mean("trip_duration_min"),
+        "avg_tip": mean("tip_amount"),
         "tip_percentage": _TIP_PERCENT,
     }
     return _by_key(_usable(records, quality), "pickup_hour", measures)
@@ -182,21 +158,17 @@ def hourly_performance(records: DataFrame, quality: Observation | None = None) -
 def tip_behavior(records: DataFrame, quality: Observation | None = None) -> DataFrame:
     measures = {
         "total_trips": "count(*)",
-        "avg_tip_amount": _mean("tip_amount"),
+        "avg_tip_amount": mean("tip_amount"),
         "avg_tip_pct": _TIP_PERCENT,
-        "zero_tip_rate": settled("count_if(tip_amount = 0) / count(*) * 100"),
-        "avg_passengers": _mean("passenger_count"),
+        "zero_tip_rate": "round(count_if(tip_amount = 0) / count(*) * 100, 2)",
+        "avg_passengers": mean("passenger_count"),
     }
     paid = _usable(records, quality).where("fare_amount > 0")
     return _by_key(paid, "payment_fare_bucket", measures)
 
 
 def quality_counts(lines: DataFrame) -> DataFrame:
-    """Skipped records per report, one row each, from one pass over the lines.
-
-    Values stay typed between the steps, so the malformed-value and parse-error
-    counters of a text shuffle are always zero here.
-    """
+    """Skipped records per report, one row each, from one pass over the lines."""
     every = dict.fromkeys((*ZONE_MEASURES, *HOUR_MEASURES, *TIP_MEASURES))
     parsed = lines.selectExpr(
         f"{_IN_ZONE_JOB} AS in_zone",
@@ -212,13 +184,5 @@ def quality_counts(lines: DataFrame) -> DataFrame:
         "tip_behavior": f"in_tip AND ({_any_null(['payment', *TIP_MEASURES])})",
     }
     counts = parsed.selectExpr(*[f"count_if({bad}) AS {job}" for job, bad in skipped.items()])
-    rows = [
-        {
-            "job": f"'{job}'",
-            "skipped_records": job,
-            "malformed_values": "0L",
-            "parse_errors": "0L",
-        }
-        for job in skipped
-    ]
+    rows = [{"job": f"'{job}'", "skipped_records": job} for job in skipped]
     return counts.selectExpr(inline_rows(rows))

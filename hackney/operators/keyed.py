@@ -10,6 +10,7 @@ within a folder they skip row groups by the statistics of the sorted key.
 from __future__ import annotations
 
 import operator
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,12 +28,6 @@ KEY = "row_key"
 # keeps Spark from reading the folder name as a number.
 VENDOR = "key_vendor"
 
-# Key lists up to this length become a literal list that the scan can push down.
-LITERAL_KEYS = 1000
-
-# Counted change sets up to this many rows are broadcast; larger ones shuffle.
-BROADCAST_ROWS = 200_000
-
 COMPARE = {
     "=": operator.eq,
     "!=": operator.ne,
@@ -82,35 +77,44 @@ def latest_per_key(frame: DataFrame, key: Sequence[str], sequence: Sequence[str
     return frame.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
 
 
-def ingest(frame: DataFrame, sequence: Sequence[str | Column] | None = None) -> DataFrame:
+# The order of puts of trips that share a key.
+TRIP_SEQUENCE = (
+    "timing.dropoff_datetime",
+    "trip_info.DOLocationID",
+    "trip_info.payment_type",
+    "financials.total_amount",
+    "trip_info.trip_distance",
+)
+
+
+def ingest(frame: DataFrame, sequence: Sequence[str | Column] = TRIP_SEQUENCE) -> DataFrame:
     """Trips as wide rows with one row per key; the last put of a key stays."""
-    order = sequence or [
-        "timing.dropoff_datetime",
-        "trip_info.DOLocationID",
-        "trip_info.payment_type",
-        "financials.total_amount",
-        "trip_info.trip_distance",
-    ]
-    return latest_per_key(wide_rows(frame), [KEY], order)
+    return latest_per_key(wide_rows(frame), [KEY], sequence)
+
 
+def store_trips(frame: DataFrame, path: str, files: int | None = None) -> None:
+    """Trips stored as a wide table, with one shuffle for the upsert and the layout together."""
+    write_wide(wide_rows(frame), path, files, TRIP_SEQUENCE)
 
-def write_wide(table: DataFrame, path: str, files: int | None = None) -> None:
+
+def _with_folder(table: DataFrame) -> DataFrame:
+    return _unstored(table).withColumn(VENDOR, F.concat(F.lit("v"), F.substring_index(KEY, "_", 1)))
+
+
+def write_wide(table: DataFrame, path: str, files: int | None = None, sequence: Sequence[str | Column] = ()) -> None:
     """Store a wide table split by vendor and sorted by key.
 
     The range shuffle gives every file its own key range. Files stay apart even
     when one vendor holds most rows, because the ranges cut through vendors.
     `files` sets the number of ranges; the session's shuffle setting otherwise.
+    With `sequence` the table may hold several rows per key, and the last of each
+    is stored; the ranges bring them together, so that takes no further shuffle.
     """
     ranges = [VENDOR, KEY] if files is None else [files, VENDOR, KEY]
-    (
-        _unstored(table)
-        .withColumn(VENDOR, F.concat(F.lit("v"), F.substring_index(KEY, "_", 1)))
-        .repartitionByRange(*ranges)
-        .sortWithinPartitions(VENDOR, KEY)
-        .write.mode("overwrite")
-        .partitionBy(VENDOR)
-        .parquet(path)
-    )
+    ranged = _with_folder(table).repartitionByRange(*ranges)
+    if sequence:
+        ranged = latest_per_key(ranged, [VENDOR, KEY], sequence)
+    ranged.sortWithinPartitions(VENDOR, KEY).write.mode("overwrite").partitionBy(VENDOR).parquet(path)
 
 
 def read_wide(spark: SparkSession, path: str) -> DataFrame:
@@ -131,12 +135,13 @@ def _folders(
 ) -> DataFrame:
     """Cut a stored table to the folders that can hold the keys.
 
-    The start of every key is known from its folder, so comparing that start
-    with as much of the bound never leaves out a wanted key.
+    Every key starts with its folder's name, so comparing that name with as much
+    of the bound never leaves out a wanted key, whether or not the key has an
+    underscore.
     """
     if VENDOR not in table.columns:
         return table
-    head = F.concat(F.substring(VENDOR, 2, 100), F.lit("_"))
+    head = F.expr(f"substring({VENDOR}, 2)")
     size = F.length(head)
     if start is not None:
         table = table.where(head >= F.left(F.lit(start), size))
@@ -158,23 +163,25 @@ def flatten(table: DataFrame) -> DataFrame:
 # --- put -----------------------------------------------------------------
 
 
-def put_rows(table: DataFrame, changes: DataFrame, key: Sequence[str] = (KEY,), sequence: Sequence[str] = ()) -> DataFrame:
-    """Insert or replace whole rows.
+def put_rows(table: DataFrame, changes: DataFrame, sequence: Sequence[str | Column], key: Sequence[str] = (KEY,)) -> DataFrame:
+    """Insert or replace whole rows; of several changes for a key the last in sequence order stays.
 
-    A change set counted as small is broadcast, so the table is only filtered;
-    beyond that both sides are shuffled by key.
+    Columns of the changes that the table does not have only serve the sequence. Which side
+    is broadcast, if any, is left to the optimizer and the sizes it sees.
     """
-    newest = _unstored(latest_per_key(changes, key, sequence) if sequence else changes)
-    kept = _unstored(table).join(sized(newest.select(*key)), list(key), "left_anti")
-    return kept.unionByName(newest)
+    table = _unstored(table)
+    newest = latest_per_key(changes, key, sequence).select(*table.columns)
+    return table.join(newest.select(*key), list(key), "left_anti").unionByName(newest)
 
 
-def merge_cells(table: DataFrame, changes: DataFrame) -> DataFrame:
+def merge_cells(table: DataFrame, changes: DataFrame, sequence: Sequence[str]) -> DataFrame:
     """Put single cells: given cells replace, missing cells stay as they are.
 
-    `changes` has one row per key and structs named like the column groups,
-    with any subset of their cells; a new group or cell joins the table. Keys
-    the table does not have become new rows.
+    `changes` has structs named like the column groups, with any subset of their cells, and the
+    columns of the sequence; a new group or cell joins the table. Of several changes for a key the
+    last value given for each cell stays. Keys the table does not have become new rows, a null key
+    matches none. Changes are reduced to a row per key where they are read, and one outer join
+    brings both sides together, so the table is read once.
     """
     table, changes = _unstored(table), _unstored(changes)
     old, new = families(table), families(changes)
@@ -185,10 +192,19 @@ def merge_cells(table: DataFrame, changes: DataFrame) -> DataFrame:
         for group in families(frame)
         for f in frame.schema[group].dataType
     }
+    order = F.struct(*[F.col(c) for c in sequence])
+    path = {(group, name): F.col(f"{group}.{name}") for group, names in new.items() for name in names}
+    last = changes.groupBy(KEY).agg(
+        *[
+            F.struct(*[F.max_by(path[group, name], F.when(path[group, name].isNotNull(), order)).alias(name) for name in names]).alias(group)
+            for group, names in new.items()
+        ]
+    )
 
-    def cells(group: str, *sources: tuple[str, dict[str, list[str]]]) -> Column:
-        """A group whose cells come from the first source that has a value."""
+    def cells(group: str) -> Column:
+        """A group whose cells come from the changes, else from the table."""
         names = dict.fromkeys([*old.get(group, []), *new.get(group, [])])
+        sources = (("c", new), ("t", old))
         return F.struct(
             *[
                 F.coalesce(
@@ -201,16 +217,8 @@ def merge_cells(table: DataFrame, changes: DataFrame) -> DataFrame:
             ]
         ).alias(group)
 
-    small = sized(changes)
-    updated = (
-        table.alias("t")
-        .join(small.alias("c"), KEY, "left")
-        .select(KEY, *[cells(group, ("c", new), ("t", old)) for group in groups])
-    )
-    # Only keys are compared, so finding the new rows reads one column.
-    known = table.select(KEY).join(small.select(KEY), KEY, "left_semi")
-    added = changes.join(known, KEY, "left_anti").alias("c")
-    return updated.unionByName(added.select(KEY, *[cells(group, ("c", new)) for group in groups]))
+    both = table.alias("t").join(last.alias("c"), F.col(f"t.{KEY}") == F.col(f"c.{KEY}"), "full_outer")
+    return both.select(F.coalesce(f"t.{KEY}", f"c.{KEY}").alias(KEY), *[cells(group) for group in groups])
 
 
 def add_family(table: DataFrame, group: str, cells: Mapping[str, str]) -> DataFrame:
@@ -264,54 +272,40 @@ def get_row(table: DataFrame, key: str | Column, columns: Sequence[str] | None =
     return project(row, columns) if columns else flatten(row)
 
 
-def resolve_keys(keys: Sequence[str] | DataFrame) -> Sequence[str] | DataFrame:
-    """A short key table as a plain list, a long one as it is.
-
-    At most `LITERAL_KEYS + 1` keys ever reach the driver.
-    """
-    if not isinstance(keys, DataFrame):
-        return keys
-    listed = [row[0] for row in keys.select(KEY).limit(LITERAL_KEYS + 1).collect()]
-    return keys if len(listed) > LITERAL_KEYS else sorted(set(listed))
-
-
-def sized(changes: DataFrame) -> DataFrame:
-    """Marked for broadcast if a count proves it small, unchanged otherwise."""
-    return F.broadcast(changes) if changes.count() <= BROADCAST_ROWS else changes
-
-
-def _chosen(table: DataFrame, keys: Sequence[str] | DataFrame, how: str) -> DataFrame:
+def chosen(table: DataFrame, keys: Sequence[str | None] | DataFrame, how: str = "left_semi") -> DataFrame:
     """Rows whose key is (`left_semi`) or is not (`left_anti`) among the keys.
 
-    Few keys become a literal filter, which skips files and row groups by their
-    statistics; more keys become a join.
+    A null key, asked or stored, equals none: rows with one are never chosen and never taken away.
+    A caller's own list is a literal filter, which skips files and row groups by their
+    statistics. A table of keys is a join, whatever its size; the optimizer sees the size and
+    broadcasts a small one.
     """
-    keys = resolve_keys(keys)
-    if isinstance(keys, DataFrame) or len(keys) > LITERAL_KEYS:
-        wanted = keys.select(KEY) if isinstance(keys, DataFrame) else _key_frame(table, keys)
-        return table.join(sized(wanted), KEY, how)
-    if not keys:
+    if isinstance(keys, DataFrame):
+        return table.join(keys.select(KEY).where(F.col(KEY).isNotNull()).distinct(), KEY, how)
+    listed = [k for k in keys if k is not None]
+    if not listed:
         return table.where(F.lit(how == "left_anti"))
-    listed = F.col(KEY).isin(*keys)
-    return _folders(table, keys=keys).where(listed) if how == "left_semi" else table.where(~listed)
+    inside = F.col(KEY).isin(*listed)
+    if how == "left_semi":
+        return _folders(table, keys=listed).where(inside)
+    return table.where(F.coalesce(~inside, F.lit(True)))
 
 
-def _key_frame(table: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _key_frame(table: DataFrame, keys: Sequence[str | None]) -> DataFrame:
     return table.sparkSession.createDataFrame([(k,) for k in keys], f"{KEY} string")
 
 
-def get_rows(table: DataFrame, keys: Sequence[str] | DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per asked key, in key order, with `found` false for absent keys.
+def get_rows(table: DataFrame, keys: Sequence[str | None] | DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per asked key, in key order, with `found` false for absent keys; null keys are not asked.
 
     The table is first cut down to the asked keys, by a literal list or a
     semi-join, so the outer join only sees rows that are wanted.
     """
-    keys = resolve_keys(keys)
-    hits = project(_chosen(table, keys, "left_semi"), columns).withColumn("found", F.lit(True))
-    if not isinstance(keys, DataFrame):
-        keys = _key_frame(table, keys)
+    hits = project(chosen(table, keys), columns).withColumn("found", F.lit(True))
+    asked = keys if isinstance(keys, DataFrame) else _key_frame(table, keys)
     return (
-        keys.select(KEY)
+        asked.select(KEY)
+        .where(F.col(KEY).isNotNull())
         .distinct()
         .join(hits, KEY, "left")
         .withColumn("found", F.coalesce("found", F.lit(False)))
@@ -322,9 +316,9 @@ def get_rows(table: DataFrame, keys: Sequence[str] | DataFrame, columns: Sequenc
 # --- delete --------------------------------------------------------------
 
 
-def delete_rows(table: DataFrame, keys: Sequence[str] | DataFrame) -> DataFrame:
+def delete_rows(table: DataFrame, keys: Sequence[str | None] | DataFrame) -> DataFrame:
     """Without the rows of these keys; absent keys change nothing."""
-    return _chosen(table, keys, "left_anti")
+    return chosen(table, keys, "left_anti")
 
 
 def delete_where(table: DataFrame, condition: Column) -> DataFrame:
@@ -339,9 +333,9 @@ def delete_cell(table: DataFrame, path: str, where: Column) -> DataFrame:
     return table.withColumn(group, F.col(group).withField(name, kept))
 
 
-def delete_audit(before: DataFrame, after: DataFrame, keys: Sequence[str] | DataFrame) -> DataFrame:
+def delete_audit(before: DataFrame, after: DataFrame, keys: Sequence[str | None] | DataFrame) -> DataFrame:
     """Row counts around a deletion and how many deleted keys can still be read."""
-    left = _chosen(after, keys, "left_semi")
+    left = chosen(after, keys)
     return before.agg(F.count("*").alias("rows_before")).select(
         "rows_before",
         after.agg(F.count("*")).scalar().alias("rows_after"),
@@ -352,13 +346,21 @@ def delete_audit(before: DataFrame, after: DataFrame, keys: Sequence[str] | Data
 # --- scan ----------------------------------------------------------------
 
 
+def _plain_text(path: str) -> Column:
+    """A cell as text without an exponent: numbers from ten million on too have their digits written out."""
+    text = F.col(path).cast("string")
+    whole = F.concat(F.col(path).try_cast("decimal(38, 0)").cast("string"), F.lit(".0"))
+    fraction = F.regexp_replace(F.col(path).try_cast("decimal(38, 17)").cast("string"), "0+$", "")
+    return F.when(text.rlike("^-?[0-9.]+E[0-9]+$"), F.when(F.col(path).try_cast("double") % 1 == 0, whole).otherwise(fraction)).otherwise(text)
+
+
 def cell_filter(path: str, op: str, value: object, compare: str = "numeric", keep_missing: bool = False) -> Column:
     """Compare a cell with a value, as numbers or byte by byte as text.
 
     Rows without the cell are left out unless `keep_missing` is set.
     """
     if compare == "bytes":
-        test = COMPARE[op](F.col(path).cast("string"), F.lit(str(value)))
+        test = COMPARE[op](_plain_text(path), F.lit(str(value)))
     elif compare == "numeric":
         test = COMPARE[op](F.col(path).try_cast("double"), F.lit(float(value)))
     else:
@@ -374,6 +376,15 @@ def key_matches(pattern: str) -> Column:
     return F.col(KEY).rlike(pattern)
 
 
+def literal_start(pattern: str) -> str:
+    """What every match of a pattern starts with, as far as it is plain from the pattern."""
+    if "|" in pattern or not (plain := re.match(r"\^([A-Za-z0-9_ \-]*)", pattern)):
+        return ""
+    rest = pattern[plain.end() :]
+    # A quantifier rules over the last character.
+    return plain[1][:-1] if rest[:1] in ("*", "?", "{") else plain[1]
+
+
 def key_range(start: str | None = None, stop: str | None = None) -> Column:
     """Keys from `start` up to but without `stop`, in byte order."""
     test = F.lit(True)
@@ -402,23 +413,28 @@ def scan(
     start: str | None = None,
     stop: str | None = None,
     prefix: str | None = None,
+    pattern: str | None = None,
     where: Column | None = None,
     columns: Sequence[str] | None = None,
     reverse: bool = False,
     limit: int | None = None,
-    ordered: bool = True,
+    ordered: bool = False,
 ) -> DataFrame:
-    """Rows in key order, cut by key range, prefix, condition and row limit.
+    """Rows cut by key range, prefix, key pattern, condition and row limit.
 
-    With a limit every task keeps that many rows. `ordered=False` saves the
-    sort when the rows only feed an aggregate.
+    Rows come as they are stored, unless `ordered` or `reverse` asks for a sort of the whole
+    result. With a limit they are the first in key order, and every task keeps that many.
+    What a pattern starts with is used as a prefix, to skip files.
     """
     rows = in_range(table, start, stop) if start is not None or stop is not None else table
     if prefix is not None:
         rows = with_prefix(rows, prefix)
+    if pattern is not None:
+        begins = literal_start(pattern)
+        rows = (with_prefix(rows, begins) if begins else rows).where(key_matches(pattern))
     if where is not None:
         rows = rows.where(where)
-    if ordered or limit is not None:
+    if ordered or reverse or limit is not None:
         rows = rows.orderBy(F.col(KEY).desc() if reverse else F.col(KEY).asc())
     if limit is not None:
         rows = rows.limit(limit)

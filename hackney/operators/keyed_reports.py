@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from hackney.operators.keyed import (
     KEY,
     cell_filter,
+    chosen,
     delete_where,
     get_rows,
     key_prefix,
+    project,
     scan,
     with_prefix,
 )
@@ -37,18 +39,30 @@ def _number(path: str) -> Column:
     return F.coalesce(F.col(path).try_cast("double"), F.lit(0.0))
 
 
-def _settled(value: Column, digits: int = 2) -> Column:
-    """As `numbers.settled`: eight places first, so halves do not depend on order."""
-    return F.round(F.round(value, 8), digits)
+def _amount(value: Column) -> Column:
+    """As `numbers.amount`: decimals, whose sums do not depend on their order."""
+    return value.try_cast("decimal(28, 12)")
+
+
+def _rounded(value: Column, digits: int = 2) -> Column:
+    return F.round(value, digits).cast("double")
+
+
+def _total(value: Column) -> Column:
+    return F.coalesce(F.sum(_amount(value)), F.lit(0).cast("decimal(38, 12)"))
+
+
+def _over(total: Column, rows: Column) -> Column:
+    """Zero when there are no rows."""
+    return F.coalesce(F.try_divide(total, rows), F.lit(0))
 
 
 def _sum(value: Column) -> Column:
-    return _settled(F.coalesce(F.sum(value), F.lit(0.0)))
+    return _rounded(_total(value))
 
 
 def _mean(value: Column, rows: Column) -> Column:
-    """Sum over rows, zero when there are none."""
-    return _settled(F.coalesce(F.try_divide(F.sum(value), rows), F.lit(0.0)))
+    return _rounded(_over(_total(value), rows))
 
 
 def vendor_report(table: DataFrame, vendors: Sequence[str] = VENDOR_CODES) -> DataFrame:
@@ -66,19 +80,20 @@ def vendor_report(table: DataFrame, vendors: Sequence[str] = VENDOR_CODES) -> Da
         mine = vendor == v
         measures += [
             F.count_if(mine).alias(f"trips_{v}"),
-            F.coalesce(F.sum(F.when(mine, total)), F.lit(0.0)).alias(f"revenue_{v}"),
-            F.coalesce(F.sum(F.when(mine, miles)), F.lit(0.0)).alias(f"miles_{v}"),
+            _total(F.when(mine, total)).alias(f"revenue_{v}"),
+            _total(F.when(mine, miles)).alias(f"miles_{v}"),
         ]
-    highest = F.greatest(*[F.col(f"revenue_{v}") for v in vendors], F.lit(float("-inf")))
+    revenues = [F.col(f"revenue_{v}") for v in vendors]
+    highest = F.greatest(*revenues, revenues[0])
     best = F.coalesce(*[F.when(F.col(f"revenue_{v}") == highest, F.lit(v)) for v in reversed(vendors)])
 
     def line(name: str, trips: Column, revenue: Column, miles: Column, mean: Column, top: Column) -> Column:
         return F.struct(
             F.lit(name).alias("vendor"),
             trips.alias("trips"),
-            _settled(revenue).alias("total_revenue"),
-            _settled(miles).alias("total_distance"),
-            _settled(mean).alias("avg_revenue_per_trip"),
+            _rounded(revenue).alias("total_revenue"),
+            _rounded(miles).alias("total_distance"),
+            _rounded(mean).alias("avg_revenue_per_trip"),
             top.alias("best"),
         )
 
@@ -89,13 +104,13 @@ def vendor_report(table: DataFrame, vendors: Sequence[str] = VENDOR_CODES) -> Da
             F.col(f"trips_{v}"),
             F.col(f"revenue_{v}"),
             F.col(f"miles_{v}"),
-            F.coalesce(F.try_divide(F.col(f"revenue_{v}"), F.col(f"trips_{v}")), F.lit(0.0)),
+            _over(F.col(f"revenue_{v}"), F.col(f"trips_{v}")),
             best == v,
         )
         for v in vendors
     ]
     all_trips = sum((F.col(f"trips_{v}") for v in vendors), start=F.lit(0))
-    all_revenue = sum((F.col(f"revenue_{v}") for v in vendors), start=F.lit(0.0))
+    all_revenue = sum(revenues, start=F.lit(0).cast("decimal(38, 12)"))
     lines.append(line("TOTAL", all_trips, all_revenue, none, none, F.lit(None).cast("boolean")))
     return table.agg(*measures).select(F.inline(F.array(*lines)))
 
@@ -115,7 +130,7 @@ def high_revenue(table: DataFrame, threshold: float = HIGH_REVENUE, compare: str
     return table.agg(
         F.count_if(hit).alias("trips"),
         _sum(F.when(hit, _number(TOTAL))).alias("combined_revenue"),
-        _settled(share, 1).alias("pct_of_trips"),
+        F.round(share, 1).alias("pct_of_trips"),
     )
 
 
@@ -204,20 +219,25 @@ def speed_outliers(table: DataFrame, keys: Sequence[str] | DataFrame) -> DataFra
     `flag` is OUTLIER below the threshold, OK otherwise, and empty for rows
     without a positive speed and for keys that were not found.
     """
-    picked = get_rows(table, keys, [DISTANCE, TOTAL, SPEED, "timing.trip_duration_min"])
+    cells = [DISTANCE, TOTAL, SPEED, "timing.trip_duration_min"]
+    # The means come from the hits alone, before the outer join to the asked keys.
+    found = project(chosen(table, keys), cells)
     speed = F.coalesce("avg_speed_mph", F.lit(0.0))
     total = F.coalesce("total_amount", F.lit(0.0))
-    means = picked.where("found").agg(
-        F.struct(F.avg(speed).alias("speed"), F.avg(total).alias("total"))
-    )
-    mean = means.scalar()
-    threshold = mean["speed"] / 2.0
-    flag = F.when((speed > 0) & (speed < threshold), F.lit("OUTLIER")).when(speed > 0, F.lit("OK"))
-    return picked.select(
+    rows = F.count("*")
+    mean = found.agg(
+        F.struct(
+            F.try_divide(_total(speed), rows).alias("speed"),
+            F.try_divide(_total(total), rows).alias("total"),
+        )
+    ).scalar()
+    threshold = F.try_divide(mean["speed"], F.lit(2))
+    flag = F.when((speed > 0) & (speed < threshold.cast("double")), F.lit("OUTLIER")).when(speed > 0, F.lit("OK"))
+    return get_rows(table, keys, cells).select(
         "*",
-        _settled(mean["speed"]).alias("mean_speed"),
-        _settled(mean["total"]).alias("mean_total"),
-        _settled(threshold).alias("threshold"),
+        _rounded(mean["speed"]).alias("mean_speed"),
+        _rounded(mean["total"]).alias("mean_total"),
+        _rounded(threshold).alias("threshold"),
         flag.alias("flag"),
     )
 

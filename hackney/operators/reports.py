@@ -45,11 +45,11 @@ def guarded(trips: DataFrame) -> DataFrame:
 
 
 def _sum(name: str) -> str:
-    return numbers.settled(f"sum({name})")
+    return numbers.total(name)
 
 
 def _avg(name: str) -> str:
-    return numbers.settled(f"avg({name})")
+    return numbers.mean(name)
 
 
 def _grouped(trips: DataFrame, *keys: str | Column, **measures: str) -> DataFrame:
@@ -104,11 +104,11 @@ def top_trips(trips: DataFrame, k: int = TOP_TRIPS) -> DataFrame:
         "tip_amount": "tip_amount",
         "total_amount": "total_amount",
     }
-    ends = ("tpep_pickup_datetime", "PULocationID", "DOLocationID")
+    pickup, zones = "tpep_pickup_datetime", ("PULocationID", "DOLocationID")
     return (
-        trips.orderBy(F.desc("total_amount"), *ends)
+        trips.orderBy(F.desc("total_amount"), pickup, *zones)
         .limit(k)
-        .selectExpr(*ends, *[f"{numbers.settled(column)} AS {name}" for name, column in rounded.items()])
+        .selectExpr(*zones, pickup, *[f"round({column}, 2) AS {name}" for name, column in rounded.items()])
     )
 
 
@@ -247,7 +247,7 @@ def occupancy(trips: DataFrame) -> DataFrame:
         avg_distance_miles=_avg("trip_distance"),
         avg_total_amount=_avg("total_amount"),
         avg_tip_amount=_avg("tip_amount"),
-        tip_percentage=numbers.settled(numbers.percent("sum(tip_amount)", "sum(fare_amount)")),
+        tip_percentage=f"round({numbers.percent(numbers.whole_sum('tip_amount'), numbers.whole_sum('fare_amount'))}, 2)",
     ).orderBy("passenger_count")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hackney.functions import labels
@@ -35,13 +36,13 @@ def busiest_zones(zone_job: DataFrame, k: int = BUSIEST_ZONES) -> DataFrame:
     )
 
 
-def payment_share(payment_report: DataFrame, all_trips: DataFrame) -> DataFrame:
-    """Percent of all trips per payment row; the total is a scalar subquery."""
-    total = all_trips.agg(F.count("*")).scalar()
+def payment_share(payment_report: DataFrame) -> DataFrame:
+    """Percent of all trips per payment row; the total is that of the report's few rows."""
+    total = F.sum("trip_count").over(W.partitionBy())
     return payment_report.select(
         "payment_method",
         "trip_count",
-        F.round(F.round(F.try_divide(F.col("trip_count") * 100.0, total), 8), 1).alias("share_pct"),
+        F.round(F.try_divide(F.col("trip_count") * 100.0, total), 1).alias("share_pct"),
     )
 
 

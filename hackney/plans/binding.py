@@ -12,11 +12,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from hackney.functions import numbers, times
-from hackney.operators import keyed
+from hackney.operators import cleaning, keyed
 from hackney.operators.features import with_features
 from hackney.schema import CLEAN_COLUMNS
+from hackney.sources import tables
 from hackney.sources.scratch import scratch_path
 
+# The cleaning rules' highest total that suits the value range of the test tables.
+MAX_TOTAL = 100.0
+
 # Tables written for a session, by application, name and source folder.
 _stored: dict[tuple[str, str, str], str] = {}
 
@@ -148,11 +152,20 @@ def stored_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The keyed wide table, stored sorted by key for the scans to prune."""
 
     def write(path: str) -> None:
-        keyed.write_wide(keyed.ingest(featured_trips(spark, sf_dir)), path)
+        keyed.store_trips(featured_trips(spark, sf_dir), path)
 
     return keyed.read_wide(spark, _store(spark, sf_dir, "wide", write))
 
 
+def stored_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned trips, stored and read back; the reports run over these."""
+
+    def write(path: str) -> None:
+        tables.write_orc(cleaning.clean_trips(raw_trips(spark, sf_dir), max_total=MAX_TOTAL), path)
+
+    return tables.read_orc(spark, _store(spark, sf_dir, "clean", write))
+
+
 def lines_path(spark: SparkSession, sf_dir: str) -> str:
     """Text files with the lines; the text jobs read these."""
     return _store(spark, sf_dir, "lines", lambda path: lines(spark, sf_dir).write.text(path))

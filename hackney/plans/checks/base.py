@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from hackney.schema import CLEAN_COLUMNS, RAW_COLUMNS
 
 RAW = list(RAW_COLUMNS)
@@ -135,5 +137,34 @@ def lenient(text: str) -> str:
       ELSE TRY_CAST({word} AS DOUBLE) END"""
 
 
+def amount(value: str) -> str:
+    """Through the text, so that the decimal is the shortest one of the double."""
+    return f"CAST(CAST({value} AS VARCHAR) AS DECIMAL(28, 12))"
+
+
+def sum2(value: str) -> str:
+    """An exact sum, rounded half up to two decimals once."""
+    return f"CAST(round(sum({amount(value)}), 2) AS DOUBLE)"
+
+
+def avg2(value: str, parts: int = 1, digits: int = 2) -> str:
+    """An exact mean (or a part of it), rounded half up to two decimals once.
+
+    The sum's digits and the result are whole numbers, so the quotient is never rounded before.
+    """
+    total = f"CAST(replace(CAST(sum({amount(value)}) AS VARCHAR), '.', '') AS HUGEINT)"
+    unit = f"(count({value})::HUGEINT * {10 ** (12 - digits) * parts})"
+    return f"(sign({total}) * ((2 * abs({total}) + {unit}) // (2 * {unit})) / {10**digits}::DOUBLE)"
+
+
+def once2(value: str) -> str:
+    """A stored value rounded half up to two decimals."""
+    return f"CAST(round({amount(value)}, 2) AS DOUBLE)"
+
+
 def sql(tables: str, body: str) -> str:
-    return f"WITH {tables.strip()}\n{body.strip()}"
+    """A query text; `sum2(x)`, `avg2(x)` and `once2(x)` in it stand for the expressions above."""
+    text = f"WITH {tables.strip()}\n{body.strip()}"
+    for name, form in (("sum2", sum2), ("avg2", avg2), ("once2", once2)):
+        text = re.sub(rf"\b{name}\(([^()]*)\)", lambda m, form=form: form(m[1]), text)
+    return text

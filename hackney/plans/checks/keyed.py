@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hackney.plans.checks.base import FEATURED, sql, stamp
+from hackney.plans.checks.base import FEATURED, avg2, sql, stamp
 
 TRIP_INFO = "passenger_count, trip_distance, PULocationID, DOLocationID, payment_type"
 FINANCIALS = "fare_amount, tip_amount, total_amount, congestion_surcharge"
@@ -79,7 +79,7 @@ SQL = {
     "k_prefix_scan": k(f"SELECT {ALL} FROM wide WHERE starts_with(row_key, '1_')"),
     "k_prefix_page": k(f"SELECT {ALL} FROM wide WHERE starts_with(row_key, '2_') ORDER BY row_key LIMIT 4"),
     "k_page_summary": k(
-        """SELECT count(*) AS page_rows, CAST(round(CAST(sum(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS page_revenue
+        """SELECT count(*) AS page_rows, sum2(total_amount) AS page_revenue
         FROM (SELECT total_amount FROM wide ORDER BY row_key LIMIT 5)"""
     ),
     "k_value_filter": k(f"SELECT row_key, {METRICS} FROM wide WHERE avg_speed_mph > 12"),
@@ -100,58 +100,59 @@ SQL = {
         4 AS groups_after, count(*) AS rows_after FROM wide"""
     ),
     "k_vendor_report": k(
-        """SELECT vendor, trips, CAST(round(CAST(revenue AS DECIMAL(38, 8)), 2) AS DOUBLE) AS total_revenue, CAST(round(CAST(miles AS DECIMAL(38, 8)), 2) AS DOUBLE) AS total_distance,
-          CAST(round(CAST(mean AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_revenue_per_trip,
+        """SELECT vendor, trips, CAST(round(revenue, 2) AS DOUBLE) AS total_revenue, CAST(round(miles, 2) AS DOUBLE) AS total_distance,
+          mean AS avg_revenue_per_trip,
           vendor = (SELECT max(vendor) FROM per WHERE revenue = (SELECT max(revenue) FROM per)) AS best FROM per
-        UNION ALL SELECT 'TOTAL', sum(trips)::BIGINT, CAST(round(CAST(sum(revenue) AS DECIMAL(38, 8)), 2) AS DOUBLE), NULL, NULL, NULL FROM per""",
-        f"""{WIDE}, per AS (SELECT v AS vendor, count(row_key) AS trips, coalesce(sum(total_amount), 0) AS revenue,
-          coalesce(sum(trip_distance), 0) AS miles, coalesce(avg(total_amount), 0) AS mean
+        UNION ALL SELECT 'TOTAL', sum(trips)::BIGINT, CAST(round(sum(revenue), 2) AS DOUBLE), NULL, NULL, NULL FROM per""",
+        f"""{WIDE}, per AS (SELECT v AS vendor, count(row_key) AS trips, coalesce(sum(CAST(CAST(total_amount AS VARCHAR) AS DECIMAL(28, 12))), 0) AS revenue,
+          coalesce(sum(CAST(CAST(trip_distance AS VARCHAR) AS DECIMAL(28, 12))), 0) AS miles, coalesce(avg2(total_amount), 0) AS mean
           FROM (VALUES ('1'), ('2')) AS d(v) LEFT JOIN wide ON substr(row_key, 1, 1) = v GROUP BY v)""",
     ),
     "k_high_revenue": k(
         """SELECT count(*) FILTER (WHERE total_amount > 40) AS trips,
-        CAST(round(CAST(sum(total_amount) FILTER (WHERE total_amount > 40) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS combined_revenue,
-        CAST(round(CAST(count(*) FILTER (WHERE total_amount > 40) * 100 / count(*) AS DECIMAL(38, 8)), 1) AS DOUBLE) AS pct_of_trips FROM wide"""
+        sum2(CASE WHEN total_amount > 40 THEN total_amount END) AS combined_revenue,
+        round(count(*) FILTER (WHERE total_amount > 40) * 100 / count(*), 1) AS pct_of_trips FROM wide"""
     ),
     "k_high_revenue_rows": k(
         """SELECT row_key, trip_distance, fare_amount, tip_amount, total_amount, avg_speed_mph, pickup_datetime
         FROM wide WHERE total_amount > 40"""
     ),
     "k_card_revenue": k(
-        """SELECT count(*) AS card_trips, CAST(round(CAST(sum(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS card_revenue,
-        CAST(round(CAST(sum(tip_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS card_tips, CAST(round(CAST(avg(tip_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_tip FROM wide WHERE payment_type = 1"""
+        """SELECT count(*) AS card_trips, sum2(total_amount) AS card_revenue,
+        sum2(tip_amount) AS card_tips, avg2(tip_amount) AS avg_tip FROM wide WHERE payment_type = 1"""
     ),
     "k_fast_trips": k(
-        """SELECT count(*) AS fast_trips, CAST(round(CAST(avg(trip_distance) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_distance FROM wide
+        """SELECT count(*) AS fast_trips, avg2(trip_distance) AS avg_distance FROM wide
         WHERE avg_speed_mph > 12"""
     ),
     "k_fast_trips_bytes": k(
-        f"""SELECT count(*) AS fast_trips, CAST(round(CAST(avg(trip_distance) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_distance FROM wide
+        f"""SELECT count(*) AS fast_trips, avg2(trip_distance) AS avg_distance FROM wide
         WHERE {SPEED_TEXT} > '12.0'"""
     ),
     "k_vendor_audit": k(
-        """SELECT count(*) AS trips, CAST(round(CAST(avg(trip_distance) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_distance,
-        CAST(round(CAST(sum(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS total_revenue FROM wide WHERE starts_with(row_key, '2_')"""
+        """SELECT count(*) AS trips, avg2(trip_distance) AS avg_distance,
+        sum2(total_amount) AS total_revenue FROM wide WHERE starts_with(row_key, '2_')"""
     ),
     "k_dashboard": k(
         """SELECT 1 AS line, 'card revenue' AS report, count(*) AS trips, 'revenue' AS measure,
-          CAST(round(CAST(sum(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS value FROM wide WHERE payment_type = 1
-        UNION ALL SELECT 2, 'fast trips', count(*), 'avg_distance', CAST(round(CAST(avg(trip_distance) AS DECIMAL(38, 8)), 2) AS DOUBLE) FROM wide
+          sum2(total_amount) AS value FROM wide WHERE payment_type = 1
+        UNION ALL SELECT 2, 'fast trips', count(*), 'avg_distance', avg2(trip_distance) FROM wide
           WHERE avg_speed_mph > 12
-        UNION ALL SELECT 3, 'vendor audit', count(*), 'avg_distance', CAST(round(CAST(avg(trip_distance) AS DECIMAL(38, 8)), 2) AS DOUBLE) FROM wide
+        UNION ALL SELECT 3, 'vendor audit', count(*), 'avg_distance', avg2(trip_distance) FROM wide
           WHERE starts_with(row_key, '2_')
-        UNION ALL SELECT 4, 'first page', count(*), 'revenue', CAST(round(CAST(sum(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE)
+        UNION ALL SELECT 4, 'first page', count(*), 'revenue', sum2(total_amount)
           FROM (SELECT total_amount FROM wide ORDER BY row_key LIMIT 5)"""
     ),
     "k_speed_outliers": k(
         """SELECT e.row_key, trip_distance, total_amount, avg_speed_mph, trip_duration_min,
-          p.row_key IS NOT NULL AS found, CAST(round(CAST(ms AS DECIMAL(38, 8)), 2) AS DOUBLE) AS mean_speed, CAST(round(CAST(mt AS DECIMAL(38, 8)), 2) AS DOUBLE) AS mean_total,
-          CAST(round(CAST(ms / 2 AS DECIMAL(38, 8)), 2) AS DOUBLE) AS threshold,
+          p.row_key IS NOT NULL AS found, mean_speed, mean_total, threshold,
           CASE WHEN avg_speed_mph > 0 AND avg_speed_mph < ms / 2 THEN 'OUTLIER'
             WHEN avg_speed_mph > 0 THEN 'OK' END AS flag
         FROM edges e LEFT JOIN picked p ON p.row_key = e.row_key, means""",
         f"""{EDGES}, picked AS (SELECT * FROM wide WHERE row_key IN (SELECT row_key FROM edges)),
-        means AS (SELECT avg(coalesce(avg_speed_mph, 0)) AS ms, avg(coalesce(total_amount, 0)) AS mt FROM picked)""",
+        filled AS (SELECT coalesce(avg_speed_mph, 0) AS speed, coalesce(total_amount, 0) AS total FROM picked),
+        means AS (SELECT avg(speed) AS ms, avg2(speed) AS mean_speed, avg2(total) AS mean_total, {avg2("speed", parts=2)} AS threshold
+          FROM filled)""",
     ),
-    "k_zero_fare_cleanup": k(f"SELECT row_key, {FINANCIALS} FROM wide WHERE tip_amount <> 0"),
+    "k_zero_fare_cleanup": k(f"SELECT row_key, {FINANCIALS} FROM wide WHERE trip_distance <= 100 AND total_amount <> 0"),
 }

@@ -13,6 +13,7 @@ from hackney.plans.checks.base import (
     TIME_FEATURES,
     TIMES,
     TRIPS,
+    avg2,
     field,
     lenient,
     sql,
@@ -63,36 +64,38 @@ tip_records AS (
 
 def zone_job(source: str) -> str:
     return f"""
-SELECT PULocationID, count(*) AS total_trips, CAST(round(CAST(sum(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS total_revenue,
-  CAST(round(CAST(avg(fare_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_fare, CAST(round(CAST(avg(trip_distance) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_distance,
-  CAST(round(CAST(avg(trip_duration_min) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_duration_min, CAST(round(CAST(avg(avg_speed_mph) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_speed_mph,
-  CAST(round(CAST(avg(tip_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_tip
+SELECT PULocationID, count(*) AS total_trips, sum2(total_amount) AS total_revenue,
+  avg2(fare_amount) AS avg_fare, avg2(trip_distance) AS avg_distance,
+  avg2(trip_duration_min) AS avg_duration_min, avg2(avg_speed_mph) AS avg_speed_mph,
+  avg2(tip_amount) AS avg_tip
 FROM {source} GROUP BY PULocationID"""
 
 
-TIP_PCT = "CAST(round(CAST(CASE WHEN sum(fare_amount) > 0 THEN sum(tip_amount) / sum(fare_amount) * 100 ELSE 0 END AS DECIMAL(38, 8)), 2) AS DOUBLE)"
+_TIPS, _FARES = (f"sum(CAST(CAST({c} AS VARCHAR) AS DECIMAL(28, 12)))::DOUBLE" for c in ("tip_amount", "fare_amount"))
+TIP_PCT = f"round(CASE WHEN {_FARES} > 0 THEN {_TIPS} / {_FARES} * 100 ELSE 0 END, 2)"
 HOUR_JOB = f"""
-SELECT pickup_hour, count(*) AS total_trips, CAST(round(CAST(sum(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS total_revenue,
-  CAST(round(CAST(avg(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_revenue_per_trip, CAST(round(CAST(avg(passenger_count) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_passengers,
-  CAST(round(CAST(avg(trip_duration_min) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_duration_min, CAST(round(CAST(avg(tip_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_tip,
+SELECT pickup_hour, count(*) AS total_trips, sum2(total_amount) AS total_revenue,
+  avg2(total_amount) AS avg_revenue_per_trip, avg2(passenger_count) AS avg_passengers,
+  avg2(trip_duration_min) AS avg_duration_min, avg2(tip_amount) AS avg_tip,
   {TIP_PCT} AS tip_percentage
 FROM hour_records GROUP BY pickup_hour"""
 TIP_JOB = f"""
-SELECT payment_fare_bucket, count(*) AS total_trips, CAST(round(CAST(avg(tip_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_tip_amount,
+SELECT payment_fare_bucket, count(*) AS total_trips, avg2(tip_amount) AS avg_tip_amount,
   {TIP_PCT} AS avg_tip_pct,
-  CAST(round(CAST(count(*) FILTER (WHERE tip_amount = 0) / count(*) * 100 AS DECIMAL(38, 8)), 2) AS DOUBLE) AS zero_tip_rate,
-  CAST(round(CAST(avg(passenger_count) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_passengers
+  round(count(*) FILTER (WHERE tip_amount = 0) / count(*) * 100, 2) AS zero_tip_rate,
+  avg2(passenger_count) AS avg_passengers
 FROM tip_records GROUP BY payment_fare_bucket"""
 
+_CLEAN_TEXT = ", ".join(f"{stamp(c)} AS {c}" if c in TIMES else f"CAST({c} AS VARCHAR) AS {c}" for c in CLEAN)
 _ALL_TEXT = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in CLEAN)
 
 _TYPED = []
 for _name, _kind in CLEAN_COLUMNS.items():
     _f = field(_name)
     if _kind == "int":
-        _TYPED.append(f"{whole(_f)} AS {_name}")
+        _TYPED.append(f"TRY_CAST(trunc(TRY_CAST({_f} AS DOUBLE)) AS INTEGER) AS {_name}")
     elif _kind == "double":
-        _TYPED.append(f"CASE WHEN lower({_f}) <> 'nan' THEN TRY_CAST({_f} AS DOUBLE) END AS {_name}")
+        _TYPED.append(f"TRY_CAST({_f} AS DOUBLE) AS {_name}")
     else:
         _TYPED.append(f"nullif({_f}, '') AS {_name}")
 
@@ -108,10 +111,10 @@ _SPARK_TYPES = {**RAW_COLUMNS, "PULocationID": "bigint", "DOLocationID": "bigint
 def _described(name: str) -> str:
     value = f"epoch_us({name}) / 1e6::DOUBLE" if name in TIMES else f"{name}::DOUBLE"
     return f"""
-SELECT '{name}' AS column_name, count({name}) AS count, CAST(round(CAST(avg({value}) AS DECIMAL(38, 8)), 4) AS DOUBLE) AS mean,
-  CAST(round(CAST(stddev_samp({value}) AS DECIMAL(38, 8)), 4) AS DOUBLE) AS std, min({value}) AS min, max({value}) AS max,
-  CAST(round(CAST(quantile_cont({value}, 0.25) AS DECIMAL(38, 8)), 4) AS DOUBLE) AS p25, CAST(round(CAST(quantile_cont({value}, 0.5) AS DECIMAL(38, 8)), 4) AS DOUBLE) AS p50,
-  CAST(round(CAST(quantile_cont({value}, 0.75) AS DECIMAL(38, 8)), 4) AS DOUBLE) AS p75,
+SELECT '{name}' AS column_name, count({name}) AS count, {avg2(value, digits=4)} AS mean,
+  round(stddev_samp({value}), 4) AS std, min({value}) AS min, max({value}) AS max,
+  round(quantile_cont({value}, 0.25), 4) AS p25, round(quantile_cont({value}, 0.5), 4) AS p50,
+  round(quantile_cont({value}, 0.75), 4) AS p75,
   NULL::BIGINT AS "unique", NULL::VARCHAR AS top, NULL::BIGINT AS freq
 FROM trips"""
 
@@ -140,7 +143,7 @@ SQL = {
     "s_parquet_concat": sql(
         TRIPS,
         f"""SELECT * REPLACE (CASE WHEN tpep_pickup_datetime >= '1998-01-01' THEN cbd_congestion_fee END
-        AS cbd_congestion_fee) FROM (SELECT {stamped(RAW)} FROM trips)""",
+        AS cbd_congestion_fee, CAST(VendorID AS BIGINT) AS VendorID) FROM (SELECT {stamped(RAW)} FROM trips)""",
     ),
     "s_csv_all_string": sql(TEXT, f"SELECT {_ALL_TEXT} FROM text_trips"),
     "s_csv_typed": sql(
@@ -157,27 +160,25 @@ SQL = {
           trim({field("payment_type")}) AS pt FROM fields),
         k AS (SELECT *, {whole("ht")} AS h, {whole("pt")} AS p FROM keys)""",
         f"""
-        SELECT 'zone_performance' AS job, count(*) FILTER (WHERE z <> '' AND {unreadable(ZONE)}) AS skipped_records,
-          0::BIGINT AS malformed_values, 0::BIGINT AS parse_errors FROM k
+        SELECT 'zone_performance' AS job, count(*) FILTER (WHERE z <> '' AND {unreadable(ZONE)}) AS skipped_records FROM k
         UNION ALL SELECT 'hourly_performance', count(*) FILTER (WHERE ht <> '' AND
-          (h IS NULL OR (h BETWEEN 0 AND 23 AND {unreadable(HOUR)}))), 0, 0 FROM k
+          (h IS NULL OR (h BETWEEN 0 AND 23 AND {unreadable(HOUR)}))) FROM k
         UNION ALL SELECT 'tip_behavior', count(*) FILTER (WHERE lower(pt) NOT IN ('', 'null') AND
-          (p IS NULL OR (p IN (1, 2) AND {unreadable(TIP)}))), 0, 0 FROM k""",
+          (p IS NULL OR (p IN (1, 2) AND {unreadable(TIP)}))) FROM k""",
     ),
     "s_ctas_orc": sql(TEXT, f"SELECT {', '.join(_ORC)} FROM text_trips"),
-    "s_csv_sink": sql(
-        CLEANED,
-        """SELECT pickup_day_name, CAST(is_weekend AS VARCHAR) AS is_weekend, count(*) AS trips
-        FROM cleaned GROUP BY ALL""",
-    ),
+    "s_csv_sink": sql(CLEANED, f"SELECT {_CLEAN_TEXT} FROM cleaned"),
     "s_result_files": sql(
-        FEATURED,
-        """SELECT pickup_hour, count(*) AS trip_count, CAST(round(CAST(avg(trip_duration_min) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_duration_min,
-        CAST(round(CAST(avg(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_total_amount FROM featured GROUP BY pickup_hour""",
+        CLEANED,
+        """SELECT 'q08_hourly' AS report, pickup_hour, NULL::VARCHAR AS day_type, count(*) AS trip_count,
+          avg2(trip_duration_min) AS avg_duration_min, avg2(total_amount) AS avg_total_amount,
+          NULL::DOUBLE AS avg_distance_miles, NULL::DOUBLE AS avg_tip FROM cleaned GROUP BY pickup_hour
+        UNION ALL SELECT 'q09_weekend', NULL, CASE WHEN is_weekend = 1 THEN 'Weekend' ELSE 'Weekday' END, count(*),
+          NULL, avg2(total_amount), avg2(trip_distance), avg2(tip_amount) FROM cleaned GROUP BY is_weekend""",
     ),
     "s_sample_n": sql(
-        TRIPS,
-        f"""SELECT {stamped(RAW)} FROM (SELECT * FROM trips ORDER BY md5({_SAMPLE_KEY}) LIMIT 5000)""",
+        CLEANED,
+        f"SELECT {_CLEAN_TEXT} FROM (SELECT * FROM cleaned ORDER BY md5({_SAMPLE_KEY}) LIMIT 50000)",
     ),
     "s_roundtrip_check": sql(
         TEXT,

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hackney.functions.numbers import number, truncated_int
 from hackney.functions.text import strip
-from hackney.schema import CLEAN_COLUMNS, staging_schema, stored_types, struct_of
+from hackney.schema import CLEAN_COLUMNS, staging_schema, stored_types
 
 HEADER_WORD = next(iter(CLEAN_COLUMNS))
 ARITY = len(CLEAN_COLUMNS)
-ODD_LINE = "odd_line"
 
 
 def read_staging_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -22,47 +22,31 @@ def read_staging_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_typed_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Delimited text with typed columns and no header; bad values become null."""
-    return (
-        spark.read.schema(struct_of(stored_types()))
-        .options(header=False, sep=",", quote="", mode="PERMISSIVE")
-        .csv(path)
-    )
+    """Delimited text with typed columns and no header; bad values become null.
+
+    Fields are read as text and cast as the typed table casts them, so that `1.0` is the
+    whole number 1 wherever it is read.
+    """
+    texts = spark.read.schema(staging_schema()).options(header=False, sep=",", quote="", mode="PERMISSIVE").csv(path)
+    return texts.selectExpr(*typed_columns())
+
+
+def typed_columns() -> list[str]:
+    """The all-text layout cast to the stored types."""
+    casts = {"int": truncated_int, "double": number, "string": str}
+    return [f"{casts[kind](name)} AS {name}" for name, kind in stored_types().items()]
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Plain comma-split lines as the clean layout, every column text.
 
     Quotes have no meaning, an empty field is null, and fields beyond the
-    layout are cut off. Blank lines, header lines and lines with too few fields
-    are left out. The reader splits each line once, whatever is asked of it.
+    layout are cut off, however many there are. Blanks around a line belong to no
+    field. Blank lines, header lines and lines with too few fields are left out.
     """
-    options = {
-        "header": False,
-        "sep": ",",
-        "quote": "",
-        "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": ODD_LINE,
-        # With pruning on, the reader does not notice missing fields.
-        "columnPruning": False,
-    }
-    schema = staging_schema().add(ODD_LINE, "string")
-    # Only lines with an unusual number of fields are kept as a whole.
-    wide_enough = f"{ODD_LINE} IS NULL OR size(split({ODD_LINE}, ',', -1)) >= {ARITY}"
-    first, *middle, last = CLEAN_COLUMNS
-    # Blanks around a line belong to no field.
-    ends = {name: f"nullif({strip(name)}, '') AS {name}" for name in (first, last)}
-    return (
-        spark.read.schema(schema)
-        .options(**options)
-        .csv(path)
-        .where(wide_enough)
-        .selectExpr(ends[first], *middle, ends[last])
-        .where(f"{first} IS DISTINCT FROM '{HEADER_WORD}'")
-    )
-
-
-def to_lines(trips: DataFrame) -> DataFrame:
-    """Clean trips as comma-joined text lines; null is an empty field."""
-    cells = ", ".join(f"coalesce(CAST({name} AS string), '')" for name in CLEAN_COLUMNS)
-    return trips.selectExpr(f"concat_ws(',', {cells}) AS value")
+    split = spark.read.text(path).selectExpr(f"split({strip('value')}, ',', -1) AS fields")
+    names = list(CLEAN_COLUMNS)
+    whole = split.where(f"size(fields) >= {ARITY} AND {strip('fields[0]')} <> '{HEADER_WORD}'")
+    ends = (names[0], names[-1])
+    cells = {n: strip(f"fields[{i}]") if n in ends else f"fields[{i}]" for i, n in enumerate(names)}
+    return whole.selectExpr(*[f"nullif({cell}, '') AS {name}" for name, cell in cells.items()])

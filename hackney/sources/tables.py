@@ -8,20 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from hackney.functions.numbers import number, truncated_int
-from hackney.schema import stored_types
-from hackney.sources.delimited import HEADER_WORD
+from hackney.sources.delimited import HEADER_WORD, typed_columns
 
 
 def typed_trips(staging: DataFrame) -> DataFrame:
     """Cast the all-text layout; bad values become null, header rows go."""
-    casts = {"int": truncated_int, "double": number, "string": str}
-    columns = [f"{casts[kind](name)} AS {name}" for name, kind in stored_types().items()]
-    return staging.where(f"{HEADER_WORD} <> '{HEADER_WORD}'").selectExpr(*columns)
+    return staging.where(f"{HEADER_WORD} <> '{HEADER_WORD}'").selectExpr(*typed_columns())
 
 
-def write_orc(trips: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    trips.write.mode("overwrite").option("compression", "snappy").partitionBy(*partition_by).orc(path)
+def write_orc(trips: DataFrame, path: str) -> None:
+    trips.write.mode("overwrite").option("compression", "snappy").orc(path)
 
 
 def read_orc(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -61,12 +57,12 @@ def write_tsv(frame: DataFrame, path: str, percents: Sequence[str] = ()) -> None
 
 
 def read_tsv(spark: SparkSession, path: str, schema: StructType, percents: Sequence[str] = ()) -> DataFrame:
-    """Job output read back with typed columns; `%` marks are dropped."""
+    """Job output read back with typed columns; the `%` marks of the named columns are dropped."""
     text = StructType.fromDDL(", ".join(f"`{f.name}` string" for f in schema))
     frame = spark.read.schema(text).options(sep="\t", header=False).csv(path)
     return frame.select(
         *[
-            F.rtrim(F.col(f.name), F.lit("%")).try_cast(f.dataType).alias(f.name)
+            (F.rtrim(F.col(f.name), F.lit("%")) if f.name in percents else F.col(f.name)).try_cast(f.dataType).alias(f.name)
             for f in schema
         ]
     )

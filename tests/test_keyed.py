@@ -188,17 +188,17 @@ def test_second_put_wins(spark):
 def test_put_rows_replaces_and_inserts(table):
     new = table.where(F.col(KEY) == ZERO).withColumn(KEY, F.lit("3_new"))
     changed = keyed.put_cells(table.where(F.col(KEY) == ZERO), F.lit(True), "financials", {"total_amount": 9.0})
-    put = keyed.put_rows(table, changed.unionByName(new))
+    put = keyed.put_rows(table, changed.unionByName(new), [TOTAL])
     assert put.count() == 13
     assert one(keyed.get_row(put, ZERO, [TOTAL])) == (ZERO, 9.0)
 
 
 def test_merge_cells_and_schema_evolution(spark, table):
     changes = spark.createDataFrame(
-        [(ZERO, (1.5, None), ("checked",)), ("3_new", (2.5, None), ("new",))],
-        f"{KEY} string, financials struct<tip_amount double, fare_amount double>, audit struct<status string>",
+        [(ZERO, (1.5, None), ("checked",), 1), ("3_new", (2.5, None), ("new",), 1)],
+        f"{KEY} string, financials struct<tip_amount double, fare_amount double>, audit struct<status string>, put int",
     )
-    merged = keyed.merge_cells(table, changes)
+    merged = keyed.merge_cells(table, changes, ["put"])
     rows = {r[KEY]: r for r in keyed.flatten(merged).collect()}
     assert len(rows) == 13
     assert (rows[ZERO]["tip_amount"], rows[ZERO]["fare_amount"], rows[ZERO]["status"]) == (1.5, 0.0, "checked")
@@ -207,10 +207,7 @@ def test_merge_cells_and_schema_evolution(spark, table):
     assert "audit" not in keyed.families(keyed.drop_family(merged, "audit"))
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_long_key_lists_give_the_same_rows(spark, table, monkeypatch, small):
-    monkeypatch.setattr(keyed, "LITERAL_KEYS", 1)
-    monkeypatch.setattr(keyed, "BROADCAST_ROWS", 100 if small else 1)
+def test_key_tables_and_lists_give_the_same_rows(spark, table):
     asked = spark.createDataFrame([(k,) for k in [*AUDIT, "nowhere"]], f"{KEY} string")
     for chosen in (asked, [*AUDIT, "nowhere"]):
         found = {r[KEY]: r["found"] for r in keyed.get_rows(table, chosen, [TOTAL]).collect()}
