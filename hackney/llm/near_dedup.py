@@ -22,10 +22,12 @@ SHINGLE = 5
 SIMILARITY = 0.8
 # 26 bands of 5: a pair at 0.8 shares one with probability 0.99997, a pair at 0.3 with 0.06.
 BANDS, ROWS = 26, 5
+# Texts that are signed at a time in a task.
+SIGNED_ROWS = 128
 # Buckets of up to that many nodes compare all pairs: 3.5 a node at most.
 SMALL = 8
 # Times that unsettled nodes are signed anew.
-ROUNDS = 3
+ROUNDS = 2
 
 
 def signed(texts: DataFrame, seed: int) -> DataFrame:
@@ -41,7 +43,7 @@ def signed(texts: DataFrame, seed: int) -> DataFrame:
         return pa.record_batch(columns, [*(f.name for f in kept), "node", "bands"])
 
     schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in kept), "node long", "bands array<long>"])
-    return map_slices(texts, sign, schema)
+    return map_slices(texts, sign, schema, SIGNED_ROWS)
 
 
 def buckets_of(nodes: DataFrame, seed: int) -> DataFrame:
