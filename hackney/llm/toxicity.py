@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import lru_cache
 from zlib import crc32
 
@@ -33,6 +33,9 @@ CUE_SHARE, CLEAN_SHARE = 0.02, 0.001
 CHANCE = 0.05
 # Tokens of a training window, and windows without a cue that a document gives.
 WINDOW, PLAIN_WINDOWS = 48, 2
+EPOCHS = 5
+# Marginals below this add nothing to a document's score; numbers that a score is made of; ridge of its weights.
+FAINT, SIGNS, RIDGE = 0.05, 5, 0.01
 # Share of training tokens of which only the beginning is shown, so that it is learnt for itself.
 HIDDEN = 0.3
 # Scores of that many distinct words are remembered in a Python worker.
@@ -94,12 +97,8 @@ def label_tokens(words: list[str], marked: set[str]) -> np.ndarray:
     return np.array([w in marked or any(b + "-" in marked for b in beginnings(w)) for w in words], np.int64)
 
 
-def fit(rows: Iterable[tuple[str, int]], seed: int = 7) -> chain.Chain | None:
-    """A field from (text, label) rows; None without labels of both kinds or without any cue."""
-    texts: dict[int, dict[str, None]] = {0: {}, 1: {}}
-    for text, label in rows:
-        texts[int(label)][text or ""] = None
-    toxic, clean = (_distinct([TOKEN.findall(t.lower()) for t in texts[label]]) for label in (1, 0))
+def _field(toxic: list[list[str]], clean: list[list[str]], seed: int) -> chain.Chain | None:
+    """A field from words of toxic and clean documents; None if no cue tells them apart."""
     marked = cues(toxic, clean)
     if not marked or not clean:
         return None
@@ -118,19 +117,58 @@ def fit(rows: Iterable[tuple[str, int]], seed: int = 7) -> chain.Chain | None:
                 wide = max(map(len, features))
                 sequences.append(np.array([f + [0] * (wide - len(f)) for f in features]))
                 tags.append(labels[s : s + WINDOW])
-    return chain.fit(sequences, tags, seed=seed)
+    return chain.fit(sequences, tags, epochs=EPOCHS, seed=seed)
+
+
+def _logistic(rows: np.ndarray, labels: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Weights of a logistic regression by Newton's method, held near zero by a small ridge; a row counts `counts` times."""
+    weights = np.zeros(rows.shape[1])
+    for _ in range(30):
+        chance = 1 / (1 + np.exp(-np.clip(rows @ weights, -30, 30)))
+        slope = rows.T @ (counts * (labels - chance)) - RIDGE * weights
+        curve = (rows * (counts * chance * (1 - chance))[:, None]).T @ rows + RIDGE * np.eye(len(weights))
+        weights = weights + np.linalg.solve(curve, slope)
+    return weights
+
+
+def fit(rows: Iterable[tuple[str, int]], totals: Sequence[int], seed: int = 7) -> Tagger | None:
+    """A tagger from (text, label) rows; None without labels of both kinds or without any cue.
+
+    totals: how many clean and how many toxic documents are labelled in all. The sample has as many of either
+    as it can; in the document score each kind weighs as much as it has documents.
+
+    How marginals make a document's score is learnt on documents that the field has not seen: each half of
+    the sample is tagged by a field of the other half. The field that is kept learns from all.
+    """
+    texts: dict[int, dict[str, None]] = {0: {}, 1: {}}
+    for text, label in rows:
+        texts[int(label)][text or ""] = None
+    toxic, clean = (_distinct([TOKEN.findall(t.lower()) for t in texts[label]]) for label in (1, 0))
+    whole = _field(toxic, clean, seed)
+    if whole is None:
+        return None
+    signs, labels = [], []
+    for half in (0, 1):
+        other = _field(toxic[1 - half :: 2], clean[1 - half :: 2], seed) or whole
+        tagger = Tagger(other, np.zeros(SIGNS))
+        for label, documents in ((1, toxic[half::2]), (0, clean[half::2])):
+            signs += [sign for sign, _ in tagger.signs([" ".join(words) for words in documents])]
+            labels += [label] * len(documents)
+    known = np.array(labels)
+    counts = np.where(known == 1, totals[1] / max(1, known.sum()), totals[0] / max(1, (1 - known).sum()))
+    return Tagger(whole, _logistic(np.array(signs), known.astype(float), counts / counts.mean()))
 
 
 class Tagger:
-    """A fitted field over texts; what a word adds is remembered."""
+    """A fitted field and a document score over it; what a word adds is remembered."""
 
-    def __init__(self, model: chain.Chain):
+    def __init__(self, model: chain.Chain, score: np.ndarray):
         used = np.flatnonzero(np.any(model.weights != 0, axis=1))
         self.places, self.values = used, model.weights[used, 1] - model.weights[used, 0]
-        self.start, self.moves = model.start, model.moves
+        self.start, self.moves, self.score = model.start, model.moves, score
 
     def __getstate__(self) -> dict:
-        return {k: self.__dict__[k] for k in ("places", "values", "start", "moves")}
+        return {k: self.__dict__[k] for k in ("places", "values", "start", "moves", "score")}
 
     def __getattr__(self, name: str):
         if name == "table":
@@ -142,19 +180,36 @@ class Tagger:
             raise AttributeError(name)
         return self.__dict__[name]
 
-    def tag(self, texts: list[str]) -> list[tuple[float, list[dict[str, int]]]]:
-        """Per text: the largest marginal of a toxic token, and offsets of runs of tokens that are likelier toxic than not."""
+    def signs(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per text: what its score is made of, and the marginals of its tokens.
+
+        The first holds 1, the expected number of different toxic words (the first, the second and the logarithm
+        of the rest, each for itself), and the logarithm of the number of tokens: one odd word in a long text
+        tells less than several in a short one.
+        """
         words = [TOKEN.findall(t) for t in texts]
-        sizes = np.array([len(w) for w in words])
+        sizes = np.array([len(w) for w in words], np.int64)
         leads = np.fromiter((x for w in words for x in map(self.lead, w)), float, sizes.sum())
         begins = np.zeros(len(leads), bool)
         offsets = np.concatenate([[0], np.cumsum(sizes)])
         begins[offsets[:-1][sizes > 0]] = True
-        model = chain.Chain(np.zeros((0, 2)), self.start, self.moves)
-        chances = chain.pair_marginals(model, leads, begins)
+        chances = chain.pair_marginals(chain.Chain(np.zeros((0, 2)), self.start, self.moves), leads, begins)
         found = []
-        for text, a, b in zip(texts, offsets[:-1], offsets[1:]):
+        for own_words, a, b in zip(words, offsets[:-1], offsets[1:]):
             own = chances[a:b]
+            likely: dict[str, float] = {}
+            for i in np.flatnonzero(own >= FAINT).tolist():
+                word = own_words[i].lower()
+                likely[word] = max(likely.get(word, 0.0), float(own[i]))
+            s = sum(likely.values())
+            parts = [min(s, 1.0), min(max(s - 1.0, 0.0), 1.0), math.log1p(max(s - 2.0, 0.0))]
+            found.append((np.array([1.0, *parts, math.log1p(b - a)]), own))
+        return found
+
+    def tag(self, texts: list[str]) -> list[tuple[float, list[dict[str, int]]]]:
+        """Per text: its score, and offsets of runs of tokens that are likelier toxic than not."""
+        found = []
+        for text, (signs, own) in zip(texts, self.signs(texts), strict=True):
             spans: list[dict[str, int]] = []
             if len(own) and own.max() >= 0.5:
                 last = -2
@@ -165,7 +220,8 @@ class Tagger:
                         else:
                             spans.append({"start": match.start(), "end": match.end()})
                         last = i
-            found.append((float(own.max()) if len(own) else 0.0, spans))
+            chance = 1 / (1 + math.exp(-min(30.0, max(-30.0, float(signs @ self.score)))))
+            found.append((chance if len(own) else 0.0, spans))
         return found
 
 
@@ -181,8 +237,8 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Tagg
     chosen = known.where("toxic = 1").orderBy(*order).limit(sample).unionAll(known.where("toxic = 0").orderBy(*order).limit(sample))
     texts = texts_of(documents).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
     rows = sorted((r["doc_id"], r["text"], r["toxic"]) for r in texts.toLocalIterator())
-    model = fit((text, label) for _, text, label in rows)
-    return Tagger(model) if model else None
+    totals = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    return fit(((text, label) for _, text, label in rows), (totals.get(0, 0), totals.get(1, 0)))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -192,7 +248,8 @@ def held_out(doc_id: Column) -> Column:
 def score(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Toxicity of each whole text: doc_id, score (0 to 1), spans array<struct<start, end>> in code points.
 
-    One row per row of `documents`; repeated rows score alike, a null or empty text scores 0
+    Spans are single tokens or runs of them that are likelier toxic than not; the score weighs how many
+    different ones there are, so a document below 0.5 may have a span. One row per row of `documents`; repeated rows score alike, a null or empty text scores 0
     with no spans, a null doc_id stays null and is never learnt from. Labels other than 0 and 1
     are left out; where a document has several, toxic wins. Without labels of both kinds, or
     without any word that tells them apart, all score 0. Scores depend on texts alone. Other

@@ -1,0 +1,120 @@
+"""Token counts against the vocabulary's own library, secrets against plain patterns."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+from tokenizers import Tokenizer
+
+from hackney.llm import registry, secrets, token_counts
+from tests.llm.conftest import rows_of
+
+LIBRARY = Tokenizer.from_file(registry.BYTE_PAIRS)
+MERGER = token_counts.PairMerger.read(registry.BYTE_PAIRS)
+
+
+def library_count(text):
+    return len(LIBRARY.encode(text, add_special_tokens=False).ids)
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["", " ", "a<|endoftext|> b<|endoftext|>", "  x  \n\n y", "it's we'll", " " * 999, "日本語\u0000 é", "a" * 4000, "end ", "a\n b", "\x85 \x1c x"],
+)
+def test_counts_are_the_librarys(text):
+    assert MERGER.text_tokens(text) == library_count(text)
+
+
+def test_random_counts_are_the_librarys():
+    draw = random.Random(1)
+    for _ in range(800):
+        text = "".join(draw.choice(list("abcéthe  \n'sñ019.,日\t") + ["<|endoftext|>", "ing", " the"]) for _ in range(draw.randint(0, 50)))
+        assert MERGER.text_tokens(text) == library_count(text)
+
+
+def test_every_document_is_counted(spark, sf_dir):
+    texts = {r["doc_id"]: r["text"] for r in registry.table(spark, sf_dir, "documents").collect()}
+    rows = registry.QUERIES["op1_token_counts"](spark, sf_dir).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        text, n = texts[r["doc_id"]], library_count(texts[r["doc_id"]])
+        assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len(text.encode()), n, n > 512)
+
+
+def test_odd_documents(odd_documents, clashing):
+    plain = rows_of(token_counts.count_tokens(odd_documents, registry.BYTE_PAIRS))
+    assert len(plain) == 11 and (1, 0, 0, False) in plain and plain.count((4, 27, 6, False)) == 2
+    assert rows_of(token_counts.count_tokens(clashing(odd_documents), registry.BYTE_PAIRS)) == plain
+    assert token_counts.count_tokens(odd_documents.limit(0), registry.BYTE_PAIRS).count() == 0
+
+
+BASE = {
+    "assign": (r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A, lambda m: len(m[2]) >= 12),
+    "access": (r"AKIA[A-Z0-9]+", 0, lambda m: len(m[0]) >= 18),
+    "hex": (r"[0-9a-f]+", 0, lambda m: len(m[0]) >= 16),
+}
+
+
+def plain_spans(text):
+    return {(kind, m.start(), m.end()) for kind, (p, flags, keep) in BASE.items() for m in re.finditer(p, text, flags) if keep(m)}
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "", 'token = "0123456789abcdef0123"', "password=secret:abcdefghijklmnop", "AKIAAKIA" + "A" * 12, "AKIA123", "APIKEY:abcdefghijkl",
+        "token: token=abcdefghijklmnop", "toKen='x' secret==abcdefghijkl", "deadbeefdeadbeefg00000000000000000", "ſecret=abcdefghijklmnop",
+    ],
+)
+def test_base_spans_are_those_of_the_patterns(text):
+    found = secrets.scan(text)
+    assert {tuple((s.kind, s.start, s.end)) for s in found if s.kind != "lexed"} == plain_spans(text)
+    assert found == sorted(found, key=lambda s: (s.start, secrets.KINDS.index(s.kind)))
+
+
+def test_random_base_spans():
+    draw = random.Random(2)
+    bits = ["token", "Password", "api_key", "apikey", "=", ":", " ", '"', "'", "AKIA", "ABC9", "abcdef12", "0123456789", "x.y", "\n", "é"]
+    for _ in range(2000):
+        text = "".join(draw.choice(bits) for _ in range(draw.randint(0, 14)))
+        assert {(s.kind, s.start, s.end) for s in secrets.scan(text) if s.kind != "lexed"} == plain_spans(text)
+
+
+@pytest.mark.parametrize(
+    ("text", "literal"),
+    [
+        ('k = "Zx9qLm2Pw7Rt"\ndb_password = k', "Zx9qLm2Pw7Rt"),
+        ('{"clientSecret": "Zx9$Lm2Pw7!t"}', "Zx9$Lm2Pw7!t"),
+        ('base = "Zx9qLm"\nsigningKey = base + "2Pw7RtQ4"', "Zx9qLm"),
+        ("db.passphrase: Zx9qLm2Pw7Rt,", "Zx9qLm2Pw7Rt"),
+        ("a = 'Zx9qLm2Pw7Rt'\nb = a\nauthKey => b", "Zx9qLm2Pw7Rt"),
+    ],
+)
+def test_literals_reach_sensitive_names(text, literal):
+    lexed = [text[s.start : s.end] for s in secrets.scan(text) if s.kind == "lexed"]
+    assert literal in lexed
+
+
+@pytest.mark.parametrize("text", ["password = none", "title: A token of love", 'color = "Zx9qLm2Pw7Rt"', "password_hint: Zx9qLm2Pw7Rt", "the key: thatthing"])
+def test_harmless_pairs_are_left_alone(text):
+    assert not secrets.scan(text)
+
+
+def test_secrets_of_odd_documents(odd_documents, clashing):
+    plain = rows_of(secrets.find_secrets(odd_documents))
+    assert len(plain) == 11 and all(spans == [] for _, spans in plain)
+    assert rows_of(secrets.find_secrets(clashing(odd_documents))) == plain
+    assert secrets.find_secrets(odd_documents.limit(0)).count() == 0
+
+
+def test_secret_query(spark, sf_dir):
+    texts = {r["doc_id"]: r["text"] for r in registry.table(spark, sf_dir, "documents").collect()}
+    import hashlib
+
+    for r in registry.QUERIES["op2_secret_scan"](spark, sf_dir).collect():
+        spans = sorted(plain_spans(texts[r["doc_id"]]), key=lambda s: (s[1], list(BASE).index(s[0])))
+        told = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        assert r["base_sha256"] == hashlib.sha256(told.encode()).hexdigest()
+        assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(sum(s[0] == k for s in spans) for k in BASE)
