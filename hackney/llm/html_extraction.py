@@ -289,13 +289,11 @@ class Extractor:
 
 def learn(pages: DataFrame, sample: int = SAMPLE) -> Extractor | None:
     """Fit on the first `sample` pages, by a hash of their ids, that hold an article or main element."""
-    chosen = (
-        pick(pages, "page_id", "html")
-        .where(F.lower("html").rlike(r"<(article|main)[\s>]"))
-        .orderBy(F.xxhash64("page_id"), "page_id", "html")
-        .limit(sample)
-    )
-    model = fit([r["html"] for r in chosen.toLocalIterator()])
+    marked = pick(pages, "page_id", "html").where(F.col("page_id").isNotNull() & F.lower("html").rlike(r"<(article|main)[\s>]"))
+    # The ids are chosen first, so that no page moves but those that are learnt from.
+    chosen = marked.select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
+    rows = marked.join(F.broadcast(chosen.distinct()), "page_id").orderBy(F.xxhash64("page_id"), "page_id", "html").limit(sample)
+    model = fit([r["html"] for r in rows.toLocalIterator()])
     return Extractor(model) if model else None
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import random
 import re
 from collections import Counter
 from zlib import crc32
@@ -89,8 +90,10 @@ def test_toxicity_of_odd_documents(spark, odd_documents, clashing, documents):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert {r["score"] for r in toxicity.score(odd_documents, none).collect()} == {0.0}
     assert toxicity.drop_toxic(odd_documents, none).count() == 11
-    plain = [(i, f"the plain words of text {i} are all harmless", "s") for i in range(100, 400)]
-    bad = [(i, f"you vileword{i % 7} thing and the plain words of text {i}", "s") for i in range(400, 700)]
+    draw = random.Random(11)
+    words = ["".join(draw.choice("aeioulmnrst") for _ in range(draw.randint(2, 8))) for _ in range(900)]
+    plain = [(i, " ".join(draw.choices(words, k=40)), "s") for i in range(100, 400)]
+    bad = [(i, " ".join([*draw.choices(words, k=30), f"vileword{i % 7}", "you", f"vilething{i % 5}"]), "s") for i in range(400, 700)]
     known = spark.createDataFrame([(i, 1, int(i >= 400)) for i in range(100, 700)] + [(None, 1, 1), (4, 1, None)], "doc_id bigint, quality int, toxic int")
     every = odd_documents.unionByName(documents(plain + bad))
     told = {r["doc_id"]: r["score"] for r in toxicity.score(clashing(every), known).collect()}
@@ -145,7 +148,7 @@ def test_leaf_blocks():
 
 def test_odd_pages(spark, pages):
     odd = spark.createDataFrame([(None, None, None), (-1, "u", ""), (-2, "u", "<script>never closed"), (-3, None, "&amp" * 5)], "page_id bigint, url string, html string")
-    more = pages.select("page_id", "url", "html").unionByName(odd).withColumn("HTML", F.lit("x")).withColumn("blocks", F.lit(1))
+    more = pages.select("page_id", "url", "html").unionByName(odd).select("*", F.lit("x").alias("HTML"), F.lit(1).alias("blocks"))
     found = {r["page_id"]: r["blocks"] for r in html_extraction.extract_text(more).where("page_id < 0 OR page_id IS NULL").collect()}
     assert found[None] == found[-1] == found[-2] == [] and len(found) == 4
     assert all(r["blocks"] == [] for r in html_extraction.extract_text(odd).collect())
