@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from hackney.sources.scratch import scratch_root
+
 # Rows handled at a time inside a task, so that a batch of long texts stays small in Python.
 SLICE_ROWS = 256
 
@@ -48,11 +49,9 @@ def map_slices(frame: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch],
 def cut(frame: DataFrame) -> DataFrame:
     """The frame written to the shared checkpoint folder and read back, so that lost executors cost no recomputation.
 
-    A folder of its own is set only in local mode and only where the session names none.
+    The folder is the session's; one of its own is set only in local mode and only where the session names none.
     """
-    context = SparkSession.getActiveSession().sparkContext
+    context = frame.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="hackney-llm-"))
+        context.setCheckpointDir(scratch_root(frame.sparkSession))
     return frame.checkpoint()
