@@ -39,7 +39,7 @@ FAINT, SIGNS, RIDGE = 0.05, 5, 0.01
 # Share of training tokens of which only the beginning is shown, so that it is learnt for itself.
 HIDDEN = 0.3
 # Scores of that many distinct words are remembered in a Python worker.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
 
 
 def beginnings(word: str) -> list[str]:
