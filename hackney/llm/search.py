@@ -26,7 +26,7 @@ from hackney.llm.frames import SLICE_ROWS, kind_of, texts_of
 K1, B = 1.2, 0.75
 TERM = re.compile(r"[^\W_]+")
 # Text of a shard, and of the queries that are broadcast at a time, in bytes.
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 48 << 20
 QUERY_BYTES = 24 << 20
 # Documents of a block; a term in more than this share of a shard's documents is common.
 BLOCK, COMMON = 32, 1 / 32
