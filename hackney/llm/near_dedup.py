@@ -1,16 +1,17 @@
 """Near copies by BagMinHash: sign, band, verify the overlap of bags, and join links to classes.
 
 Documents with equal bags are one node from the start. Nodes that share a band of
-their signatures meet in a bucket. Small buckets compare all pairs. A larger one
-compares each node with the bucket's hub only, so that the work stays linear in its
-size; nodes that a hub could not settle are signed anew with other seeds and
-meet again, mostly in smaller company and under other hubs.
+their signatures meet in a bucket. Small buckets compare all pairs. A larger one first
+compares each node with a hub, which settles most of it in linear work: what is near the
+hub is in its class, and the triangle inequality tells what cannot be near each other.
+Pairs that the hubs leave open are all compared, in blocks, so none is dropped.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,8 +27,10 @@ BANDS, ROWS = 26, 5
 SIGNED_ROWS = 128
 # Buckets of up to that many nodes compare all pairs: 3.5 a node at most.
 SMALL = 8
-# Times that unsettled nodes are signed anew.
-ROUNDS = 2
+# Hubs that a large bucket gets before its open pairs are compared in blocks.
+HUBS = 2
+# Nodes of a block, on average. Two blocks meet in a task.
+BLOCK = 256
 
 
 def signed(texts: DataFrame, seed: int) -> DataFrame:
@@ -46,23 +49,32 @@ def signed(texts: DataFrame, seed: int) -> DataFrame:
     return map_slices(texts, sign, schema, SIGNED_ROWS)
 
 
-def buckets_of(nodes: DataFrame, seed: int) -> DataFrame:
-    """Buckets of two nodes and more: (key, node, hub, size). nodes: (node, bands), each node once."""
+def buckets_of(nodes: DataFrame) -> DataFrame:
+    """Buckets of two nodes and more: (key, node, size). nodes: (node, bands), each node once."""
     members = nodes.select("node", F.explode("bands").alias("key"))
-    place = F.xxhash64(F.col("node"), F.lit(seed))
-    held = members.groupBy("key").agg(F.min(F.struct(place.alias("place"), "node")).alias("first"), F.count(F.lit(1)).alias("size"))
-    shared = held.where("size > 1").select("key", F.col("first.node").alias("hub"), "size")
+    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     return members.join(shared, "key")
 
 
-def pairs_of(buckets: DataFrame) -> DataFrame:
-    """The pairs to compare, once each: (a, b), a < b."""
-    large = buckets.where((F.col("size") > SMALL) & (F.col("node") != F.col("hub"))).select(
-        F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")
-    )
+def small_pairs(buckets: DataFrame) -> DataFrame:
+    """All pairs of the small buckets: (a, b), a < b."""
     small = buckets.where(F.col("size") <= SMALL).groupBy("key").agg(F.array_sort(F.collect_set("node")).alias("n"))
     every = "flatten(transform(n, (x, i) -> transform(slice(n, i + 2, size(n)), y -> struct(x AS a, y AS b))))"
-    return large.unionByName(small.select(F.explode(F.expr(every)).alias("p")).select("p.a", "p.b")).distinct()
+    return small.select(F.explode(F.expr(every)).alias("p")).select("p.a", "p.b")
+
+
+def hub_pairs(buckets: DataFrame) -> DataFrame:
+    """Nodes of large buckets and the bucket's hub: (key, node, a, b), a < b.
+
+    The hub is the node that meets most others in all its large buckets, which is the original where
+    copies of it were edited in different places.
+    """
+    large = buckets.where(F.col("size") > SMALL).select("key", "node", "size")
+    met = large.groupBy("node").agg(F.sum("size").alias("met"))
+    place = F.struct("met", F.xxhash64("node").alias("place"), "node")
+    hubs = large.join(met, "node").groupBy("key").agg(F.max(place).alias("first")).select("key", F.col("first.node").alias("hub"))
+    held = large.join(hubs, "key").where(F.col("node") != F.col("hub"))
+    return held.select("key", "node", F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
 
 
 def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -86,21 +98,74 @@ def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long, similarity double")
 
 
-def unsettled(buckets: DataFrame, verdicts: DataFrame, similarity: float) -> DataFrame:
-    """Nodes of large buckets that may be near each other though the hub does not tell: (node).
+def open_groups(met: DataFrame, verdicts: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
+    """Nodes of large buckets that may be near each other though the hub does not tell: (key, node, label, size).
 
     With distance 1 - similarity, which is a metric, a node near an outsider is at most one threshold
-    nearer to the hub than the outsider is.
+    nearer to the hub than the outsider is. Nodes of one component so far need no further link.
+    met: as of hub_pairs; labels: (node, label).
     """
+    told = met.join(verdicts, ["a", "b"]).select("key", "node", "similarity").join(labels, "node", "left")
+    told = cut(told.select("key", "node", "similarity", F.coalesce("label", "node").alias("label")))
+    outside = told.where(F.col("similarity") < similarity).groupBy("key").agg(F.max("similarity").alias("nearest"))
     reach = 1.0 - similarity
-    large = buckets.where((F.col("size") > SMALL) & (F.col("node") != F.col("hub"))).select(
-        "key", "node", F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")
-    )
-    far = cut(large.join(verdicts, ["a", "b"]).select("key", "node", (1.0 - F.col("similarity")).alias("distance")))
-    outside = far.where(F.col("distance") > reach).groupBy("key").agg(F.min("distance").alias("nearest"), F.count(F.lit(1)).alias("n"))
-    # One outsider and no member within reach of it is settled: it has been compared with the hub.
-    waiting = far.join(outside, "key").where(F.col("distance") >= F.col("nearest") - reach - 1e-9)
-    return waiting.select("node").distinct()
+    waiting = told.join(outside, "key").where(F.col("similarity") <= F.col("nearest") + reach + 1e-9)
+    several = waiting.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
+    return waiting.join(several.where("low < high"), "key").select("key", "node", "label", "size")
+
+
+def linked_in(similarity: float) -> Callable[[pa.Table], pa.Table]:
+    """Compares two blocks of a group, or one with itself: links that join the components of its nodes.
+
+    A pair is compared in the first bucket that it shares, and only while its nodes are in different components.
+    """
+
+    def compare(cell: pa.Table) -> pa.Table:
+        key, i, j = (cell.column(name)[0].as_py() for name in ("key", "i", "j"))
+        node, label, block = (cell.column(name).to_numpy() for name in ("node", "label", "block"))
+        label = label.copy()
+        bands = np.array(cell.column("bands").to_pylist(), np.int64)
+        parts = []
+        for start in range(0, cell.num_rows, SIGNED_ROWS):
+            part = bags.bags_of(cell.column("text").slice(start, SIGNED_ROWS).to_pylist(), SHINGLE)
+            parts.append((part.owner + start, part.shingle, part.times))
+        held = bags.Bags(cell.num_rows, *(np.concatenate(p) for p in zip(*parts, strict=True)))
+        bounds, totals = held.bounds(), held.totals()
+        entry = np.unique(held.shingle, return_inverse=True)[1]
+        weight = np.zeros(len(entry), np.int64)
+        links = []
+        for x in np.flatnonzero(block == i):
+            wanted = (block == j) & (label != label[x])
+            if i == j:
+                wanted &= node > node[x]
+            shared = bands == bands[x]
+            wanted &= bands[x][shared.argmax(axis=1)] == key
+            if not wanted.any():
+                continue
+            span = slice(bounds[x], bounds[x + 1])
+            weight[entry[span]] = held.times[span]
+            both = np.bincount(held.owner, np.minimum(weight[entry], held.times), held.count)
+            weight[entry[span]] = 0
+            near = np.flatnonzero(wanted & (both / (totals[x] + totals - both) >= similarity))
+            joined, first = np.unique(label[near], return_index=True)
+            links += [(min(node[x], node[y]), max(node[x], node[y])) for y in near[first]]
+            label[np.isin(label, joined)] = label[x]
+        found = np.array(links, np.int64).reshape(-1, 2)
+        return pa.table({"a": found[:, 0], "b": found[:, 1]})
+
+    return compare
+
+
+def block_links(groups: DataFrame, nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links of all open pairs of groups, joined by components: (a, b). groups: as of open_groups; nodes: (node, bands).
+
+    A group's nodes are dealt to blocks, and every two blocks meet in a task of their own.
+    """
+    blocks = F.ceil(F.col("size") / BLOCK)
+    placed = groups.select("key", "node", "label", F.pmod(F.xxhash64("node", "key"), blocks).alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
+    cells = placed.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "label", "block")
+    held = groups.select("node").distinct().join(nodes, "node").join(texts, "node")
+    return cells.join(held, "node").groupBy("key", "i", "j").applyInArrow(linked_in(similarity), "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -126,7 +191,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def find_links(rows: DataFrame, reps: DataFrame, similarity: float) -> DataFrame:
     """Links between different bags: (a, b). rows: (doc_id, text, text_key); reps: (node, doc_id, text_key, bands)."""
-    buckets = cut(buckets_of(reps, 0))
+    buckets = cut(buckets_of(reps))
     wanted = buckets.select("node").distinct().join(reps.select("node", "doc_id", "text_key"), "node")
     # Id and text find a node's row; where both repeat, one row is taken where the join has put them.
     same = [F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("id"), "text_key"]
@@ -136,21 +201,17 @@ def find_links(rows: DataFrame, reps: DataFrame, similarity: float) -> DataFrame
         .dropDuplicates(["id", "text_key"])
         .select("node", "text")
     )
-    links = []
-    for round_ in range(1, ROUNDS + 2):
-        verdicts = cut(compared(pairs_of(buckets), texts))
-        links.append(verdicts.where(F.col("similarity") >= similarity).select("a", "b"))
-        if round_ > ROUNDS:
-            break
-        waiting = cut(unsettled(buckets, verdicts, similarity))
-        if waiting.isEmpty():
-            break
-        again = signed(texts.join(waiting, "node").select("text"), round_).where("node IS NOT NULL")
-        buckets = cut(buckets_of(again, round_))
-    found = links[0]
-    for more in links[1:]:
-        found = found.unionByName(more)
-    return found.distinct()
+    links = None
+    for _ in range(HUBS):
+        met = cut(hub_pairs(buckets))
+        verdicts = cut(compared(small_pairs(buckets).unionByName(met.select("a", "b")).distinct(), texts))
+        near = verdicts.where(F.col("similarity") >= similarity).select("a", "b")
+        links = near if links is None else links.unionByName(near)
+        buckets = cut(open_groups(met, verdicts, components(links), similarity))
+        if buckets.isEmpty():
+            return links.distinct()
+    rest = cut(block_links(buckets, reps.select("node", "bands"), texts, similarity))
+    return links.unionByName(rest).distinct()
 
 
 def find_classes(documents: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -183,8 +244,8 @@ def near_copies(documents: DataFrame, similarity: float = SIMILARITY) -> DataFra
     empty table.
 
     Every reported class rests on links whose overlap was counted exactly. A link is missed with a
-    probability of 3 in 100,000 at the threshold and less above it, apart from pairs that meet only
-    in buckets of more than SMALL nodes whose hubs are unlike them, in all of up to ROUNDS + 1 rounds.
+    probability of 3 in 100,000 at the threshold and less above it, in buckets of any size: a pair that
+    shares a band is compared, or in one class by other links, or too far apart by the triangle inequality.
     """
     marked, classes = find_classes(documents, similarity)
     joined = marked.join(classes, "node", "left")

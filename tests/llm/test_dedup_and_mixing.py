@@ -138,6 +138,38 @@ def test_crowds_are_grouped_right(crowd):
     assert found[500] == found[501] == 500 and found[502] == 502 and found[503] == 503 and found[504] == 504
 
 
+def edit(words, times, name, draw):
+    copy = list(words)
+    for at in draw.sample(range(len(words)), times):
+        copy[at] = f"{name}x{at}"
+    return copy
+
+
+def test_edited_copies_find_their_original(documents):
+    draw = random.Random(10)
+    text = [f"w{draw.randrange(3000)}" for _ in range(200)]
+    rows = [(1000, " ".join(text))] + [(i, " ".join(edit(text, 4, f"e{i}", draw))) for i in range(500)]
+    found = {r["doc_id"]: r["class_id"] for r in near_dedup.near_copies(documents(rows)).collect()}
+    assert found == classes_of(dict(rows))
+
+
+def test_links_that_no_hub_shows(documents, monkeypatch):
+    """Edits of an absent text, all alike to any hub, and a copy of each; large buckets only, many blocks."""
+    draw = random.Random(11)
+    text = [f"w{draw.randrange(3000)}" for _ in range(200)]
+    rows = []
+    for i in range(150):
+        one = edit(text, 4, f"e{i}", draw)
+        rows += [(i, " ".join(one)), (500 + i, " ".join(edit(one, 3, f"f{i}", draw)))]
+    groups, blocks = [], near_dedup.block_links
+    monkeypatch.setattr(near_dedup, "SMALL", 1)
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    monkeypatch.setattr(near_dedup, "block_links", lambda *given: groups.append(given[0]) or blocks(*given))
+    found = {r["doc_id"]: r["class_id"] for r in near_dedup.near_copies(documents(rows)).collect()}
+    assert found == classes_of(dict(rows))
+    assert groups[0].agg(F.max("size")).first()[0] > 64
+
+
 def test_dropping_near_copies(crowd, clashing):
     rows, frame = crowd
     wide = clashing(frame)
