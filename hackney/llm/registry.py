@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hackney.llm import chat, exact_dedup, html_extraction, mixing, near_dedup, pieces, search, secrets, token_counts, toxicity
+from hackney.llm import (
+    chat,
+    exact_dedup,
+    fingerprints,
+    html_extraction,
+    mixing,
+    near_dedup,
+    pieces,
+    prefix_trie,
+    search,
+    secrets,
+    structure_repair,
+    token_counts,
+    toxicity,
+)
 from hackney.llm.frames import pick
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +114,35 @@ def op10_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top_k(documents, queries, k=10)
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they and the next document's are."""
+    found = fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
+        F.concat_ws("", "fingerprint").alias("fingerprint"),
+        F.concat_ws("", "edited_fingerprint").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct beginning of the rebuilt conversations, with counts over its subtree."""
+
+    def borrowed(conv_id: Column) -> Column:
+        return F.crc32(conv_id.cast("string").cast("binary")) % 4
+
+    turns = prefix_trie.rebuild(table(spark, sf_dir, "conversations"), family=20, heads=4, borrowed=borrowed)
+    return prefix_trie.prefix_trie(turns)
+
+
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation, and its cheapest repair."""
+    return structure_repair.repair_digests(structure_repair.damage(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_secret_scan": op2_secret_scan,
@@ -111,6 +154,9 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_near_dedup": op9_near_dedup,
     "op10_top_k_search": op10_top_k_search,
+    "op11_fingerprints": op11_fingerprints,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_structure_repair": op13_structure_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -179,4 +225,64 @@ ORACLE_SQL: dict[str, str] = {
         ranked AS (
           SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS place FROM scored)
         SELECT query_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 10""",
+    "op11_fingerprints": r"""
+        WITH placed AS (
+          SELECT doc_id, coalesce(text, '') AS t, count(*) OVER () AS docs,
+            row_number() OVER (ORDER BY doc_id NULLS LAST, md5(coalesce(text, ''))) AS place FROM documents),
+        edited AS (
+          SELECT a.doc_id, a.place, b.place AS next_place, length(a.t) AS n_chars, a.t,
+            left(a.t, length(a.t) - length(a.t) // 4) || left(b.t, length(a.t) // 4) AS e
+          FROM placed a JOIN placed b ON b.place = a.place % a.docs + 1),
+        worded AS (
+          SELECT place, kind, regexp_extract_all(lower(x), '[\p{L}\p{N}]+') AS w
+          FROM (SELECT place, 'own' AS kind, t AS x FROM edited UNION ALL SELECT place, 'edited', e FROM edited)),
+        sketched AS (
+          SELECT place, kind, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) ELSE list_sort(list_distinct(list_transform(
+            range(0, greatest(len(w) - 5, 0) + 1),
+            lambda i: substr(md5(array_to_string(w[i + 1:i + 5], ' ')), 1, 16))))[1:128] END AS f FROM worded),
+        compared AS (
+          SELECT d.doc_id, d.n_chars, d.e, o.f, x.f AS xf, n.f AS nf,
+            list_sort(list_distinct(list_concat(o.f, x.f)))[1:128] AS ox,
+            list_sort(list_distinct(list_concat(o.f, n.f)))[1:128] AS onext
+          FROM edited d JOIN sketched o ON o.place = d.place AND o.kind = 'own'
+          JOIN sketched x ON x.place = d.place AND x.kind = 'edited'
+          JOIN sketched n ON n.place = d.next_place AND n.kind = 'own')
+        SELECT doc_id, n_chars, sha256(e) AS edited_sha256, array_to_string(f, '') AS fingerprint,
+          array_to_string(xf, '') AS edited_fingerprint,
+          CASE WHEN len(ox) = 0 THEN 1.0 ELSE CAST(len(list_intersect(list_intersect(ox, f), xf)) AS DOUBLE) / len(ox) END AS near_edited,
+          CASE WHEN len(onext) = 0 THEN 1.0 ELSE CAST(len(list_intersect(list_intersect(onext, f), nf)) AS DOUBLE) / len(onext) END AS near_next
+        FROM compared""",
+    "op12_prefix_trie": r"""
+        WITH ordered AS (
+          SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+            row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+          FROM conversations WHERE conv_id IS NOT NULL),
+        ids AS (
+          SELECT conv_id, xor(list_reduce(
+            flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: [CAST(ascii(s) AS BIGINT), 0, 0, 0, 0, 0, 0, 0])),
+            lambda c, x: xor(xor(c, x) >> 1, (xor(c, x) & 1) * 3988292384), CAST(4294967295 AS BIGINT)), 4294967295) % 4 AS h
+          FROM (SELECT DISTINCT conv_id FROM ordered)),
+        rebuilt AS (
+          SELECT i.conv_id, pos, role, text FROM ids i JOIN ordered o ON o.conv_id = i.conv_id - i.conv_id % 20 AND o.pos <= i.h
+          UNION ALL SELECT i.conv_id, pos + 4, role, text FROM ids i JOIN ordered o ON o.conv_id = i.conv_id AND o.pos > i.h),
+        whole AS (
+          SELECT conv_id, coalesce(s, []) AS s
+          FROM ids LEFT JOIN (SELECT conv_id, list({'r': role, 't': text} ORDER BY pos) AS s FROM rebuilt GROUP BY conv_id) USING (conv_id)),
+        paths AS (
+          SELECT conv_id, d, s[1:d] AS k, d = len(s) AS ends,
+            CASE WHEN d > 0 THEN len(regexp_extract_all(s[d].t, '[^\x20\x09-\x0D]+')) ELSE 0 END AS words
+          FROM (SELECT *, unnest(range(0, len(s) + 1)) AS d FROM whole)),
+        counted AS (
+          SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+            string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends) AS ended
+          FROM paths GROUP BY k, d),
+        nodes AS (
+          SELECT c.*, coalesce(n_children, 0) AS n_children
+          FROM counted c LEFT JOIN (SELECT k[1:d - 1] AS k, count(*) AS n_children FROM counted WHERE d > 0 GROUP BY 1) USING (k)),
+        climbed AS (
+          SELECT p.k, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * n.words) AS saved
+          FROM nodes n JOIN paths p ON p.conv_id = n.conv_id AND p.d <= n.d GROUP BY p.k)
+        SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves,
+          CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(n.ended, '')) AS ends_sha256
+        FROM nodes n JOIN climbed USING (k) LEFT JOIN nodes p ON n.d > 0 AND p.k = n.k[1:n.d - 1]""",
 }
