@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hackney.llm.frames import cut, kind_of, texts_of
+from hackney.llm.frames import cut, texts_of
 
 SHINGLE = 5
 # Hashes that a fingerprint keeps. The standard error of a likeness of 0.6 is 0.04.
@@ -18,7 +18,9 @@ KEPT = 128
 # Hex digits of a hash, of the 32 that a digest has.
 DIGITS = 16
 WORD = r"[\p{L}\p{N}]+"
-_REACH = float(16**DIGITS)
+# Ranges of neighbours that a partition of the sort is divided into, so that they can be dealt out evenly. Their bounds are one array.
+TILES = 16
+MOST_RANGES = 1 << 24
 
 
 def words(text: Column) -> Column:
@@ -87,32 +89,32 @@ def fingerprints(documents: DataFrame, width: int = SHINGLE, kept: int = KEPT) -
     return held.select("doc_id", sketch(F.col("words"), width, kept).alias("fingerprint"))
 
 
-def _in_order(entries: DataFrame) -> DataFrame:
-    """Each entry's neighbours by id and digest, the last one's next being the first: adds next_id, next_digest, before_chars.
+def _entry() -> Column:
+    """What entries are ordered by: null ids last."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
 
-    entries: (doc_id, digest, n_chars, rows). Keys alone are sorted into ranges over all tasks; neighbours meet
-    in a range, and each range's first and last entry meet those of the ranges beside it.
+
+def _bounds(entries: DataFrame) -> DataFrame:
+    """One row: (bounds), the least entry of each range, ascending. entries: (doc_id, digest), each once.
+
+    The ranges are TILES for each partition of a sort by Spark, so their number follows the session's partitions and not the rows.
     """
-    entries = cut(entries.repartitionByRange(F.col("doc_id").asc_nulls_last(), "digest").withColumn("part", F.spark_partition_id()))
-    key = [F.col("doc_id").isNull(), "doc_id", "digest"]
-    inside = Window.partitionBy("part").orderBy(*key)
-    entry = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest", "n_chars")
-    placed = entries.withColumns({"after": F.lead(entry).over(inside), "before": F.lag("n_chars").over(inside)})
-    edges = entries.groupBy("part").agg(F.min(entry).alias("first"), F.max(entry).alias("last"))
-    # One row for each range of the shuffle.
-    ranges = Window.orderBy("part")
-    whole = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    edges = edges.select(
-        "part",
-        F.coalesce(F.lead("first").over(ranges), F.first("first").over(whole)).alias("next_range"),
-        F.coalesce(F.lag("last").over(ranges), F.last("last").over(whole)).alias("range_before"),
-    )
-    joined = placed.join(edges, "part").withColumn("after", F.coalesce("after", "next_range"))
-    return joined.select(
-        "doc_id", "digest", "n_chars", "rows",
-        F.col("after.doc_id").alias("next_id"), F.col("after.digest").alias("next_digest"),
-        F.coalesce("before", F.col("range_before.n_chars")).alias("before_chars"),
-    )
+    spark = entries.sparkSession
+    spread = entries.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), F.col("doc_id").isNull(), "doc_id", "digest")
+    parts = spread.select(_entry().alias("entry"), F.spark_partition_id().alias("part"))
+    tile = F.ntile(TILES).over(Window.partitionBy("part").orderBy("entry"))
+    least = cut(parts.withColumn("tile", tile).groupBy("part", "tile").agg(F.min("entry").alias("entry")))
+    return least.agg(F.array_sort(F.collect_list("entry")).alias("bounds"))
+
+
+def _range_of(bounds: Column, entry: Column) -> Column:
+    """The place of the last bound that is not above the entry, by halving."""
+    strides = F.array(*[F.lit(1 << k) for k in range(MOST_RANGES.bit_length() - 1, -1, -1)])
+
+    def further(at: Column, stride: Column) -> Column:
+        return F.when(F.get(bounds, at + stride) <= entry, at + stride).otherwise(at)
+
+    return F.aggregate(strides, F.lit(0), further)
 
 
 def edited_fingerprints(documents: DataFrame, width: int = SHINGLE, kept: int = KEPT) -> DataFrame:
@@ -124,42 +126,43 @@ def edited_fingerprints(documents: DataFrame, width: int = SHINGLE, kept: int =
     (arrays), near_edited, near_next.
 
     A null text is empty. Equal rows are one entry that is worked out once: each copy but the last has itself as the
-    next document. A table of one row has itself as next. An empty table gives an empty table; other columns are
-    ignored. Whole texts move once, and a quarter of them with the fingerprints a second time.
+    next document. A table of one row has itself as next. An empty table gives an empty table; other columns are ignored.
+
+    Ids and digests alone are sorted first, which gives the bounds of many small ranges. Then whole texts move once, each
+    to its range; the least of a range goes as a guest to the end of the range before it as well, where the last one
+    finds it. Rows that repeat id and text, if there are any, are collapsed before that.
     """
     held = texts_of(documents).withColumn("digest", F.md5(F.col("text").cast("binary")))
-    once = held.groupBy("doc_id", "digest").agg(F.first("text").alias("text"))
-    counted = held.groupBy("doc_id", "digest").agg(F.max(F.char_length("text")).alias("n_chars"), F.count(F.lit(1)).alias("rows"))
-    places = cut(_in_order(counted))
-    # A null id equals a null id here.
-    told = F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("id")
-    id_kind = kind_of(held, "doc_id")
-    texts = once.select(told, "digest", "text").join(places.select(told, *[c for c in places.columns]), ["id", "digest"])
-
-    quarter = F.floor(F.col("n_chars") / 4).cast("int")
-    own = texts.select("id", "doc_id", "digest", "n_chars", "rows", "text", words(F.col("text")).alias("words"))
-    own = own.select("*", sketch(F.col("words"), width, kept).alias("fingerprint")).drop("words")
-
-    # What each entry gives to the one before it.
-    before = F.expr("substring(text, 1, CAST(floor(before_chars / 4) AS INT))")
-    given = texts.select("id", "digest", before.alias("beginning"), words(F.col("text")).alias("words"))
-    given = given.select("id", "digest", "beginning", sketch(F.col("words"), width, kept).alias("next_fingerprint"))
-    backward = places.select(
-        F.coalesce(F.col("next_id").cast("string"), F.lit("null")).alias("id"), F.col("next_digest").alias("digest"), told.alias("to_id"), F.col("digest").alias("to_digest")
-    )
-    given = given.join(backward, ["id", "digest"]).select(F.col("to_id").alias("id"), F.col("to_digest").alias("digest"), "beginning", "next_fingerprint")
-
-    both = own.join(given, ["id", "digest"])
-    last = F.struct(F.lit(1).cast("long").alias("copies"), F.col("beginning").alias("beginning"), F.col("next_fingerprint").alias("next_fingerprint"))
-    others = F.struct((F.col("rows") - 1).alias("copies"), F.expr("substring(text, 1, CAST(floor(n_chars / 4) AS INT))").alias("beginning"), F.col("fingerprint").alias("next_fingerprint"))
+    counted = cut(held.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("rows")))
+    if counted.where("rows > 1").isEmpty():
+        entries = held.withColumn("rows", F.lit(1).cast("long"))
+    else:
+        entries = held.groupBy("doc_id", "digest").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("rows"))
+
+    bounds = _bounds(counted).scalar()
+    placed = entries.select("*", _entry().alias("entry"), bounds.alias("bounds"))
+    placed = placed.select("*", _range_of(F.col("bounds"), F.col("entry")).alias("range"))
+    home = F.struct(F.col("range").alias("to"), F.lit(False).alias("guest"))
+    away = F.struct(F.pmod(F.col("range") - 1, F.size("bounds")).alias("to"), F.lit(True).alias("guest"))
+    first = F.get("bounds", F.col("range")) == F.col("entry")
+    sent = placed.select("doc_id", "digest", "text", "rows", F.inline(F.when(first, F.array(home, away)).otherwise(F.array(home))))
+    own = sent.repartition("to").withColumn("words", words(F.col("text")))
+    own = own.select("*", sketch(F.col("words"), width, kept).alias("fingerprint"), F.char_length("text").alias("n_chars")).drop("words")
+
+    order = Window.partitionBy("to").orderBy("guest", F.col("doc_id").isNull(), "doc_id", "digest")
+    after = {"next_text": F.lead("text").over(order), "next_fingerprint": F.lead("fingerprint").over(order)}
+    both = own.withColumns(after).where("NOT guest")
+    last = F.struct(F.lit(1).cast("long").alias("copies"), F.col("next_text").alias("after"), F.col("next_fingerprint").alias("after_fingerprint"))
+    others = F.struct((F.col("rows") - 1).alias("copies"), F.col("text").alias("after"), F.col("fingerprint").alias("after_fingerprint"))
     each = both.select("doc_id", "n_chars", "text", "fingerprint", F.inline(F.when(F.col("rows") > 1, F.array(last, others)).otherwise(F.array(last))))
-    edited = F.concat(F.expr("substring(text, 1, n_chars - CAST(floor(n_chars / 4) AS INT))"), F.col("beginning"))
-    each = each.select("doc_id", "n_chars", "copies", "fingerprint", "next_fingerprint", edited.alias("edited_text"))
-    each = each.select("*", words(F.col("edited_text")).alias("words"))
-    each = each.select("*", sketch(F.col("words"), width, kept).alias("edited_fingerprint"))
+    quarter = F.floor(F.col("n_chars") / 4).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars") - quarter), F.substring("after", F.lit(1), quarter))
+    each = each.select("doc_id", "n_chars", "copies", "fingerprint", "after_fingerprint", edited.alias("edited_text"))
+    each = each.withColumn("words", words(F.col("edited_text")))
+    each = each.withColumn("edited_fingerprint", sketch(F.col("words"), width, kept))
     done = each.select(
-        F.col("doc_id").cast(id_kind).alias("doc_id"), F.col("n_chars").cast("long").alias("n_chars"), "copies", "edited_text", "fingerprint", "edited_fingerprint",
+        "doc_id", F.col("n_chars").cast("long").alias("n_chars"), "copies", "edited_text", "fingerprint", "edited_fingerprint",
         resemblance(F.col("fingerprint"), F.col("edited_fingerprint"), kept).alias("near_edited"),
-        resemblance(F.col("fingerprint"), F.col("next_fingerprint"), kept).alias("near_next"),
+        resemblance(F.col("fingerprint"), F.col("after_fingerprint"), kept).alias("near_next"),
     )
     return done.select("*", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy")).drop("copies", "copy")
