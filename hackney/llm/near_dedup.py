@@ -2,9 +2,12 @@
 
 Documents with equal bags are one node from the start. Nodes that share a band of
 their signatures meet in a bucket. Small buckets compare all pairs. A larger one first
-compares each node with a hub, which settles most of it in linear work: what is near the
+compares each node with a hub, which settles dense groups in linear work: what is near the
 hub is in its class, and the triangle inequality tells what cannot be near each other.
-Pairs that the hubs leave open are all compared, in blocks, so none is dropped.
+Nodes that a hub leaves open are dealt anew by their rarest shingles: two of them can only be
+near if they share one of the few that make up a fifth of either bag, so that what merely
+resembles a large group meets nobody. Nodes that very many share even those with are compared
+in blocks, so no pair is dropped.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hackney.llm import bags
@@ -27,10 +30,8 @@ BANDS, ROWS = 26, 5
 SIGNED_ROWS = 128
 # Buckets of up to that many nodes compare all pairs: 3.5 a node at most.
 SMALL = 8
-# Hubs that a large bucket gets before its open pairs are compared in blocks.
-HUBS = 2
-# Nodes of a block, on average. Two blocks meet in a task.
-BLOCK = 256
+# Nodes of a block and characters of their texts, on average, at most. Two blocks meet in a task.
+BLOCK, BLOCK_CHARS = 1024, 1 << 22
 
 
 def signed(texts: DataFrame, seed: int) -> DataFrame:
@@ -70,9 +71,10 @@ def hub_pairs(buckets: DataFrame) -> DataFrame:
     copies of it were edited in different places.
     """
     large = buckets.where(F.col("size") > SMALL).select("key", "node", "size")
-    met = large.groupBy("node").agg(F.sum("size").alias("met"))
+    # A node is in as many buckets as it has bands, or shingles.
+    met = large.withColumn("met", F.sum("size").over(Window.partitionBy("node")))
     place = F.struct("met", F.xxhash64("node").alias("place"), "node")
-    hubs = large.join(met, "node").groupBy("key").agg(F.max(place).alias("first")).select("key", F.col("first.node").alias("hub"))
+    hubs = met.groupBy("key").agg(F.max(place).alias("first")).select("key", F.col("first.node").alias("hub"))
     held = large.join(hubs, "key").where(F.col("node") != F.col("hub"))
     return held.select("key", "node", F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
 
@@ -114,6 +116,35 @@ def open_groups(met: DataFrame, verdicts: DataFrame, labels: DataFrame, similari
     return waiting.join(several.where("low < high"), "key").select("key", "node", "label", "size")
 
 
+def rare_buckets(open_nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Nodes dealt by their rarest shingles: (key, node, size), for keys of several labels. open_nodes: (node, label).
+
+    Shingles are in one order, the rarest among these nodes first. From the rarest shingle that two near bags share on, either bag
+    holds their whole overlap: `similarity` of the larger bag at least, and 2 s / (1 + s) of the smaller one. So near nodes of
+    different labels share a key which stands early enough in both; a key without a smaller bag of that kind tells of no pair.
+    """
+
+    def spell(batch: pa.RecordBatch) -> pa.RecordBatch:
+        held = bags.bags_of(batch.column("text").to_pylist(), SHINGLE)
+        node, label = (batch.column(name).to_numpy()[held.owner] for name in ("node", "label"))
+        columns = [node, label, held.totals()[held.owner], held.shingle.view(np.int64), held.times]
+        return pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["node", "label", "total", "key", "times"])
+
+    held = open_nodes.join(texts, "node").select("node", "label", "text")
+    spelled = cut(map_slices(held, spell, "node long, label long, total long, key long, times long", SIGNED_ROWS))
+    shared = spelled.groupBy("key").agg(F.count(F.lit(1)).alias("held"), F.min("label").alias("low"), F.max("label").alias("high")).where("held > 1")
+    # A shingle of one label only is no key, but it counts as overlap.
+    known = spelled.join(shared, "key")
+    left = F.sum("times").over(Window.partitionBy("node").orderBy(F.col("held").desc(), F.col("key").desc()))
+    early = known.withColumn("left", left).where(F.col("left") >= similarity * F.col("total") - 1e-6).where("low < high")
+    lesser = F.col("left") >= 2 * similarity / (1 + similarity) * F.col("total") - 1e-6
+    members = early.select("key", "node", "total", F.when(lesser, F.col("total")).alias("lesser"))
+    met = members.groupBy("key").agg(F.min("lesser").alias("least"), F.count(F.lit(1)).alias("held")).where("least IS NOT NULL AND held > 1")
+    members = members.join(met, "key").where("lesser IS NOT NULL OR total >= least").select("key", "node")
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    return members.join(sizes, "key")
+
+
 def linked_in(similarity: float) -> Callable[[pa.Table], pa.Table]:
     """Compares two blocks of a group, or one with itself: links that join the components of its nodes.
 
@@ -159,10 +190,24 @@ def linked_in(similarity: float) -> Callable[[pa.Table], pa.Table]:
 def block_links(groups: DataFrame, nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Links of all open pairs of groups, joined by components: (a, b). groups: as of open_groups; nodes: (node, bands).
 
-    A group's nodes are dealt to blocks, and every two blocks meet in a task of their own.
+    A group's nodes are dealt to blocks, and every two blocks meet in a task of their own, but for blocks of the label that
+    most of the group has: such nodes need no further link to each other, so they only meet the blocks of the others.
     """
-    blocks = F.ceil(F.col("size") / BLOCK)
-    placed = groups.select("key", "node", "label", F.pmod(F.xxhash64("node", "key"), blocks).alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
+    known = groups.join(texts.select("node", F.char_length("text").cast("long").alias("chars")), "node")
+    labels = known.groupBy("key", "label").agg(F.count(F.lit(1)).alias("held"), F.sum("chars").alias("chars"))
+    most = F.max(F.struct("held", "label", "chars"))
+    dealt = labels.groupBy("key").agg(most.alias("most"), F.sum("held").alias("held"), F.sum("chars").alias("chars"))
+
+    def blocks(held: Column, chars: Column) -> Column:
+        return F.greatest(F.ceil(held / BLOCK), F.ceil(chars / BLOCK_CHARS), F.lit(1).cast("long"))
+
+    rest = blocks(F.col("held") - F.col("most.held"), F.col("chars") - F.col("most.chars"))
+    dealt = dealt.select("key", F.col("most.label").alias("main"), blocks(F.col("most.held"), F.col("most.chars")).alias("first"), rest.alias("rest"))
+    inner = F.col("label") == F.col("main")
+    place = F.xxhash64("node", "key")
+    block = F.when(inner, F.pmod(place, "first")).otherwise(F.col("first") + F.pmod(place, "rest"))
+    others = F.sequence(F.when(inner, F.col("first")).otherwise(F.lit(0).cast("long")), F.col("first") + F.col("rest") - 1)
+    placed = groups.join(dealt, "key").select("key", "node", "label", block.alias("block"), F.explode(others).alias("other"))
     cells = placed.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "label", "block")
     held = groups.select("node").distinct().join(nodes, "node").join(texts, "node")
     return cells.join(held, "node").groupBy("key", "i", "j").applyInArrow(linked_in(similarity), "a long, b long")
@@ -201,35 +246,51 @@ def find_links(rows: DataFrame, reps: DataFrame, similarity: float) -> DataFrame
         .dropDuplicates(["id", "text_key"])
         .select("node", "text")
     )
-    links = None
-    for _ in range(HUBS):
-        met = cut(hub_pairs(buckets))
-        verdicts = cut(compared(small_pairs(buckets).unionByName(met.select("a", "b")).distinct(), texts))
+
+    def settle(dealt: DataFrame, links: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        """All links so far, and the groups that hubs of these buckets leave open."""
+        met = cut(hub_pairs(dealt))
+        verdicts = cut(compared(small_pairs(dealt).unionByName(met.select("a", "b")).distinct(), texts))
         near = verdicts.where(F.col("similarity") >= similarity).select("a", "b")
-        links = near if links is None else links.unionByName(near)
-        buckets = cut(open_groups(met, verdicts, components(links), similarity))
-        if buckets.isEmpty():
-            return links.distinct()
-    rest = cut(block_links(buckets, reps.select("node", "bands"), texts, similarity))
-    return links.unionByName(rest).distinct()
+        links = near if links is None else cut(links.unionByName(near).distinct())
+        return links, cut(open_groups(met, verdicts, components(links), similarity))
+
+    links, groups = settle(buckets, None)
+    if groups.isEmpty():
+        return links
+    rare = cut(rare_buckets(groups.select("node", "label").distinct(), texts, similarity))
+    links, crowds = settle(rare, links)
+    if crowds.isEmpty():
+        return links
+    # Nodes of crowds, in the buckets where they were open, with the labels that they have by now.
+    crowded = groups.select("key", "node").join(crowds.select("node", "label").distinct(), "node")
+    sizes = crowded.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
+    left = crowded.join(sizes.where("low < high"), "key").select("key", "node", "label", "size")
+    return links.unionByName(block_links(left, reps.select("node", "bands"), texts, similarity)).distinct()
 
 
 def find_classes(documents: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, text_key, node) of each row, and (node, class_id, class_size) of nodes in classes of two rows and more."""
+    """(row, doc_id, text_key, node) of each row, and (node, class_id, class_size, kept_row) of nodes in classes of two rows and more.
+
+    The row that is kept is the least by id, nulls last, then by text, then by a number that tells equal rows apart.
+    """
     rows = pick(documents, "doc_id", "text").select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("text_key", F.xxhash64("text"))
-    marked = cut(signed(rows, 0))
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "bands")).alias("r")
+    marked = cut(signed(rows, 0).withColumn("row", F.monotonically_increasing_id()))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "row")).alias("r")
     reps = cut(
         marked.where("node IS NOT NULL")
         .groupBy("node")
-        .agg(least, F.count(F.lit(1)).alias("rows"))
-        .select("node", "rows", "r.doc_id", "r.text_key", "r.bands")
+        .agg(first, F.min(F.struct("row", "bands")).alias("b"), F.count(F.lit(1)).alias("rows"))
+        .select("node", "rows", "r.last", "r.doc_id", "r.text_key", "r.row", F.col("b.bands").alias("bands"))
     )
     labels = components(find_links(rows, reps, similarity))
-    named = reps.select("node", "doc_id", "rows").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    sizes = named.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.sum("rows").alias("class_size")).where("class_size > 1")
-    return marked.select("doc_id", "text_key", "node"), named.select("node", "label").join(sizes, "label").select("node", "class_id", "class_size")
+    named = reps.drop("bands").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    least = F.min(F.struct("last", "doc_id", "text_key", "row")).alias("r")
+    sizes = named.groupBy("label").agg(least, F.sum("rows").alias("class_size")).where("class_size > 1")
+    sizes = sizes.select("label", "class_size", F.col("r.doc_id").alias("class_id"), F.col("r.row").alias("kept_row"))
+    marked = marked.select("row", "doc_id", "text_key", "node")
+    return marked, named.select("node", "label").join(sizes, "label").select("node", "class_id", "class_size", "kept_row")
 
 
 def near_copies(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -237,15 +298,16 @@ def near_copies(documents: DataFrame, similarity: float = SIMILARITY) -> DataFra
 
     Two texts are near copies if their bags of five-word shingles (words in lower case, signs left
     out) have a weighted Jaccard similarity of `similarity` or more; classes are what such
-    links join. class_id is the least doc_id of the class, and that document is kept; null ids come
-    last. One row per row of `documents`; rows that repeat id and text get the same verdict. Texts
-    without any word, null and empty ones too, are near copies of nothing and are kept; a text of
+    links join. class_id is the least doc_id of the class, null only if all are. One row of a class is kept: the
+    least by id, nulls last, then by text; of rows that repeat id and text any one. One row per row of `documents`.
+    Texts without any word, null and empty ones too, are near copies of nothing and are kept; a text of
     fewer than five words is one shingle. Other columns are ignored; an empty table gives an
     empty table.
 
     Every reported class rests on links whose overlap was counted exactly. A link is missed with a
     probability of 3 in 100,000 at the threshold and less above it, in buckets of any size: a pair that
-    shares a band is compared, or in one class by other links, or too far apart by the triangle inequality.
+    shares a band is compared, or in one class by other links, or too far apart by the triangle inequality or by
+    the shingles that it can share.
     """
     marked, classes = find_classes(documents, similarity)
     joined = marked.join(classes, "node", "left")
@@ -254,25 +316,32 @@ def near_copies(documents: DataFrame, similarity: float = SIMILARITY) -> DataFra
         "doc_id",
         F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"),
-        (alone | F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("kept"),
+        (alone | (F.col("row") == F.col("kept_row"))).alias("kept"),
     )
 
 
 def drop_near_copies(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """One document of each class, all columns as they were: rows whose id and text are not kept go.
+    """One document of each class, all columns as they were: the row that `near_copies` keeps.
 
-    Only the keys of what goes are joined to the documents. Cases as in `near_copies`.
+    Only the keys of what goes are joined to the documents. Where the kept row's id and text are repeated, its repeats
+    go in a second step, which is left out if there are none. Cases as in `near_copies`.
     """
     names = documents.columns
     plain = documents.toDF(*[f"c{i}" for i in range(len(names))])
     doc_id, text = f"c{names.index('doc_id')}", f"c{names.index('text')}"
     marked, classes = find_classes(documents, similarity)
-    goes = marked.join(classes, "node").where(~F.col("doc_id").eqNullSafe(F.col("class_id")))
-    told = F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("id")
+    verdicts = marked.join(classes, "node")
+    told = [F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("id"), "text_key"]
+    by_key = verdicts.groupBy(*told).agg(F.count(F.lit(1)).alias("rows"), F.max(F.col("row") == F.col("kept_row")).alias("stays"))
+    by_key = cut(by_key.where("NOT stays OR rows > 1"))
     keyed = plain.select(
         "*",
         F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("text_key"),
         F.coalesce(F.col(doc_id).cast("string"), F.lit("null")).alias("id"),
     )
-    left = keyed.join(goes.select(told, "text_key").distinct(), ["id", "text_key"], "left_anti")
+    left = keyed.join(by_key.where("NOT stays").select("id", "text_key"), ["id", "text_key"], "left_anti")
+    repeated = by_key.where("stays").select("id", "text_key")
+    if not repeated.isEmpty():
+        once = left.join(repeated, ["id", "text_key"]).dropDuplicates(["id", "text_key"])
+        left = left.join(repeated, ["id", "text_key"], "left_anti").unionByName(once.select(left.columns))
     return left.select(*[F.col(f"c{i}").alias(name) for i, name in enumerate(names)])

@@ -170,6 +170,40 @@ def test_links_that_no_hub_shows(documents, monkeypatch):
     assert groups[0].agg(F.max("size")).first()[0] > 64
 
 
+def test_edits_of_an_absent_text_meet_nobody(spark, documents, monkeypatch):
+    """Nine edits in 200 words: copies share buckets and are near nothing. What is dealt grows as the family, and few come to blocks."""
+    crowds, blocks = [0], near_dedup.block_links
+    monkeypatch.setattr(near_dedup, "block_links", lambda *given: crowds.append(given[0].select("node").distinct().count()) or blocks(*given))
+    dealt, rare = [], near_dedup.rare_buckets
+    monkeypatch.setattr(near_dedup, "rare_buckets", lambda *given: dealt.append(rare(*given)) or dealt[-1])
+    memberships = {}
+    for count in (500, 2000):
+        draw = random.Random(12)
+        text = [f"w{draw.randrange(3000)}" for _ in range(200)]
+        rows = [(i, " ".join(edit(text, 9, f"e{i}", draw))) for i in range(count)] + [(count, " ".join(edit(edit(text, 9, "e0", random.Random(1)), 1, "z", draw)))]
+        found = near_dedup.near_copies(documents(rows)).collect()
+        memberships[count] = dealt[-1].count()
+        assert len(found) == count + 1 and all(r["kept"] for r in found)
+    assert memberships[2000] <= 5 * memberships[500] + 100
+    assert crowds[-1] < 2000 / 4
+
+
+@pytest.mark.parametrize("big", [False, True])
+def test_one_row_of_a_class_stays(documents, big):
+    draw = random.Random(13)
+    text = [f"w{draw.randrange(3000)}" for _ in range(200)]
+    near = [" ".join(edit(text, 1, f"e{i}", draw)) for i in range(30 if big else 3)]
+    other = [f"v{draw.randrange(3000)}" for _ in range(200)]
+    others = [" ".join(edit(other, 1, f"f{i}", draw)) for i in range(3)]
+    rows = [(None, t) for t in near] + [(5, others[0]), (5, others[0]), (5, others[1]), (6, others[2]), (7, ""), (7, "")]
+    found = near_dedup.near_copies(documents(rows)).collect()
+    assert len(found) == len(rows)
+    stays = [(r["doc_id"], r["class_id"], r["class_size"]) for r in found if r["kept"]]
+    assert sorted(stays, key=repr) == sorted([(None, None, len(near)), (5, 5, 4), (7, 7, 1), (7, 7, 1)], key=repr)
+    left = [r[0] for r in near_dedup.drop_near_copies(documents(rows)).collect()]
+    assert sorted(left, key=repr) == [5, 7, 7, None]
+
+
 def test_dropping_near_copies(crowd, clashing):
     rows, frame = crowd
     wide = clashing(frame)
