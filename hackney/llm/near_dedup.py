@@ -4,10 +4,10 @@ Documents with equal bags are one node from the start. Nodes that share a band o
 their signatures meet in a bucket. Small buckets compare all pairs. A larger one first
 compares each node with a hub, which settles dense groups in linear work: what is near the
 hub is in its class, and the triangle inequality tells what cannot be near each other.
-Nodes that a hub leaves open are dealt anew by their rarest shingles: two of them can only be
-near if they share one of the few that make up a fifth of either bag, so that what merely
-resembles a large group meets nobody. Nodes that very many share even those with are compared
-in blocks, so no pair is dropped.
+What a hub leaves open is compared in one task if it fits there. A larger group is dealt anew by
+its rarest shingles first: two nodes can only be near if they share one of the few that make up
+a fifth of either bag, so that what merely resembles a large group meets nobody. Nodes that
+very many share even those with are compared in blocks, so no pair is dropped.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ SIGNED_ROWS = 128
 # Buckets of up to that many nodes compare all pairs: 3.5 a node at most.
 SMALL = 8
 # Nodes of a block and characters of their texts, on average, at most. Two blocks meet in a task.
-BLOCK, BLOCK_CHARS = 1024, 1 << 22
+BLOCK, BLOCK_CHARS = 2048, 1 << 22
 
 
 def signed(texts: DataFrame, seed: int) -> DataFrame:
@@ -51,8 +51,8 @@ def signed(texts: DataFrame, seed: int) -> DataFrame:
 
 
 def buckets_of(nodes: DataFrame) -> DataFrame:
-    """Buckets of two nodes and more: (key, node, size). nodes: (node, bands), each node once."""
-    members = nodes.select("node", F.explode("bands").alias("key"))
+    """Buckets of two nodes and more: (key, node, chars, size). nodes: (node, chars, bands), each node once."""
+    members = nodes.select("node", "chars", F.explode("bands").alias("key"))
     shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     return members.join(shared, "key")
 
@@ -65,18 +65,18 @@ def small_pairs(buckets: DataFrame) -> DataFrame:
 
 
 def hub_pairs(buckets: DataFrame) -> DataFrame:
-    """Nodes of large buckets and the bucket's hub: (key, node, a, b), a < b.
+    """Nodes of large buckets and the bucket's hub: (key, node, chars, a, b), a < b.
 
     The hub is the node that meets most others in all its large buckets, which is the original where
     copies of it were edited in different places.
     """
-    large = buckets.where(F.col("size") > SMALL).select("key", "node", "size")
+    large = buckets.where(F.col("size") > SMALL).select("key", "node", "chars", "size")
     # A node is in as many buckets as it has bands, or shingles.
     met = large.withColumn("met", F.sum("size").over(Window.partitionBy("node")))
     place = F.struct("met", F.xxhash64("node").alias("place"), "node")
     hubs = met.groupBy("key").agg(F.max(place).alias("first")).select("key", F.col("first.node").alias("hub"))
     held = large.join(hubs, "key").where(F.col("node") != F.col("hub"))
-    return held.select("key", "node", F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+    return held.select("key", "node", "chars", F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
 
 
 def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -101,23 +101,29 @@ def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def open_groups(met: DataFrame, verdicts: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
-    """Nodes of large buckets that may be near each other though the hub does not tell: (key, node, label, size).
+    """Nodes of large buckets that may be near each other though the hub does not tell, as `grouped` gives them.
 
     With distance 1 - similarity, which is a metric, a node near an outsider is at most one threshold
     nearer to the hub than the outsider is. Nodes of one component so far need no further link.
     met: as of hub_pairs; labels: (node, label).
     """
-    told = met.join(verdicts, ["a", "b"]).select("key", "node", "similarity").join(labels, "node", "left")
-    told = cut(told.select("key", "node", "similarity", F.coalesce("label", "node").alias("label")))
+    told = met.join(verdicts, ["a", "b"]).select("key", "node", "chars", "similarity").join(labels, "node", "left")
+    told = cut(told.select("key", "node", "chars", "similarity", F.coalesce("label", "node").alias("label")))
     outside = told.where(F.col("similarity") < similarity).groupBy("key").agg(F.max("similarity").alias("nearest"))
     reach = 1.0 - similarity
     waiting = told.join(outside, "key").where(F.col("similarity") <= F.col("nearest") + reach + 1e-9)
-    several = waiting.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
-    return waiting.join(several.where("low < high"), "key").select("key", "node", "label", "size")
+    return grouped(waiting.select("key", "node", "chars", "label"))
+
+
+def grouped(members: DataFrame) -> DataFrame:
+    """The groups with several labels: (key, node, chars, label, size, total), total being the characters of all texts."""
+    told = [F.count(F.lit(1)).alias("size"), F.sum("chars").alias("total"), F.min("label").alias("low"), F.max("label").alias("high")]
+    several = members.groupBy("key").agg(*told).where("low < high")
+    return members.join(several, "key").select("key", "node", "chars", "label", "size", "total")
 
 
 def rare_buckets(open_nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Nodes dealt by their rarest shingles: (key, node, size), for keys of several labels. open_nodes: (node, label).
+    """Nodes dealt by their rarest shingles: (key, node, chars, size), for keys of several labels. open_nodes: (node, chars, label).
 
     Shingles are in one order, the rarest among these nodes first. From the rarest shingle that two near bags share on, either bag
     holds their whole overlap: `similarity` of the larger bag at least, and 2 s / (1 + s) of the smaller one. So near nodes of
@@ -126,21 +132,21 @@ def rare_buckets(open_nodes: DataFrame, texts: DataFrame, similarity: float) ->
 
     def spell(batch: pa.RecordBatch) -> pa.RecordBatch:
         held = bags.bags_of(batch.column("text").to_pylist(), SHINGLE)
-        node, label = (batch.column(name).to_numpy()[held.owner] for name in ("node", "label"))
-        columns = [node, label, held.totals()[held.owner], held.shingle.view(np.int64), held.times]
-        return pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["node", "label", "total", "key", "times"])
+        node, chars, label = (batch.column(name).to_numpy()[held.owner] for name in ("node", "chars", "label"))
+        columns = [node, chars, label, held.totals()[held.owner], held.shingle.view(np.int64), held.times]
+        return pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["node", "chars", "label", "total", "key", "times"])
 
-    held = open_nodes.join(texts, "node").select("node", "label", "text")
-    spelled = cut(map_slices(held, spell, "node long, label long, total long, key long, times long", SIGNED_ROWS))
+    held = open_nodes.join(texts, "node").select("node", "chars", "label", "text")
+    spelled = cut(map_slices(held, spell, "node long, chars long, label long, total long, key long, times long", SIGNED_ROWS))
     shared = spelled.groupBy("key").agg(F.count(F.lit(1)).alias("held"), F.min("label").alias("low"), F.max("label").alias("high")).where("held > 1")
     # A shingle of one label only is no key, but it counts as overlap.
     known = spelled.join(shared, "key")
     left = F.sum("times").over(Window.partitionBy("node").orderBy(F.col("held").desc(), F.col("key").desc()))
     early = known.withColumn("left", left).where(F.col("left") >= similarity * F.col("total") - 1e-6).where("low < high")
     lesser = F.col("left") >= 2 * similarity / (1 + similarity) * F.col("total") - 1e-6
-    members = early.select("key", "node", "total", F.when(lesser, F.col("total")).alias("lesser"))
+    members = early.select("key", "node", "chars", "total", F.when(lesser, F.col("total")).alias("lesser"))
     met = members.groupBy("key").agg(F.min("lesser").alias("least"), F.count(F.lit(1)).alias("held")).where("least IS NOT NULL AND held > 1")
-    members = members.join(met, "key").where("lesser IS NOT NULL OR total >= least").select("key", "node")
+    members = members.join(met, "key").where("lesser IS NOT NULL OR total >= least").select("key", "node", "chars")
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     return members.join(sizes, "key")
 
@@ -193,8 +199,7 @@ def block_links(groups: DataFrame, nodes: DataFrame, texts: DataFrame, similarit
     A group's nodes are dealt to blocks, and every two blocks meet in a task of their own, but for blocks of the label that
     most of the group has: such nodes need no further link to each other, so they only meet the blocks of the others.
     """
-    known = groups.join(texts.select("node", F.char_length("text").cast("long").alias("chars")), "node")
-    labels = known.groupBy("key", "label").agg(F.count(F.lit(1)).alias("held"), F.sum("chars").alias("chars"))
+    labels = groups.groupBy("key", "label").agg(F.count(F.lit(1)).alias("held"), F.sum("chars").alias("chars"))
     most = F.max(F.struct("held", "label", "chars"))
     dealt = labels.groupBy("key").agg(most.alias("most"), F.sum("held").alias("held"), F.sum("chars").alias("chars"))
 
@@ -235,7 +240,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def find_links(rows: DataFrame, reps: DataFrame, similarity: float) -> DataFrame:
-    """Links between different bags: (a, b). rows: (doc_id, text, text_key); reps: (node, doc_id, text_key, bands)."""
+    """Links between different bags: (a, b). rows: (doc_id, text, text_key); reps: (node, chars, doc_id, text_key, bands)."""
     buckets = cut(buckets_of(reps))
     wanted = buckets.select("node").distinct().join(reps.select("node", "doc_id", "text_key"), "node")
     # Id and text find a node's row; where both repeat, one row is taken where the join has put them.
@@ -255,18 +260,18 @@ def find_links(rows: DataFrame, reps: DataFrame, similarity: float) -> DataFrame
         links = near if links is None else cut(links.unionByName(near).distinct())
         return links, cut(open_groups(met, verdicts, components(links), similarity))
 
+    fits = (F.col("size") <= BLOCK) & (F.col("total") <= BLOCK_CHARS)
     links, groups = settle(buckets, None)
     if groups.isEmpty():
         return links
-    rare = cut(rare_buckets(groups.select("node", "label").distinct(), texts, similarity))
-    links, crowds = settle(rare, links)
-    if crowds.isEmpty():
-        return links
-    # Nodes of crowds, in the buckets where they were open, with the labels that they have by now.
-    crowded = groups.select("key", "node").join(crowds.select("node", "label").distinct(), "node")
-    sizes = crowded.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
-    left = crowded.join(sizes.where("low < high"), "key").select("key", "node", "label", "size")
-    return links.unionByName(block_links(left, reps.select("node", "bands"), texts, similarity)).distinct()
+    wide = groups.where(~fits)
+    if not wide.isEmpty():
+        rare = cut(rare_buckets(wide.select("node", "chars", "label").distinct(), texts, similarity))
+        links, crowds = settle(rare, links)
+        # Nodes of crowds, in the groups that were too large, with the labels that they have by now.
+        crowded = wide.select("key", "node", "chars").join(crowds.select("node", "label").distinct(), "node")
+        groups = cut(groups.where(fits).unionByName(grouped(crowded.select("key", "node", "chars", "label"))))
+    return links.unionByName(block_links(groups, reps.select("node", "bands"), texts, similarity)).distinct()
 
 
 def find_classes(documents: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -275,17 +280,17 @@ def find_classes(documents: DataFrame, similarity: float = SIMILARITY) -> tuple[
     The row that is kept is the least by id, nulls last, then by text, then by a number that tells equal rows apart.
     """
     rows = pick(documents, "doc_id", "text").select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("text_key", F.xxhash64("text"))
+    rows = rows.withColumn("text_key", F.xxhash64("text")).withColumn("chars", F.char_length("text").cast("long"))
     marked = cut(signed(rows, 0).withColumn("row", F.monotonically_increasing_id()))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "row")).alias("r")
     reps = cut(
         marked.where("node IS NOT NULL")
         .groupBy("node")
-        .agg(first, F.min(F.struct("row", "bands")).alias("b"), F.count(F.lit(1)).alias("rows"))
-        .select("node", "rows", "r.last", "r.doc_id", "r.text_key", "r.row", F.col("b.bands").alias("bands"))
+        .agg(first, F.min(F.struct("row", "bands")).alias("b"), F.max("chars").alias("chars"), F.count(F.lit(1)).alias("rows"))
+        .select("node", "rows", "chars", "r.last", "r.doc_id", "r.text_key", "r.row", F.col("b.bands").alias("bands"))
     )
     labels = components(find_links(rows, reps, similarity))
-    named = reps.drop("bands").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    named = reps.drop("bands", "chars").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = F.min(F.struct("last", "doc_id", "text_key", "row")).alias("r")
     sizes = named.groupBy("label").agg(least, F.sum("rows").alias("class_size")).where("class_size > 1")
     sizes = sizes.select("label", "class_size", F.col("r.doc_id").alias("class_id"), F.col("r.row").alias("kept_row"))

@@ -173,7 +173,8 @@ def test_links_that_no_hub_shows(documents, monkeypatch):
 def test_edits_of_an_absent_text_meet_nobody(spark, documents, monkeypatch):
     """Nine edits in 200 words: copies share buckets and are near nothing. What is dealt grows as the family, and few come to blocks."""
     crowds, blocks = [0], near_dedup.block_links
-    monkeypatch.setattr(near_dedup, "block_links", lambda *given: crowds.append(given[0].select("node").distinct().count()) or blocks(*given))
+    monkeypatch.setattr(near_dedup, "block_links", lambda *given: crowds.append(given[0].where("size > 32").select("node").distinct().count()) or blocks(*given))
+    monkeypatch.setattr(near_dedup, "BLOCK", 32)
     dealt, rare = [], near_dedup.rare_buckets
     monkeypatch.setattr(near_dedup, "rare_buckets", lambda *given: dealt.append(rare(*given)) or dealt[-1])
     memberships = {}
