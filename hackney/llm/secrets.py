@@ -3,7 +3,8 @@
 Source and configuration texts are read as name-literal pairs around `=` and
 `:`. Literals are followed through later names (`key = "..."`, `password = key`)
 and through joined literals, and scored by how sensitive the name they reach is
-and how much the literal looks like a credential. Three fixed kinds are always
+and how much the literal looks like a credential; a name like `password` is enough
+by itself for any literal of eight characters. Three fixed kinds are always
 reported: `assign`, `access` and `hex`; what only the pairs show is `lexed`.
 """
 
@@ -12,6 +13,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -31,7 +33,7 @@ ASSIGN_LEAST, ACCESS_LEAST = 12, 18
 KINDS = ("assign", "access", "hex", "lexed")
 
 _SIGN = re.compile(r"[:=]")
-_NAME_BEFORE = re.compile(r"""([A-Za-z_][A-Za-z0-9_.\-]{0,99})["'\]]{0,2}[ \t]{0,40}$""")
+_NAME_BACKWARD = re.compile(r"[A-Za-z0-9_.\-]+")
 _LITERAL = re.compile(r"""[ \t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|([A-Za-z_][\w.]*(?![\w+/=\-@$%!#]))|([^\s"',;(){}\[\]<>]+))""")
 _PLUS = re.compile(r"[ \t]*\+")
 
@@ -45,6 +47,8 @@ SENSITIVE = {
 HARMLESS = {"hint", "length", "len", "count", "url", "uri", "path", "file", "name", "type", "id", "field", "label", "policy"}
 THRESHOLD = 1.0
 LEAST_LITERAL = 8
+# Characters of a joined value that its strength is taken from. Its spans are told whole.
+SCORED = 256
 
 
 class Span(NamedTuple):
@@ -81,56 +85,114 @@ def base_spans(text: str) -> list[Span]:
     return found + [Span(m.start(), "hex", m.end()) for m in HEX.finditer(text)]
 
 
-def pairs(text: str) -> list[tuple[str, list[tuple[str, int, int]], list[str]]]:
-    """Names with the literals and names on their right side: (name, [(literal, start, end)], [name])."""
-    found, taken = [], 0
+class Part(NamedTuple):
+    """A literal, or a bare word that may be a name; `firm` if it cannot be one."""
+
+    text: str
+    start: int
+    end: int
+    firm: bool
+
+
+def _name_before(between: str) -> str | None:
+    """The name that ends a piece of text, but for blanks and closing quotes or a bracket after it."""
+    bare = between.rstrip(" \t")
+    for _ in range(2):
+        if bare[-1:] in ('"', "'", "]"):
+            bare = bare[:-1]
+    backward = _NAME_BACKWARD.match(bare[::-1])
+    return (backward[0][::-1].lstrip("0123456789.-") or None) if backward else None
+
+
+def _names_a_value(text: str, sign: int, part: re.Match) -> bool:
+    """Whether a bare word is a name and no literal: what code assigns, passes on, calls or reads from."""
+    after = text[part.end() : part.end() + 1]
+    if after in ("(", "[", ")"):
+        return True
+    if text[sign] == ":" and text[sign + 1 : sign + 2] != "=":
+        return False
+    spaced = text[sign - 1 : sign] in (" ", "\t") or part.start() < part.start(3)
+    return spaced or after == ","
+
+
+def pairs(text: str) -> Iterator[tuple[str, list[Part]]]:
+    """Names with the parts on their right side. Each character is looked at a few times, however far a name is from its sign."""
+    taken = 0
     for sign in _SIGN.finditer(text):
         if sign.start() < taken:
             continue
-        # A name reaches back 150 characters at most, quotes and blanks included.
-        before = _NAME_BEFORE.search(text[max(taken, sign.start() - 150) : sign.start()])
-        if not before:
+        name, taken = _name_before(text[taken : sign.start()]), sign.end()
+        if name is None:
             continue
-        literals, names, at = [], [], sign.end()
+        parts, at = [], sign.end()
         while at < len(text) and text[at] in "=:>":
             at += 1
         while part := _LITERAL.match(text, at):
             group = part.lastindex
-            if group == 3:
-                names.append(part[3])
-            literals.append((part[group], part.start(group), part.end(group)))
-            at = part.end()
+            firm = group != 3 or not _names_a_value(text, sign.start(), part)
+            parts.append(Part(part[group], part.start(group), part.end(group), firm))
+            word, at = group == 3, part.end()
             if not (plus := _PLUS.match(text, at)):
                 break
             at = plus.end()
-        if literals:
-            found.append((before[1], literals, names))
+        if parts:
+            yield name, parts
             # A bare word may be the next name, as in `a: b: c`.
-            taken = at if len(literals) > 1 or not names else sign.end()
-    return found
+            taken = sign.end() if len(parts) == 1 and word else at
+
+
+class Value:
+    """What a name stands for: spans of literals and values that it was joined of, each once."""
+
+    def __init__(self, parts: list[Span | Value], sample: str):
+        self.parts, self.sample, self.told = parts, sample[:SCORED], False
+
+    def tell(self) -> Iterator[Span]:
+        """The spans of all its literals that were not told before."""
+        stack = [self]
+        while stack:
+            value = stack.pop()
+            if not value.told:
+                value.told = True
+                stack += [p for p in value.parts if isinstance(p, Value)]
+                yield from (p for p in value.parts if isinstance(p, Span))
 
 
 def lexed_spans(text: str) -> list[Span]:
-    """Literals that reach a sensitive name, directly or through other names."""
-    known: dict[str, list[tuple[str, int, int]]] = {}
+    """Literals that reach a sensitive name, directly or through other names.
+
+    A bare word that names a value stands for that value; one that names none, where only a name could stand, for nothing.
+    """
+    known: dict[str, Value] = {}
     found: set[Span] = set()
-    for name, literals, names in pairs(text):
-        meant: list[tuple[str, int, int]] = []
-        for literal in literals:
-            meant += known.get(literal[0], [literal]) if literal[0] in names else [literal]
-        known[name] = meant
+    for name, parts in pairs(text):
+        meant: dict[Span | Value, str] = {}
+        for part in parts:
+            if part.text in known and not text.startswith(('"', "'"), part.start - 1):
+                meant[known[part.text]] = known[part.text].sample
+            elif part.firm and part.end > part.start:
+                meant[Span(part.start, "lexed", part.end)] = part.text
+        if len(meant) == 1 and isinstance(only := next(iter(meant)), Value):
+            value = only
+        else:
+            value = Value(list(meant), "".join(meant.values()))
+        known[name] = value
         score = sensitivity(name)
-        if score and score + strength("".join(m[0] for m in meant)) > THRESHOLD:
-            found.update(Span(start, "lexed", end) for _, start, end in meant if end > start)
+        if score and len(value.sample) >= LEAST_LITERAL and (score >= 1.0 or score + strength(value.sample) > THRESHOLD):
+            found.update(value.tell())
     return sorted(found)
 
 
 def scan(text: str) -> list[Span]:
     """All spans by start, then kind; a lexed literal inside a base span is not told twice."""
-    base = base_spans(text)
-    spans = list(base)
+    base = sorted(base_spans(text))
+    spans, at, reach = list(base), 0, 0
     if "=" in text or ":" in text:
-        spans += [s for s in lexed_spans(text) if not any(b.start <= s.start and s.end <= b.end for b in base)]
+        for span in lexed_spans(text):
+            while at < len(base) and base[at].start <= span.start:
+                reach, at = max(reach, base[at].end), at + 1
+            if span.end > reach:
+                spans.append(span)
     return sorted(spans, key=lambda s: (s.start, KINDS.index(s.kind), s.end))
 
 
@@ -139,8 +201,8 @@ def find_secrets(documents: DataFrame) -> DataFrame:
 
     One row per row of `documents`: doc_id, spans array<struct<kind, start, end>>.
     Repeated rows each give a row, a null doc_id stays null, a null or empty text has
-    no spans, other columns are ignored, an empty table gives an empty table. Work is
-    linear in the text: patterns run once over it and a pair looks back 150 characters.
+    no spans, other columns are ignored, an empty table gives an empty table. Time and memory are
+    linear in the text: a literal that is joined, or passed on, any number of times is kept once.
     """
     rows = texts_of(documents)
     kind = kind_of(rows, "doc_id")
