@@ -28,7 +28,7 @@ SPACE = "▁"
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 # Words of up to that many characters advance together; longer ones are walked through one by one.
 LONGEST = 48
-# Words of which a Python worker remembers the pieces.
+# Words of up to LONGEST characters of which a Python worker remembers the pieces.
 REMEMBERED = 1 << 18
 # Rows whose new words are segmented together.
 ENCODED_ROWS = 1024
@@ -36,6 +36,13 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _NEVER = np.int64(1) << 40
 # Fills the rows of words that have fewer pieces than others.
 _OVER = -2
+# Bits of the tables that tell quickly which hashes no piece has, and which neighbours were asked for before.
+_SIEVE_BITS, _ASKED_BITS = 21, 20
+
+
+def _spread(keys: np.ndarray, bits: int) -> np.ndarray:
+    """A place of `bits` bits for each key."""
+    return (keys.view(np.uint64) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 class PieceTable:
@@ -78,6 +85,44 @@ class PieceTable:
         hashes = np.array([_hash(pieces[i]) for i in reached], np.uint64)
         by_hash = np.argsort(hashes, kind="stable")
         self.keys, self.key_ids = hashes[by_hash], np.array(reached, np.int64)[by_hash]
+        self._open()
+
+    def _open(self) -> None:
+        """Tables that every worker makes for itself."""
+        self.sieve = np.zeros(1 << _SIEVE_BITS, bool)
+        self.sieve[_spread(self.keys, _SIEVE_BITS)] = True
+        self.asked = np.full(1 << _ASKED_BITS, -1, np.int64)
+        self.answers = np.zeros(1 << _ASKED_BITS, bool)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("sieve", "asked", "answers")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._open()
+
+    def piece_of(self, hashes: np.ndarray) -> np.ndarray:
+        """The piece of each hash, -1 for none. Most hashes are told apart before the sorted keys are searched."""
+        found = np.full(hashes.shape, -1, np.int64)
+        likely = np.nonzero(self.sieve[_spread(hashes, _SIEVE_BITS)])
+        asked = hashes[likely]
+        place = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
+        found[likely] = np.where(self.keys[place] == asked, self.key_ids[place], -1)
+        return found
+
+    def neighbours(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """As may_follow; answers are remembered, the last one for each place of a table."""
+        pairs = first * (len(self.pieces) + 1) + second
+        place = _spread(pairs, _ASKED_BITS)
+        new = np.flatnonzero(self.asked[place] != pairs)
+        good = self.answers[place]
+        if len(new):
+            keys, first_at, back = np.unique(pairs[new], return_index=True, return_inverse=True)
+            told = self.may_follow(first[new[first_at]], second[new[first_at]])
+            good[new] = told[back]
+            where = _spread(keys, _ASKED_BITS)
+            self.asked[where], self.answers[where] = keys, told
+        return good
 
     @classmethod
     def read(cls, path: str) -> PieceTable:
@@ -136,8 +181,7 @@ class PieceTable:
             sizes = np.arange(1, min(end, wide) + 1)
             powers = np.array([pow(int(_BASE), int(k), 1 << 64) for k in sizes], np.uint64)
             hashes = prefix[:, end, None] - prefix[:, end - sizes] * powers
-            place = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-            found = np.where(self.keys[place] == hashes, self.key_ids[place], -1)
+            found = self.piece_of(hashes)
             found[:, 0] = np.where(found[:, 0] < 0, outside, found[:, 0])
             score = np.where(found >= 0, sizes, -1)
             row, column = np.nonzero(found >= 0)
@@ -146,7 +190,7 @@ class PieceTable:
             score[row[(before < 0) & (sizes[column] < end)], column[(before < 0) & (sizes[column] < end)]] = -1
             check = before >= 0
             row, column, before = row[check], column[check], before[check]
-            score[row, column] = np.where(self.may_follow(before, found[row, column]), score[row, column], -1)
+            score[row, column] = np.where(self.neighbours(before, found[row, column]), score[row, column], -1)
             best = score.argmax(axis=1)
             reached = score[np.arange(count), best] > 0
             last[reached, end] = found[reached, best[reached]]
@@ -180,7 +224,7 @@ def _last_merge(piece: str, ranks: dict[str, int]) -> tuple[str, str] | None:
 
 
 class Pieces:
-    """Encoder and decoder; words once seen are remembered."""
+    """Encoder and decoder; short words once seen are remembered."""
 
     def __init__(self, table: PieceTable):
         """Texts are cut where no piece of the vocabulary reaches across.
@@ -195,6 +239,8 @@ class Pieces:
         firm = re.escape("".join(c for c in "\n\t" + string.punctuation if c not in after_word and c != "_"))
         self.cutter = re.compile(rf" ?\w+(?![^ {firm}])| ?[^ {apart}]+|[ {apart}]")
         self.known: dict[str, bytes] = {}
+        # Words whose pieces do not spell them.
+        self.lossy: set[str] = set()
         self.cut_runs: dict[int, list[int]] = {}
         self.space_id = table.runs.get(1, table.unknown)
         self.shown = [p.replace(SPACE, " ") for p in table.pieces]
@@ -202,7 +248,7 @@ class Pieces:
         self.is_byte[table.bytes_at[table.bytes_at >= 0]] = True
 
     def __getstate__(self) -> dict:
-        return {**self.__dict__, "known": {}}
+        return {**self.__dict__, "known": {}, "lossy": set()}
 
     def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
         """Ids of each word, as 32-bit integers."""
@@ -220,10 +266,8 @@ class Pieces:
                 used = paths != _OVER
                 flat, ends = paths[used].astype(np.int32).tobytes(), 4 * np.cumsum(used.sum(axis=1))
                 odd = (paths == -1).any(axis=1)
-                begin = 0
-                for word, end in zip(chosen, ends.tolist(), strict=True):
-                    found[word] = flat[begin:end]
-                    begin = end
+                ends = ends.tolist()
+                found.update(zip(chosen, map(flat.__getitem__, map(slice, [0, *ends], ends)), strict=True))
                 for row in np.flatnonzero(odd).tolist():
                     found[chosen[row]] = self.ids_of(chosen[row], paths[row][used[row]])
         return found
@@ -273,14 +317,33 @@ class Pieces:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text. A space is put before it; an empty text has no ids."""
-        cut = [self.cutter.findall(" " + t.replace(SPACE, " ")) if t else [] for t in texts]
+        return [ids for ids, _ in self.encode_checked(texts)]
+
+    def encode_checked(self, texts: list[str]) -> list[tuple[np.ndarray, bool]]:
+        """Ids of each text, and whether they spell it: its words are the whole text, and the ids of each spell the word.
+
+        Short words are remembered with their ids, and are decoded once.
+        """
+        given = [" " + t.replace(SPACE, " ") if t else "" for t in texts]
+        cut = [self.cutter.findall(t) for t in given]
         words = set().union(*cut)
         new = words - self.known.keys()
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
+            self.lossy.clear()
             new = words
-        self.known.update(self.encode_words(new))
-        return [self.merge_spaces(np.frombuffer(b"".join(map(self.known.__getitem__, w)), np.int32)) for w in cut]
+        found = self.encode_words(new)
+        spelt = self.spell(np.frombuffer(b"".join(found.values()), np.int32)) == "".join(found)
+        lossy = set() if spelt else {w for w, ids in found.items() if self.spell(np.frombuffer(ids, np.int32)) != w}
+        self.known.update(found)
+        ids = [self.merge_spaces(np.frombuffer(b"".join(map(self.known.__getitem__, w)), np.int32)) for w in cut]
+        lossy |= self.lossy
+        whole = ["".join(w) == t and not (lossy and lossy.intersection(w)) for w, t in zip(cut, given, strict=True)]
+        for word in found:
+            if len(word) > LONGEST:
+                del self.known[word]
+        self.lossy = {w for w in lossy if len(w) <= LONGEST}
+        return list(zip(ids, whole, strict=True))
 
     def merge_spaces(self, ids: np.ndarray) -> np.ndarray:
         """Runs of lone spaces cut as merging from the left does."""
@@ -317,7 +380,11 @@ class Pieces:
         return found
 
     def decode(self, ids: np.ndarray) -> str:
-        """The text of ids: spaces for their letter, bytes put together, the first space left out."""
+        """The text of ids, the first space left out."""
+        return self.spell(ids).removeprefix(" ")
+
+    def spell(self, ids: np.ndarray) -> str:
+        """What ids spell: spaces for their letter, bytes put together."""
         parts = list(map(self.shown.__getitem__, ids.tolist()))
         coded = np.flatnonzero(self.is_byte[ids])
         if len(coded):
@@ -327,7 +394,7 @@ class Pieces:
                 parts[run[0]] = told.decode("utf-8", "replace")
                 for i in run[1:]:
                     parts[i] = ""
-        return "".join(parts).removeprefix(" ")
+        return "".join(parts)
 
 
 def _shared(frame: DataFrame, path: str):  # noqa: ANN202
@@ -347,12 +414,11 @@ def encode(documents: DataFrame, path: str) -> DataFrame:
 
     def encoded(batch: pa.RecordBatch) -> pa.RecordBatch:
         pieces, texts = shared.value, batch.column("text").to_pylist()
-        ids = pieces.encode(texts)
+        ids, lossless = zip(*pieces.encode_checked(texts)) if texts else ((), ())
         sizes = [len(i) for i in ids]
         offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
         flat = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
-        lossless = [pieces.decode(i) == t.replace(SPACE, " ") for i, t in zip(ids, texts, strict=True)]
-        columns = [batch.column("doc_id"), flat, pa.array(sizes, pa.int64()), pa.array(lossless)]
+        columns = [batch.column("doc_id"), flat, pa.array(sizes, pa.int64()), pa.array(lossless, pa.bool_())]
         return pa.record_batch(columns, ["doc_id", "ids", "n_ids", "lossless"])
 
     return map_slices(rows, encoded, f"doc_id {kind_of(rows, 'doc_id')}, ids array<int>, n_ids long, lossless boolean", ENCODED_ROWS)
