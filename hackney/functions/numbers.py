@@ -14,26 +14,39 @@ def round_half_even(value: str, digits: int = 2) -> str:
 
 
 def amount(value: str) -> str:
-    """A value as a decimal of twelve places, so that sums do not depend on their order.
+    """A value as a decimal of twelve places, so that sums do not depend on their order; null from 1e16 on, see `vast`.
 
-    NaN, infinities and values of 1e16 and more are no amounts and count as missing.
+    NaN and infinities are no amounts and count as missing.
     """
     return f"try_cast({value} AS decimal(28, 12))"
 
 
+def vast(value: str) -> str:
+    """Finite values that no decimal of sixteen whole digits holds, for plain sums of their own."""
+    real = f"CAST({value} AS double)"
+    return f"CASE WHEN abs({real}) >= 1e16D AND abs({real}) < double('Infinity') THEN {real} END"
+
+
+def _with_vast(exact: str, value: str) -> str:
+    """An exact result, and the sum of vast values on top of it where there are any."""
+    return f"coalesce({exact} + sum({vast(value)}), sum({vast(value)}), {exact})"
+
+
 def total(value: str, digits: int = 2) -> str:
     """An exact sum, rounded half up once."""
-    return f"CAST(round(sum({amount(value)}), {digits}) AS double)"
+    return _with_vast(f"CAST(round(sum({amount(value)}), {digits}) AS double)", value)
 
 
 def mean(value: str, digits: int = 2) -> str:
     """An exact sum over its number of values, rounded half up once."""
-    return f"CAST(round(try_divide(sum({amount(value)}), count({amount(value)})), {digits}) AS double)"
+    exact = f"CAST(round(try_divide(sum({amount(value)}), count({amount(value)})), {digits}) AS double)"
+    several = f"{whole_sum(value)} / (count({amount(value)}) + count({vast(value)}))"
+    return f"CASE WHEN sum({vast(value)}) IS NULL THEN {exact} ELSE {several} END"
 
 
 def whole_sum(value: str) -> str:
     """An exact sum as a double, for ratios."""
-    return f"CAST(sum({amount(value)}) AS double)"
+    return _with_vast(f"CAST(sum({amount(value)}) AS double)", value)
 
 
 def number(value: str) -> str:

@@ -23,7 +23,7 @@ from hackney.functions.numbers import (
     whole_sum,
     zero_filled,
 )
-from hackney.functions.rows import inline_rows
+from hackney.functions.rows import computed_once, inline_rows
 from hackney.functions.text import strip
 from hackney.functions.trips import hour_key, tip_key
 
@@ -66,8 +66,8 @@ _IN_HOUR_JOB = f"{_HOUR_TEXT} <> '' AND coalesce({_HOUR} BETWEEN 0 AND 23, true)
 _IN_TIP_JOB = f"{_PAYMENT_TEXT} NOT IN ('', 'null') AND coalesce({_PAYMENT} IN {TIP_PAYMENTS}, true)"
 
 
-def _measures(names: Sequence[str], read: Callable[[str], str]) -> list[str]:
-    return [f"{read(name)} AS {name}" for name in names]
+def _measures(names: Sequence[str], read: Callable[[str], str]) -> dict[str, str]:
+    return {name: read(name) for name in names}
 
 
 def _any_null(values: Sequence[str]) -> str:
@@ -77,7 +77,7 @@ def _any_null(values: Sequence[str]) -> str:
 def zone_records(lines: DataFrame) -> DataFrame:
     return (
         lines.where(_IN_ZONE_JOB)
-        .selectExpr(f"{_ZONE} AS PULocationID", *_measures(ZONE_MEASURES, lenient_double))
+        .selectExpr(computed_once({"PULocationID": _ZONE, **_measures(ZONE_MEASURES, lenient_double)}))
         .selectExpr("*", f"{_any_null(ZONE_MEASURES)} AS {SKIPPED}")
     )
 
@@ -85,9 +85,7 @@ def zone_records(lines: DataFrame) -> DataFrame:
 def hour_records(lines: DataFrame) -> DataFrame:
     return (
         lines.where(_IN_HOUR_JOB)
-        .selectExpr(
-            f"{hour_key('pickup_hour')} AS pickup_hour", *_measures(HOUR_MEASURES, lenient_double)
-        )
+        .selectExpr(computed_once({"pickup_hour": hour_key("pickup_hour"), **_measures(HOUR_MEASURES, lenient_double)}))
         .selectExpr("*", f"{_any_null(['pickup_hour', *HOUR_MEASURES])} AS {SKIPPED}")
     )
 
@@ -96,7 +94,7 @@ def tip_records(lines: DataFrame) -> DataFrame:
     """Lines without a positive fare are no records, so they are not marked."""
     return (
         lines.where(_IN_TIP_JOB)
-        .selectExpr(f"{_PAYMENT} AS payment_type", *_measures(TIP_MEASURES, lenient_double))
+        .selectExpr(computed_once({"payment_type": _PAYMENT, **_measures(TIP_MEASURES, lenient_double)}))
         .selectExpr(
             f"{tip_key('payment_type', 'fare_amount')} AS payment_fare_bucket",
             *TIP_MEASURES,
@@ -109,7 +107,7 @@ def zone_records_of(frame: DataFrame) -> DataFrame:
     """Zone records of typed trips; nothing in them is unreadable."""
     return frame.where("PULocationID IS NOT NULL").selectExpr(
         "CAST(PULocationID AS string) AS PULocationID",
-        *_measures(ZONE_MEASURES, zero_filled),
+        *[f"{sql} AS {name}" for name, sql in _measures(ZONE_MEASURES, zero_filled).items()],
         f"false AS {SKIPPED}",
     )
 
@@ -170,14 +168,9 @@ def tip_behavior(records: DataFrame, quality: Observation | None = None) -> Data
 def quality_counts(lines: DataFrame) -> DataFrame:
     """Skipped records per report, one row each, from one pass over the lines."""
     every = dict.fromkeys((*ZONE_MEASURES, *HOUR_MEASURES, *TIP_MEASURES))
-    parsed = lines.selectExpr(
-        f"{_IN_ZONE_JOB} AS in_zone",
-        f"{_IN_HOUR_JOB} AS in_hour",
-        f"{_IN_TIP_JOB} AS in_tip",
-        f"{_HOUR} AS hour",
-        f"{_PAYMENT} AS payment",
-        *_measures(list(every), lenient_double),
-    )
+    asked = {"in_zone": _IN_ZONE_JOB, "in_hour": _IN_HOUR_JOB, "in_tip": _IN_TIP_JOB, "hour": _HOUR, "payment": _PAYMENT}
+    measures = _measures(list(every), lenient_double)
+    parsed = lines.selectExpr(*[f"{sql} AS {name}" for name, sql in {**asked, **measures}.items()])
     skipped = {
         "zone_performance": f"in_zone AND ({_any_null(ZONE_MEASURES)})",
         "hourly_performance": f"in_hour AND ({_any_null(['hour', *HOUR_MEASURES])})",

@@ -124,15 +124,25 @@ def s_result_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hourly.unionByName(weekend, allowMissingColumns=True)
 
 
-@query("s_sample_n")
-def s_sample_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A sample of the cleaned trips, written as CSV and read back."""
+def _sampled(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
     key = ["tpep_pickup_datetime", "PULocationID", "DOLocationID", "payment_type"]
     path = scratch_path(spark, "sample")
-    tables.write_csv(portable(sampling.sample_rows(binding.stored_clean(spark, sf_dir), key)), path)
+    tables.write_csv(portable(sampling.sample_rows(binding.stored_clean(spark, sf_dir), key, n)), path)
     return delimited.read_staging_csv(spark, path)
 
 
+@query("s_sample_n")
+def s_sample_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample of the cleaned trips, written as CSV and read back."""
+    return _sampled(spark, sf_dir, sampling.SAMPLE_SIZE)
+
+
+@query("s_sample_fewer")
+def s_sample_fewer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of fewer rows than the small test tables have."""
+    return _sampled(spark, sf_dir, 5_000)
+
+
 @query("s_roundtrip_check")
 def s_roundtrip_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = binding.text_trips(spark, sf_dir)

@@ -180,6 +180,10 @@ SQL = {
         CLEANED,
         f"SELECT {_CLEAN_TEXT} FROM (SELECT * FROM cleaned ORDER BY md5({_SAMPLE_KEY}) LIMIT 50000)",
     ),
+    "s_sample_fewer": sql(
+        CLEANED,
+        f"SELECT {_CLEAN_TEXT} FROM (SELECT * FROM cleaned ORDER BY md5({_SAMPLE_KEY}) LIMIT 5000)",
+    ),
     "s_roundtrip_check": sql(
         TEXT,
         f"""SELECT n AS rows_written, n AS rows_read, 31 AS columns_written, 31 AS columns_read,

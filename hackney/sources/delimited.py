@@ -44,7 +44,8 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     layout are cut off, however many there are. Blanks around a line belong to no
     field. Blank lines, header lines and lines with too few fields are left out.
     """
-    split = spark.read.text(path).selectExpr(f"split({strip('value')}, ',', -1) AS fields")
+    # A generator of one row: what reads a field further on would otherwise split the line again, each time it names it.
+    split = spark.read.text(path).selectExpr(f"explode(array(split({strip('value')}, ',', -1))) AS fields")
     names = list(CLEAN_COLUMNS)
     whole = split.where(f"size(fields) >= {ARITY} AND {strip('fields[0]')} <> '{HEADER_WORD}'")
     ends = (names[0], names[-1])

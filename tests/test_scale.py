@@ -66,6 +66,32 @@ def test_sample_is_the_n_smallest_hashes(spark, n):
     assert [r["id"] for r in sample.collect()] == [r["id"] for r in sample.collect()]
 
 
+def test_sample_orders_one_small_slice_only(spark):
+    """A key that a third of all rows have falls into one slice; the cut inside it is exact, and no top-n of n rows is planned."""
+    frame = spark.range(0, 30_000, 1, 4).selectExpr("if(id % 3 = 0, 'hot', CAST(id AS string)) AS k", "id AS t")
+    for n in (100, 9_000, 25_000):
+        sample = sampling.sample_rows(frame, ["k"], n=n, order_by="t")
+        ranked = frame.withColumn("r", sampling.sample_rank(["k"])).orderBy("r").limit(n)
+        assert sorted(r["k"] for r in sample.collect()) == sorted(r["k"] for r in ranked.collect())
+        hashed = frame.where("k <> 'hot'")
+        assert f"limit={n}," not in plan(sampling.sample_rows(hashed, ["k"], n=n, order_by="t"))
+
+
+@pytest.mark.parametrize("name", ["m1_zone_performance", "m2_hourly_performance", "m3_tip_behavior", "s_line_parse", "v2_top10_zones"])
+def test_a_line_is_split_once(spark, sf_dir, name):
+    text = catalog.QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("split(") == 1
+
+
+def test_finite_values_of_any_size_stay_in_sums(spark):
+    from hackney.functions import numbers
+
+    frame = spark.sql("SELECT * FROM VALUES (1e16D, 1), (5D, 1), (NULL, 1), (double('NaN'), 1), (double('Infinity'), 1), (0.125D, 2), (NULL, 3), (-2e300D, 4) AS t(x, k)")
+    found = frame.groupBy("k").agg(*[F.expr(f("x")).alias(f.__name__) for f in (numbers.total, numbers.mean, numbers.whole_sum)])
+    told = {r["k"]: tuple(r)[1:] for r in found.collect()}
+    assert told == {1: (1e16 + 5, (1e16 + 5) / 2, 1e16 + 5), 2: (0.13, 0.13, 0.125), 3: (None, None, None), 4: (-2e300,) * 3}
+
+
 def test_reports_read_only_their_columns_and_aggregate_before_the_shuffle(spark, sf_dir):
     text = plan(reports.top_zones_by_volume(binding.featured_trips(spark, sf_dir)))
     assert "ReadSchema: struct<l_suppkey:bigint>" in text
