@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -39,8 +41,8 @@ ATTRIBUTES = {
 # The quartiles of a summary.
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
-# Buckets per unit of ln(1+|x|): each is about 0.01 % of its value wide.
-BUCKETS_PER_UNIT = 8192
+# Rows of the sample that proposes cuts, the share of rows by which cuts stand off a rank, and rows that are few.
+SAMPLED, MARGIN, FEW = 50_000, 0.01, 20_000
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 TIMES = ("timestamp", "timestamp_ntz", "date")
@@ -100,53 +102,101 @@ def _named(summary: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     return summary.withColumn("column_name", name).drop("column_id")
 
 
+class _Range(NamedTuple):
+    """Values of a column between two bounds, of which `open_` are outside; rows below and inside."""
+
+    column: int
+    low: float
+    high: float
+    open_: tuple[bool, bool]
+    below: int
+    inside: int
+
+    def holds(self) -> Column:
+        value = F.col(f"c{self.column}")
+        return (value > self.low if self.open_[0] else value >= self.low) & (value < self.high if self.open_[1] else value <= self.high)
+
+
+def _cuts(cells: DataFrame, asked: Mapping[_Range, Sequence[int]], turn: int) -> dict[tuple[_Range, int], tuple[float, float]]:
+    """Two values of a range that are likely on either side of a rank, for each rank, from a sample of rows, larger each turn."""
+    part = min(1.0, 2**turn * SAMPLED / min(r.inside for r in asked))
+    share = {(r, k): round((k - r.below) / max(r.inside - 1, 1), 5) for r, ks in asked.items() for k in ks}
+    sides = {key: [min(1.0, max(0.0, at + e)) for e in (-MARGIN, MARGIN)] for key, at in share.items()}
+    wanted = {r: sorted({x for k in ks for x in sides[r, k]}) for r, ks in asked.items()}
+    values = [F.percentile_approx(F.when(r.holds(), F.col(f"c{r.column}")), shares).alias(f"s{i}") for i, (r, shares) in enumerate(wanted.items())]
+    told = dict(zip(asked, cells.sample(part, seed=turn).agg(*values).first(), strict=True))
+    found = {}
+    for (r, k), pair in sides.items():
+        # A sample may have nothing of a range; a cut at a bound that is known then parts its values one by one.
+        low, high = [told[r][wanted[r].index(x)] for x in pair] if told[r] else (r.low, r.high)
+        found[r, k] = (low, low) if (low, high) == (r.low, r.high) and not r.open_[0] else (high, high) if (low, high) == (r.low, r.high) else (low, high)
+    return found
+
+
+def _narrowed(cells: DataFrame, cuts: Mapping[tuple[_Range, int], tuple[float, float]]) -> dict[tuple[_Range, int], _Range | float]:
+    """The part of its range that holds each rank, or the value itself where the cuts are one value that holds it. One pass of counts."""
+    under = sorted({(r.column, a) for (r, _), (a, _) in cuts.items()})
+    upto = sorted({(r.column, b) for (r, _), (_, b) in cuts.items()})
+    tests = [F.col(f"c{c}") < a for c, a in under] + [F.col(f"c{c}") <= b for c, b in upto]
+    counts = cells.agg(*[F.count_if(test).alias(f"n{i}") for i, test in enumerate(tests)]).first()
+    below, within = dict(zip(under, counts)), dict(zip(upto, counts[len(under) :]))
+    found: dict[tuple[_Range, int], _Range | float] = {}
+    for (r, k), (a, b) in cuts.items():
+        before, after = below[r.column, a], within[r.column, b]
+        if k < before:
+            found[r, k] = _Range(r.column, r.low, a, (r.open_[0], True), r.below, before - r.below)
+        elif k >= after:
+            found[r, k] = _Range(r.column, b, r.high, (True, r.open_[1]), after, r.below + r.inside - after)
+        else:
+            found[r, k] = a if a == b else _Range(r.column, a, b, (False, False), before, after - before)
+    return found
+
+
 def quantiles(frame: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
-    """Exact quartiles with linear interpolation, one row per column.
+    """Exact quartiles with linear interpolation, one row per column that has a value.
 
-    A value is sorted into a bucket that follows from the value alone and grows
-    with it, so counting buckets (pre-aggregated, some ten thousand per column)
-    shows which few buckets hold the wanted ranks. Only values of those buckets
-    are counted one by one. No task sees more than one narrow bucket.
+    The range of values that holds a wanted rank is narrowed until few rows are inside: a sample proposes two values on either side
+    of the rank, and a pass of counts tells exactly where it lies. If the two are the ends of the range already, one of them leaves
+    it, so it shrinks each time, whatever values repeat. In the end the values of the ranges, FEW rows at most each, are
+    counted one by one. No cell is moved but those; every pass is one aggregate over all columns.
     """
-    value = F.col("value")
-    bucket = (F.signum(value) * F.floor(F.log1p(F.abs(value)) * BUCKETS_PER_UNIT)).cast("int")
-    cells = _melted(frame, columns, "double").withColumn("bucket", bucket)
-
-    per_bucket = cells.groupBy("column_id", "bucket").agg(F.count("*").alias("rows"))
-    upward = W.partitionBy("column_id").orderBy("bucket")
-    totals = W.partitionBy("column_id")
-    wanted = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(q).alias("q")) for n, q in QUARTILES.items()]))
-    targets = (
-        per_bucket.withColumn("before", F.sum("rows").over(upward) - F.col("rows"))
-        .withColumn("total", F.sum("rows").over(totals))
-        .select("*", wanted.alias("quartile"))
-        .withColumn("position", F.col("quartile.q") * (F.col("total") - 1))
-        # Ranks count from zero; a quartile lies on or between two of them.
-        .withColumn("rank", F.explode(F.array(F.floor("position"), F.ceil("position"))))
-        .where(F.col("rank").between(F.col("before"), F.col("before") + F.col("rows") - 1))
-        .select("column_id", "bucket", "before", F.col("quartile.name").alias("name"), "position", "rank")
-    )
-    chosen = targets.select("column_id", "bucket", "before").distinct()
-    # At most six buckets per column are chosen, so that side has a fixed bound.
-    in_bucket = W.partitionBy("column_id", "bucket").orderBy("value")
-    ranked = (
-        cells.join(F.broadcast(chosen), ["column_id", "bucket"])
-        .groupBy("column_id", "bucket", "before", "value")
-        .agg(F.count("*").alias("rows"))
-        .withColumn("last", F.col("before") + F.sum("rows").over(in_bucket) - 1)
-        .withColumn("first", F.col("last") - F.col("rows") + 1)
-        .drop("before")
-    )
-    hits = (
-        ranked.join(F.broadcast(targets.drop("before")), ["column_id", "bucket"])
-        .where(F.col("rank").between(F.col("first"), F.col("last")))
-        .groupBy("column_id", "name", "position")
-        .agg(F.min("value").alias("low"), F.max("value").alias("high"))
-        .withColumn("part", F.col("position") - F.floor("position"))
-        .withColumn("at", F.col("low") + (F.col("high") - F.col("low")) * F.col("part"))
-    )
-    quartiles = [F.max(F.when(F.col("name") == n, F.col("at"))).alias(n) for n in QUARTILES]
-    return _named(hits.groupBy("column_id").agg(*quartiles), columns)
+    cells = frame.select(*[value.cast("double").alias(f"c{i}") for i, value in enumerate(columns.values())])
+    ends = cells.agg(*[f(c) for c in cells.columns for f in (F.count, F.min, F.max)]).first() if cells.columns else []
+    totals = ends[0::3]
+    ranks = {(i, k) for i, n in enumerate(totals) if n for q in QUARTILES.values() for k in (math.floor(q * (n - 1)), math.ceil(q * (n - 1)))}
+    values: dict[tuple[int, int], float] = {}
+    held = {(i, k): _Range(i, ends[3 * i + 1], ends[3 * i + 2], (False, False), 0, totals[i]) for i, k in ranks}
+    turn = 0
+    while wide := {key: r for key, r in held.items() if r.inside > FEW}:
+        asked: dict[_Range, list[int]] = {}
+        for (_, k), r in wide.items():
+            asked.setdefault(r, []).append(k)
+        for (r, k), found in _narrowed(cells, _cuts(cells, asked, turn)).items():
+            if isinstance(found, _Range):
+                held[r.column, k] = found
+            else:
+                del held[r.column, k]
+                values[r.column, k] = found
+        turn += 1
+    few = list(dict.fromkeys(held.values()))
+    if few:
+        told = [F.when(r.holds(), F.struct(F.lit(i).alias("range"), F.col(f"c{r.column}").alias("value"))) for i, r in enumerate(few)]
+        ranks_of = {r: [k for (i, k), other in held.items() if other == r] for r in few}
+        inside = cells.select(F.inline(F.array_compact(F.array(*told)))).groupBy("range", "value").agg(F.count("*").alias("rows"))
+        below = F.element_at(F.array(*[F.lit(r.below) for r in few]), F.col("range") + 1)
+        last = below + F.sum("rows").over(W.partitionBy("range").orderBy("value"))
+        wanted = F.element_at(F.array(*[F.array(*map(F.lit, sorted(ranks_of[r]))) for r in few]), F.col("range") + 1)
+        hit = F.filter(wanted, lambda k: (k < F.col("last")) & (k >= F.col("last") - F.col("rows")))
+        for row in inside.withColumn("last", last).select("range", "value", F.explode(hit).alias("rank")).collect():
+            values[few[row["range"]].column, row["rank"]] = row["value"]
+    rows = []
+    for i, (name, n) in enumerate(zip(columns, totals)):
+        if n:
+            places = [q * (n - 1) for q in QUARTILES.values()]
+            sides = [(values[i, math.floor(p)], values[i, math.ceil(p)], p - math.floor(p)) for p in places]
+            rows.append((name, *[low + (high - low) * part if high != low else low for low, high, part in sides]))
+    schema = ", ".join(["column_name string", *(f"{name} double" for name in QUARTILES)])
+    return frame.sparkSession.createDataFrame(rows, schema)
 
 
 def describe_numbers(frame: DataFrame) -> DataFrame:

@@ -50,6 +50,28 @@ def test_quantiles_are_exact(spark, values):
     assert [row["p25"], row["p50"], row["p75"]] == pytest.approx(list(expected), rel=1e-12, abs=1e-12)
 
 
+def test_quantiles_are_narrowed(spark, monkeypatch):
+    """Ranges far narrower than their distance from zero, values that a third of all rows have, ranks between two heavy values."""
+    monkeypatch.setattr(profiling, "FEW", 50)
+    monkeypatch.setattr(profiling, "SAMPLED", 300)
+    draw = np.random.default_rng(5)
+    day = 1.7e15 + draw.integers(0, 86_400_000_000, 6000)
+    heavy = np.where(draw.random(6000) < 0.34, 7.5, np.where(draw.random(6000) < 0.5, -3.25, np.round(draw.normal(0, 9, 6000), 1)))
+    halves = np.where(np.arange(6000) < 3000, 1.0, 2.0)
+    holes = np.where(draw.random(6000) < 0.97, np.nan, day)
+    table = np.stack([day, heavy, halves, holes], axis=1)
+    frame = spark.createDataFrame([tuple(None if np.isnan(x) else float(x) for x in row) for row in table], "a double, b double, c double, d double").repartition(5)
+    found = profiling.quantiles(frame, {c: F.col(c) for c in frame.columns}).collect()
+    for row, column in zip(found, table.T, strict=True):
+        assert list(row)[1:] == pytest.approx(list(np.nanquantile(column, [0.25, 0.5, 0.75])), rel=1e-15)
+
+
+def test_quantiles_of_nothing(spark):
+    frame = spark.createDataFrame([(None, 1.0)], "x double, y double")
+    assert [tuple(r) for r in profiling.quantiles(frame, {"x": F.col("x"), "y": F.col("y")}).collect()] == [("y", 1.0, 1.0, 1.0)]
+    assert profiling.quantiles(frame.limit(0), {"x": F.col("x")}).collect() == []
+
+
 def test_describe_skips_missing_values(spark):
     frame = spark.sql("SELECT * FROM VALUES (1D, 'a'), (NULL, 'b'), (3D, 'b'), (double('NaN'), NULL) AS t(x, s)")
     rows = {r["column_name"]: r for r in profiling.describe(frame).collect()}
