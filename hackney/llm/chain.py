@@ -153,9 +153,20 @@ def pair_marginals(chain: Chain, leads: np.ndarray, begins: np.ndarray) -> np.nd
 
 
 def best_tags(chain: Chain, sequences: Sequence[np.ndarray]) -> list[np.ndarray]:
-    """The best path of each sequence of emission scores (step, tag); all advance together."""
-    if not sequences:
-        return []
+    """The best path of each sequence of emission scores (step, tag). Those of like length advance together."""
+    found: list[np.ndarray] = [np.zeros(0, np.int8)] * len(sequences)
+    order = sorted(range(len(sequences)), key=lambda i: len(sequences[i]))
+    while order:
+        # None is filled up to more than twice its length and some steps, so one long sequence widens no others.
+        most = 2 * len(sequences[order[0]]) + 64
+        group = [i for i in order if len(sequences[i]) <= most]
+        order = order[len(group) :]
+        for i, path in zip(group, _best_together(chain, [sequences[i] for i in group]), strict=True):
+            found[i] = path
+    return found
+
+
+def _best_together(chain: Chain, sequences: Sequence[np.ndarray]) -> list[np.ndarray]:
     lengths = np.array([len(s) for s in sequences])
     steps, tags = max(1, lengths.max()), len(chain.start)
     scores = np.zeros((len(sequences), steps, tags))

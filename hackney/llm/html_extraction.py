@@ -52,17 +52,53 @@ _WORDS = re.compile(r"[a-z]+")
 
 
 class Block(NamedTuple):
-    """A run of text, the path of block elements above it (tag and class words), and how much of it is linked."""
+    """A run of text, the path of block elements above it (tag and class words), and how much of it is linked.
+
+    Of equal elements above the last two the path has the nearest only, so that it stays short however deep the text lies.
+    """
 
     text: str
     path: tuple[str, ...]
     linked: int
 
 
+class _Path:
+    """The open block elements, and where each kind of tag and of element is open."""
+
+    def __init__(self) -> None:
+        self.open: list[tuple[str, str]] = []
+        self.tags: dict[str, int] = {}
+        self.places: dict[str, list[int]] = {}
+        self.told: tuple[str, ...] | None = ()
+
+    def push(self, tag: str, element: str) -> None:
+        self.tags[tag] = self.tags.get(tag, 0) + 1
+        self.places.setdefault(element, []).append(len(self.open))
+        self.open.append((tag, element))
+        self.told = None
+
+    def pop(self) -> str:
+        tag, element = self.open.pop()
+        self.tags[tag] -= 1
+        self.places[element].pop()
+        if not self.places[element]:
+            del self.places[element]
+        self.told = None
+        return tag
+
+    def elements(self) -> tuple[str, ...]:
+        """The different open elements by their nearest place, and the last two as they stand."""
+        if self.told is None:
+            self.told = tuple(sorted(self.places, key=lambda e: self.places[e][-1]))
+            if len(self.open) > 1 and self.open[-1] == self.open[-2]:
+                self.told += self.told[-1:]
+        return self.told
+
+
 def leaf_blocks(page: str) -> list[Block]:
     """Blocks of text in page order: references decoded, white space made one space, empty ones left out."""
     found: list[Block] = []
-    path: list[tuple[str, str]] = []
+    path = _Path()
     parts: list[str] = []
     linked, link_depth, at, end = 0, 0, 0, len(page)
 
@@ -71,7 +107,7 @@ def leaf_blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                found.append(Block(text, tuple(p[1] for p in path), linked))
+                found.append(Block(text, path.elements(), linked))
             parts.clear()
         linked = 0
 
@@ -91,9 +127,9 @@ def leaf_blocks(page: str) -> list[Block]:
             if tag == "a":
                 link_depth = 0
             elif tag not in INLINE and tag not in VOID:
-                if any(p[0] == tag for p in path):
+                if path.tags.get(tag):
                     flush()
-                    while path.pop()[0] != tag:
+                    while path.pop() != tag:
                         pass
                 elif tag == "p":
                     flush()
@@ -112,18 +148,21 @@ def leaf_blocks(page: str) -> list[Block]:
                     at = close.end() if close else end
             elif tag not in INLINE and tag not in VOID:
                 flush()
-                if path and path[-1][0] in PARAGRAPHS and (path[-1][0] == "p" or tag in PARAGRAPHS):
+                above = path.open
+                if above and above[-1][0] in PARAGRAPHS and (above[-1][0] == "p" or tag in PARAGRAPHS):
                     path.pop()
-                if tag in ENDED_BY_SAME:
+                ended = ("dt", "dd") if tag in ("dt", "dd") else (tag,)
+                if tag in ENDED_BY_SAME and any(path.tags.get(t) for t in ended):
                     borders = ENDED_BY_SAME[tag].split()
-                    for i in range(len(path) - 1, -1, -1):
-                        if path[i][0] in borders:
+                    for i in range(len(above) - 1, -1, -1):
+                        if above[i][0] in borders:
                             break
-                        if path[i][0] == tag or (tag in ("dt", "dd") and path[i][0] in ("dt", "dd")):
-                            del path[i:]
+                        if above[i][0] in ended:
+                            while len(above) > i:
+                                path.pop()
                             break
                 names = " ".join(filter(None, (m[1] or m[2] or m[3] for m in _CLASS.finditer(match[3] or ""))))
-                path.append((tag, f"{tag} {names.lower()}" if names else tag))
+                path.push(tag, f"{tag} {names.lower()}" if names else tag)
     flush()
     return found
 
@@ -221,8 +260,17 @@ def relaid(texts: list[str], others: list[str], draw: np.random.Generator) -> li
     return blocks
 
 
-def labelled(pages: Iterable[str], seed: int = 7) -> Iterator[list[tuple[Block, int]]]:
-    """Training pages: corpus pages that mark their article by an element, as they are and in other layouts."""
+# Elements with a name that declares the article, and what a page with one of them holds.
+NAMED_FRAMES = tuple({e for f in ARTICLE_FRAMES for e in f.split(">") if " " in e and e != "div container"})
+_NAMED = r"(class|id)\s*=\s*[\"']?[^\"'>]*(" + "|".join(sorted({w for e in NAMED_FRAMES for w in e.split()[1:]})) + ")"
+
+
+def _declares(tag: str, names: set[str]) -> bool:
+    return any(tag == f.split()[0] and names.issuperset(f.split()[1:]) for f in NAMED_FRAMES)
+
+
+def labelled(pages: Iterable[str], seed: int = 7, named: bool = False) -> Iterator[list[tuple[Block, int]]]:
+    """Training pages: corpus pages that mark their article by an element, or by a declared name, as they are and in other layouts."""
     draw = np.random.default_rng(seed)
     bad = frozenset("nav header footer aside form".split())
     for page in pages:
@@ -231,7 +279,7 @@ def labelled(pages: Iterable[str], seed: int = 7) -> Iterator[list[tuple[Block,
         for block in blocks:
             elements = [e.partition(" ") for e in block.path]
             names = {w for _, _, classes in elements for w in _WORDS.findall(classes)}
-            marked = any(e[0] in ("article", "main") for e in elements)
+            marked = any(e[0] in ("article", "main") or (named and _declares(e[0], {*_WORDS.findall(e[2])})) for e in elements)
             other = any(e[0] in bad for e in elements) or any(f"div {w}" in OTHER_FRAMES for w in names)
             tags.append(int(marked and not other))
         if not any(tags) or all(tags):
@@ -243,10 +291,10 @@ def labelled(pages: Iterable[str], seed: int = 7) -> Iterator[list[tuple[Block,
             yield relaid(texts, others, draw)
 
 
-def fit(pages: Iterable[str], seed: int = 7) -> chain.Chain | None:
+def fit(pages: Iterable[str], seed: int = 7, named: bool = False) -> chain.Chain | None:
     """A field from pages that mark their article; None if none does."""
     sequences, tags = [], []
-    for blocks in labelled(pages, seed):
+    for blocks in labelled(pages, seed, named):
         features = [block_features(b) for b, _ in blocks]
         wide = max(map(len, features))
         sequences.append(np.array([f + [0] * (wide - len(f)) for f in features]))
@@ -288,13 +336,15 @@ class Extractor:
 
 
 def learn(pages: DataFrame, sample: int = SAMPLE) -> Extractor | None:
-    """Fit on the first `sample` pages, by a hash of their ids, that hold an article or main element."""
-    marked = pick(pages, "page_id", "html").where(F.col("page_id").isNotNull() & F.lower("html").rlike(r"<(article|main)[\s>]"))
-    # The ids are chosen first, so that no page moves but those that are learnt from.
-    chosen = marked.select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
-    rows = marked.join(F.broadcast(chosen.distinct()), "page_id").orderBy(F.xxhash64("page_id"), "page_id", "html").limit(sample)
-    model = fit([r["html"] for r in rows.toLocalIterator()])
-    return Extractor(model) if model else None
+    """Fit on the first `sample` pages, by a hash of their ids, that hold an article or main element; if none does, an element of a declared name."""
+    for named, pattern in ((False, r"<(article|main)[\s>]"), (True, _NAMED)):
+        marked = pick(pages, "page_id", "html").where(F.col("page_id").isNotNull() & F.lower("html").rlike(pattern))
+        # The ids are chosen first, so that no page moves but those that are learnt from.
+        chosen = marked.select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
+        rows = marked.join(F.broadcast(chosen.distinct()), "page_id").orderBy(F.xxhash64("page_id"), "page_id", "html").limit(sample)
+        if model := fit([r["html"] for r in rows.toLocalIterator()], named=named):
+            return Extractor(model)
+    return None
 
 
 def extract_text(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -303,7 +353,7 @@ def extract_text(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
     One row per row of `pages`, repeated rows alike; null keys stay null. Character references
     are decoded, white space inside a block is one space, blocks come in page order, none are
     dropped or cut. A null or empty page has no blocks, nor has any page if no page of the
-    corpus marks an article to learn from. Cut-off markup at a page's end is left out. Other
+    corpus marks an article to learn from, by an element or by one of the names in NAMED_FRAMES. Cut-off markup at a page's end is left out. Other
     columns are ignored; an empty table gives an empty table.
     """
     rows = pick(pages, "page_id", "url", "html").withColumn("html", F.coalesce(F.col("html"), F.lit("")))

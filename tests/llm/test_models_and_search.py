@@ -141,6 +141,52 @@ def test_other_layouts(pages):
     ]
 
 
+def test_deep_and_long_pages_cost_no_more_than_their_length(spark):
+    import time
+    import tracemalloc
+
+    for page, count in (("<div>a" * 100_000, 100_000), ("<li><div>b" * 50_000, None), ("<p>c" * 200_000, 200_000), ("</b2>x<td>" * 50_000, None)):
+        tracemalloc.start()
+        begun = time.process_time()
+        blocks = html_extraction.leaf_blocks(page)
+        took, peak = time.process_time() - begun, tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert (count is None or len(blocks) == count) and took < 20 and peak < 500e6
+    whole = ("html", "body", "div x", "div", "div x", "section", "div", "div")
+    assert sorted(html_extraction.path_features(whole)) == sorted(html_extraction.path_features(html_extraction.leaf_blocks(
+        "<html><body><div class=x><div><div class=x><section><div><div>t")[0].path))
+
+
+def test_one_long_sequence_widens_no_others():
+    from hackney.llm import chain
+
+    draw = np.random.default_rng(4)
+    field = chain.Chain(np.zeros((1, 2)), draw.normal(size=2), draw.normal(size=(2, 2)))
+    sequences = [draw.normal(size=(n, 2)) for n in (0, 1, 2, 3, 5, 8, 300, 0, 1, 70)]
+    for sequence, path in zip(sequences, chain.best_tags(field, sequences), strict=True):
+        best, came = None, []
+        for scores in sequence:
+            options = (field.start + scores)[None] if best is None else best[:, None] + field.moves + scores
+            came.append(options.argmax(axis=0))
+            best = options.max(axis=0)
+        expected = [int(best.argmax())] if len(sequence) else []
+        for back in came[:0:-1]:
+            expected.insert(0, int(back[expected[0]]))
+        assert path.tolist() == expected
+
+
+def test_a_corpus_that_names_its_articles(spark):
+    def page(i):
+        story = " ".join(f"Sentence {i} of the story goes on and on, as stories do, until line {k} ends." for k in range(6))
+        return (i, f"u{i}", f"<html><body><div class='menu'><ul><li><a href=x>Home</a><li><a href=y>News {i}</a></ul></div><div class='post-content post'><p>{story}</p><p>More of {i}. {story}</p></div><div class='footer'>All rights reserved (c) {i}</div></body></html>", story)
+
+    made = [page(i) for i in range(60)]
+    frame = spark.createDataFrame([m[:3] for m in made], "page_id bigint, url string, html string")
+    for row in html_extraction.extract_text(frame).collect():
+        story = made[row["page_id"]][3]
+        assert row["blocks"] == [story, f"More of {row['page_id']}. {story}"]
+
+
 def test_leaf_blocks():
     told = [(b.text, b.path) for b in html_extraction.leaf_blocks("<div Class='A b'>x<p>y <i>z</i><!-- <p>n</p> --> w<li>1<li>2</div>t &am")]
     assert told == [("x", ("div a b",)), ("y z w", ("div a b", "p")), ("1", ("div a b", "li")), ("2", ("div a b", "li")), ("t &am", ())]
