@@ -12,6 +12,7 @@ from __future__ import annotations
 import operator
 import re
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -97,6 +98,10 @@ def store_trips(frame: DataFrame, path: str, files: int | None = None) -> None:
     write_wide(wide_rows(frame), path, files, TRIP_SEQUENCE)
 
 
+# Where the key spans of a stored table's files are noted; readers of the table pass over such a name.
+_SPANS = "_spans"
+
+
 def _with_folder(table: DataFrame) -> DataFrame:
     return _unstored(table).withColumn(VENDOR, F.concat(F.lit("v"), F.substring_index(KEY, "_", 1)))
 
@@ -115,12 +120,53 @@ def write_wide(table: DataFrame, path: str, files: int | None = None, sequence:
     if sequence:
         ranged = latest_per_key(ranged, [VENDOR, KEY], sequence)
     ranged.sortWithinPartitions(VENDOR, KEY).write.mode("overwrite").partitionBy(VENDOR).parquet(path)
+    stored = table.sparkSession.read.parquet(path)
+    spans = stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min(KEY).alias("least"), F.max(KEY).alias("most"), F.count(KEY).alias("rows"), F.count_if(F.col(KEY).isNull()).alias("keyless"))
+    spans.coalesce(1).write.parquet(f"{path}/{_SPANS}")
 
 
 def read_wide(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_first(
+    spark: SparkSession,
+    path: str,
+    n: int,
+    *,
+    start: str | None = None,
+    stop: str | None = None,
+    prefix: str | None = None,
+    reverse: bool = False,
+) -> DataFrame:
+    """As much of a stored table as holds its first n rows in key order, or its last ones, of a key range or prefix.
+
+    For `scan` with the same range and a limit of up to n. What `write_wide` noted of each file, its least and largest key and its
+    rows, tells which files those rows must be in; mostly one. Files that reach beyond the range count for no rows, as
+    nothing is known of how many are inside, but are read. Rows of null keys are in no range and come before all others.
+    """
+    least, most = F.col("least"), F.col("most")
+    met, inside = most.isNotNull(), F.lit(True)
+    keyless = F.lit(start is None and stop is None and prefix is None) & (F.col("keyless") > 0)
+    if start is not None:
+        met, inside = met & (most >= start), inside & (least >= start)
+    if stop is not None:
+        met, inside = met & (least <= stop), inside & (most < stop)
+    if prefix is not None:
+        met = met & (F.left(most, F.lit(len(prefix))) >= prefix) & (F.left(least, F.lit(len(prefix))) <= prefix)
+        inside = inside & least.startswith(prefix) & most.startswith(prefix)
+    spans = spark.read.parquet(f"{path}/{_SPANS}").where(met | keyless)
+    # All rows of the files that end soonest come before whatever begins after them. One row for each file.
+    upto = F.sum(F.when(inside, F.col("rows")).otherwise(0)).over(W.orderBy(least.desc() if reverse else most.asc()))
+    enough = spans.withColumn("upto", upto).where(F.col("upto") >= n)
+    border = enough.agg(F.max(least) if reverse else F.min(most)).first()[0]
+    if border is not None:
+        spans = spans.where(most >= border if reverse else (least <= border) | keyless)
+    files = [unquote(row["file"]) for row in spans.select("file").collect()]
+    table = spark.read.option("basePath", path)
+    return table.parquet(*sorted(files)) if files else read_wide(spark, path).where("false")
+
+
 def _unstored(table: DataFrame) -> DataFrame:
     return table.drop(VENDOR)
 

@@ -148,13 +148,17 @@ def located_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stored_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+def wide_path(spark: SparkSession, sf_dir: str) -> str:
     """The keyed wide table, stored sorted by key for the scans to prune."""
 
     def write(path: str) -> None:
         keyed.store_trips(featured_trips(spark, sf_dir), path)
 
-    return keyed.read_wide(spark, _store(spark, sf_dir, "wide", write))
+    return _store(spark, sf_dir, "wide", write)
+
+
+def stored_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keyed.read_wide(spark, wide_path(spark, sf_dir))
 
 
 def stored_clean(spark: SparkSession, sf_dir: str) -> DataFrame:

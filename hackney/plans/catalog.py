@@ -459,14 +459,14 @@ def k_delete_audit(table: DataFrame) -> DataFrame:
     return keyed.delete_audit(table, keyed.delete_rows(table, keys), keys)
 
 
-@_keyed("k_scan_limit")
-def k_scan_limit(table: DataFrame) -> DataFrame:
-    return keyed.scan(table, limit=3)
+@query("k_scan_limit")
+def k_scan_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keyed.scan(keyed.read_first(spark, binding.wide_path(spark, sf_dir), 3), limit=3)
 
 
-@_keyed("k_scan_reverse")
-def k_scan_reverse(table: DataFrame) -> DataFrame:
-    return keyed.scan(table, reverse=True, limit=3)
+@query("k_scan_reverse")
+def k_scan_reverse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keyed.scan(keyed.read_first(spark, binding.wide_path(spark, sf_dir), 3, reverse=True), reverse=True, limit=3)
 
 
 @_keyed("k_range_scan")
@@ -479,14 +479,16 @@ def k_prefix_scan(table: DataFrame) -> DataFrame:
     return keyed.scan(table, prefix="1_")
 
 
-@_keyed("k_prefix_page")
-def k_prefix_page(table: DataFrame) -> DataFrame:
-    return keyed.scan(table, prefix="2_", limit=4)
+@query("k_prefix_page")
+def k_prefix_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = keyed.read_first(spark, binding.wide_path(spark, sf_dir), 4, prefix="2_")
+    return keyed.scan(first, prefix="2_", limit=4)
 
 
-@_keyed("k_page_summary")
-def k_page_summary(table: DataFrame) -> DataFrame:
-    return keyed_reports.page_summary(table)
+@query("k_page_summary")
+def k_page_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = keyed.read_first(spark, binding.wide_path(spark, sf_dir), keyed_reports.PAGE_ROWS)
+    return keyed_reports.page_summary(first)
 
 
 @_keyed("k_value_filter")

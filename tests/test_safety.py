@@ -77,6 +77,32 @@ def test_stored_scans_find_what_plain_ones_do(odd_keys, data):
     assert found == sorted(expected)
 
 
+@pytest.fixture(scope="module")
+def many_files(spark, tmp_path_factory):
+    made = [f"{v}_{i:03d}" for v in ("1", "2", "10", "ab") for i in range(40)] + ["1", "x", "", None, None]
+    path = str(tmp_path_factory.mktemp("spans of") / "t")
+    keyed.write_wide(wide(spark, [(k, (float(i), "x")) for i, k in enumerate(made)]), path, files=9)
+    return path
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(data=st.data())
+def test_first_rows_are_those_of_the_whole_table(spark, many_files, data):
+    bound = st.one_of(st.none(), st.sampled_from(["1", "1_010", "10_", "2_03", "2_039", "ab", "z", ""]), st.text("12_abx0", max_size=4))
+    limits = {"start": data.draw(bound), "stop": data.draw(bound), "prefix": data.draw(bound)}
+    n, reverse = data.draw(st.sampled_from([1, 3, 30, 500])), data.draw(st.booleans())
+    whole = keyed.scan(keyed.read_wide(spark, many_files), **limits, limit=n, reverse=reverse)
+    first = keyed.scan(keyed.read_first(spark, many_files, n, **limits, reverse=reverse), **limits, limit=n, reverse=reverse)
+    assert keys(first) == keys(whole)
+
+
+def test_a_few_rows_are_read_from_a_few_files(spark, many_files):
+    files = len(keyed.read_wide(spark, many_files).inputFiles())
+    assert files >= 9
+    for asked in ({"prefix": "2_"}, {"prefix": "10_01"}, {"reverse": True}, {"prefix": "ab_", "reverse": True}):
+        assert len(keyed.read_first(spark, many_files, 3, **asked).inputFiles()) <= 3
+
+
 def test_one_shuffle_stores_the_last_put_of_each_key(spark, tmp_path):
     rows = [(f"1_{i % 50}", (float(i), "x")) for i in range(500)]
     keyed.write_wide(wide(spark, rows).repartition(5), str(tmp_path / "t"), sequence=["cells.a"])
