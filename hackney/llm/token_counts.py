@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 import re
-from functools import lru_cache
+from collections.abc import Callable
 from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
@@ -21,8 +21,8 @@ from hackney.llm.frames import kind_of, map_slices, texts_of
 
 # Fixed value: the cutting pattern of byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# Counts of that many distinct pieces, and as many words, are remembered in a Python worker.
-REMEMBERED = 1 << 18
+# Counts of that many distinct pieces, and as many words, of up to so many characters are remembered in a Python worker.
+REMEMBERED, LONGEST = 1 << 18, 64
 # A space before more white space can end a piece; before anything else it always begins one.
 _WIDE_BLANK = re.compile(r" (?:\s|$)")
 
@@ -41,6 +41,22 @@ def byte_letters() -> list[str]:
     return [chr(b if b in printable else next(spare)) for b in range(256)]
 
 
+class Remembered(dict):
+    """Counts by word. Long words are counted each time, and a full table starts anew, so it stays within some tens of megabytes."""
+
+    def __init__(self, count: Callable[[str], int]):
+        super().__init__()
+        self.count = count
+
+    def __missing__(self, word: str) -> int:
+        found = self.count(word)
+        if len(word) <= LONGEST:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = found
+        return found
+
+
 class PairMerger:
     """Merge ranks, and a counter of tokens that remembers common pieces."""
 
@@ -68,9 +84,9 @@ class PairMerger:
     def __getattr__(self, name: str):
         # Made once in each process, not sent with the table.
         if name == "remembered":
-            self.remembered = lru_cache(REMEMBERED)(lambda piece: self.piece_tokens(piece.encode()))
+            self.remembered = Remembered(lambda piece: self.piece_tokens(piece.encode())).__getitem__
         elif name == "remembered_word":
-            self.remembered_word = lru_cache(REMEMBERED)(lambda word: self.cut_tokens(" " + word))
+            self.remembered_word = Remembered(lambda word: self.cut_tokens(" " + word)).__getitem__
         elif name == "cutter":
             self.cutter = regex.compile(PATTERN)
         elif name == "special":

@@ -108,6 +108,18 @@ def test_harmless_pairs_are_left_alone(text):
     assert not secrets.scan(text)
 
 
+def test_long_words_are_not_remembered():
+    merger = token_counts.PairMerger.read(registry.BYTE_PAIRS)
+    draw = random.Random(8)
+    long = ["".join(draw.choice("abcdefgh") for _ in range(5000)) for _ in range(20)]
+    text = " ".join(long + ["short", "words"])
+    assert merger.text_tokens(text) == merger.text_tokens(text) == merger.cut_tokens(text)
+    for held in (merger.remembered.__self__, merger.remembered_word.__self__):
+        assert held and max(map(len, held)) <= token_counts.LONGEST + 1
+    held = token_counts.Remembered(len)
+    assert [held[w] for w in ("a", "bb", "a", "x" * 99)] == [1, 2, 1, 99] and set(held) == {"a", "bb"}
+
+
 def test_joined_constants_stay_small():
     import time
     import tracemalloc
