@@ -102,11 +102,45 @@ def store_trips(frame: DataFrame, path: str, files: int | None = None) -> None:
 _SPANS = "_spans"
 
 
-def _with_folder(table: DataFrame) -> DataFrame:
-    return _unstored(table).withColumn(VENDOR, F.concat(F.lit("v"), F.substring_index(KEY, "_", 1)))
+# The notes: one row for each file, apart by the table's own folders.
+_SPAN_COLUMNS = f"file string, least string, most string, rows bigint, keyless bigint, {VENDOR} string"
 
 
-def write_wide(table: DataFrame, path: str, files: int | None = None, sequence: Sequence[str | Column] = ()) -> None:
+def _with_folder(table: DataFrame, characters: int = 0) -> DataFrame:
+    vendor = F.substring_index(KEY, "_", 1)
+    name = F.left(F.col(KEY), F.length(vendor) + 1 + characters) if characters else vendor
+    return _unstored(table).withColumn(VENDOR, F.concat(F.lit("v"), name))
+
+
+def _write_folders(table: DataFrame, path: str, files: int | None, sequence: Sequence[str | Column], mode: str) -> None:
+    """Write rows that know their folder, in key ranges; `dynamic` replaces the folders that get rows and no others."""
+    ranged = table.repartitionByRange(*([] if files is None else [files]), VENDOR, KEY)
+    if sequence:
+        ranged = latest_per_key(ranged, [VENDOR, KEY], sequence)
+    kept = ranged.sortWithinPartitions(VENDOR, KEY).write.mode("overwrite").option("partitionOverwriteMode", mode)
+    kept.partitionBy(VENDOR).parquet(path)
+
+
+def _note_spans(stored: DataFrame, path: str) -> None:
+    noted = stored.groupBy(VENDOR, F.col("_metadata.file_path").alias("file")).agg(
+        F.min(KEY).alias("least"), F.max(KEY).alias("most"), F.count(KEY).alias("rows"), F.count_if(F.col(KEY).isNull()).alias("keyless")
+    )
+    spans = noted.select("file", "least", "most", "rows", "keyless", VENDOR).coalesce(1)
+    spans.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(VENDOR).parquet(f"{path}/{_SPANS}")
+
+
+def _plain_name(file: str) -> str:
+    """A file's name as it is; Spark gives local ones with one slash or three."""
+    return unquote(file).replace("file:///", "file:/", 1)
+
+
+def _spans_of(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(_SPAN_COLUMNS).parquet(f"{path}/{_SPANS}")
+
+
+def write_wide(
+    table: DataFrame, path: str, files: int | None = None, sequence: Sequence[str | Column] = (), folder_characters: int = 0
+) -> None:
     """Store a wide table split by vendor and sorted by key.
 
     The range shuffle gives every file its own key range. Files stay apart even
@@ -114,15 +148,63 @@ def write_wide(table: DataFrame, path: str, files: int | None = None, sequence:
     `files` sets the number of ranges; the session's shuffle setting otherwise.
     With `sequence` the table may hold several rows per key, and the last of each
     is stored; the ranges bring them together, so that takes no further shuffle.
+    `folder_characters` puts that many characters that follow the vendor into the folder's name
+    (6: a folder for each month), for tables that are changed in place.
     """
-    ranges = [VENDOR, KEY] if files is None else [files, VENDOR, KEY]
-    ranged = _with_folder(table).repartitionByRange(*ranges)
-    if sequence:
-        ranged = latest_per_key(ranged, [VENDOR, KEY], sequence)
-    ranged.sortWithinPartitions(VENDOR, KEY).write.mode("overwrite").partitionBy(VENDOR).parquet(path)
-    stored = table.sparkSession.read.parquet(path)
-    spans = stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min(KEY).alias("least"), F.max(KEY).alias("most"), F.count(KEY).alias("rows"), F.count_if(F.col(KEY).isNull()).alias("keyless"))
-    spans.coalesce(1).write.parquet(f"{path}/{_SPANS}")
+    _write_folders(_with_folder(table, folder_characters), path, files, sequence, "static")
+    _note_spans(read_wide(table.sparkSession, path), path)
+
+
+def _in_folders(table: DataFrame, folders: Sequence[str | None]) -> DataFrame:
+    named = F.col(VENDOR).isin(*[f for f in folders if f is not None])
+    return table.where(named | F.col(VENDOR).isNull() if None in folders else named)
+
+
+def change_stored(
+    spark: SparkSession,
+    path: str,
+    *,
+    deletes: Sequence[str | None] | DataFrame = (),
+    puts: DataFrame | None = None,
+    sequence: Sequence[str | Column] = (),
+    files: int | None = None,
+) -> None:
+    """Delete keys from a stored table and then put rows, in place; only the folders of those keys are written.
+
+    Semantics are those of `delete_rows` and `put_rows`; puts may come from the table itself. Other folders' files
+    are neither read nor touched. New files are written beside the old ones and take their place when all are done,
+    so a change whose tasks fail leaves the table as it was; a driver lost during that last step, which only renames,
+    may leave some folders changed and others not. One change at a time. A folder that lost all
+    its rows keeps an empty file. What goes to the driver are names of folders and files.
+    """
+    table = read_wide(spark, path)
+    names = [r[VENDOR][1:].split("_", 1) for r in _spans_of(spark, path).where(f"{VENDOR} IS NOT NULL").select(VENDOR).distinct().collect()]
+    # A shorter key is its folder's whole name, so the longest name tells the width that all folders agree with.
+    characters = max((len(name[1]) for name in names if len(name) > 1), default=0)
+    gone = deletes if isinstance(deletes, DataFrame) else _key_frame(table, deletes)
+    # A null key deletes nothing, but a row without a key can be put.
+    changed = gone.select(KEY).where(F.col(KEY).isNotNull())
+    if puts is not None:
+        changed = changed.unionByName(puts.select(KEY))
+    folders = [r[VENDOR] for r in _with_folder(changed, characters).select(VENDOR).distinct().collect()]
+    if not folders:
+        return
+    rows = delete_rows(_in_folders(table, folders), deletes)
+    rows = _unstored(rows) if puts is None else put_rows(rows, puts, sequence)
+    before = set(table.inputFiles())
+    _write_folders(_with_folder(rows, characters), path, files, (), "dynamic")
+
+    after = read_wide(spark, path)
+    named = {f"{VENDOR}={'__HIVE_DEFAULT_PARTITION__' if f is None else f}" for f in folders}
+    kept = {unquote(file).rpartition("/")[0] for file in before.intersection(after.inputFiles())}
+    # Only a folder that got no rows at all still has its old files.
+    emptied = [folder for folder in kept if unquote(folder.rpartition("/")[2]) in named]
+    for folder in emptied:
+        none = table.drop(VENDOR).where("false").coalesce(1)
+        none.write.mode("overwrite").parquet(folder)
+        noted = spark.createDataFrame([], _SPAN_COLUMNS).drop(VENDOR).coalesce(1)
+        noted.write.mode("overwrite").parquet(f"{path}/{_SPANS}/{folder.rpartition('/')[2]}")
+    _note_spans(_in_folders(read_wide(spark, path), folders), path)
 
 
 def read_wide(spark: SparkSession, path: str) -> DataFrame:
@@ -144,6 +226,7 @@ def read_first(
     For `scan` with the same range and a limit of up to n. What `write_wide` noted of each file, its least and largest key and its
     rows, tells which files those rows must be in; mostly one. Files that reach beyond the range count for no rows, as
     nothing is known of how many are inside, but are read. Rows of null keys are in no range and come before all others.
+    Files without notes (a change was cut short) are read too, and the whole table where noted files are gone.
     """
     least, most = F.col("least"), F.col("most")
     met, inside = most.isNotNull(), F.lit(True)
@@ -155,16 +238,20 @@ def read_first(
     if prefix is not None:
         met = met & (F.left(most, F.lit(len(prefix))) >= prefix) & (F.left(least, F.lit(len(prefix))) <= prefix)
         inside = inside & least.startswith(prefix) & most.startswith(prefix)
-    spans = spark.read.parquet(f"{path}/{_SPANS}").where(met | keyless)
+    table = read_wide(spark, path)
+    present = {_plain_name(file) for file in table.inputFiles()}
+    noted = {_plain_name(row["file"]) for row in _spans_of(spark, path).select("file").collect()}
+    if not noted <= present:
+        return table
+    spans = _spans_of(spark, path).where(met | keyless)
     # All rows of the files that end soonest come before whatever begins after them. One row for each file.
     upto = F.sum(F.when(inside, F.col("rows")).otherwise(0)).over(W.orderBy(least.desc() if reverse else most.asc()))
     enough = spans.withColumn("upto", upto).where(F.col("upto") >= n)
     border = enough.agg(F.max(least) if reverse else F.min(most)).first()[0]
     if border is not None:
         spans = spans.where(most >= border if reverse else (least <= border) | keyless)
-    files = [unquote(row["file"]) for row in spans.select("file").collect()]
-    table = spark.read.option("basePath", path)
-    return table.parquet(*sorted(files)) if files else read_wide(spark, path).where("false")
+    files = {_plain_name(row["file"]) for row in spans.select("file").collect()} | (present - noted)
+    return spark.read.option("basePath", path).parquet(*sorted(files)) if files else table.where("false")
 
 
 def _unstored(table: DataFrame) -> DataFrame:
@@ -196,7 +283,10 @@ def _folders(
     if prefix is not None:
         table = table.where(F.left(head, F.lit(len(prefix))) == F.left(F.lit(prefix), size))
     if keys is not None:
-        table = table.where(F.col(VENDOR).isin(*sorted({"v" + k.split("_")[0] for k in keys})))
+        # A folder's name goes beyond the vendor by a number of characters that the table chose.
+        shortest = ((k, len(k.split("_")[0])) for k in keys)
+        names = {"v" + k[:n] for k, least in shortest for n in range(least, len(k) + 1)}
+        table = table.where(F.col(VENDOR).isin(*sorted(names)))
     return table
 
 

@@ -161,6 +161,16 @@ def stored_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.read_wide(spark, wide_path(spark, sf_dir))
 
 
+def changed_wide_path(spark: SparkSession, sf_dir: str, change: Callable[[DataFrame, str], None]) -> str:
+    """A copy of the keyed wide table in folders of a year each, changed in place."""
+
+    def write(path: str) -> None:
+        keyed.write_wide(stored_wide(spark, sf_dir), path, folder_characters=4)
+        change(keyed.read_wide(spark, path), path)
+
+    return _store(spark, sf_dir, "changed", write)
+
+
 def stored_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned trips, stored and read back; the reports run over these."""
 

@@ -447,6 +447,19 @@ def k_delete_rows(table: DataFrame) -> DataFrame:
     return keyed.project(keyed.delete_rows(table, _edge_keys(table)), ["financials.total_amount"])
 
 
+@query("k_change_stored")
+def k_change_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In place: edge keys go, then far card trips are put, without a tip, and under a new key too."""
+
+    def change(table: DataFrame, path: str) -> None:
+        far = keyed.cell_filter("trip_info.payment_type", "=", 1) & keyed.cell_filter("trip_info.trip_distance", ">", 100)
+        puts = keyed.put_cells(table.where(far), F.lit(True), "financials", {"tip_amount": 0.0})
+        fresh = puts.withColumn(keyed.KEY, F.concat(F.lit("9_"), keyed.KEY))
+        keyed.change_stored(spark, path, deletes=_edge_keys(table), puts=puts.unionByName(fresh), sequence=[keyed.KEY])
+
+    return keyed.project(keyed.read_wide(spark, binding.changed_wide_path(spark, sf_dir, change)), ["financials"])
+
+
 @_keyed("k_delete_cell")
 def k_delete_cell(table: DataFrame) -> DataFrame:
     dispute = keyed.cell_filter("trip_info.payment_type", "=", 4)

@@ -63,6 +63,14 @@ SQL = {
     "k_delete_rows": k(
         "SELECT row_key, total_amount FROM wide WHERE row_key NOT IN (SELECT row_key FROM edges)", EDGES
     ),
+    "k_change_stored": k(
+        """SELECT row_key, fare_amount, CASE WHEN payment_type = 1 AND trip_distance > 100 THEN 0 ELSE tip_amount END AS tip_amount,
+          total_amount, congestion_surcharge FROM wide
+        WHERE row_key NOT IN (SELECT row_key FROM edges) OR (payment_type = 1 AND trip_distance > 100)
+        UNION ALL SELECT '9_' || row_key, fare_amount, 0, total_amount, congestion_surcharge FROM wide
+        WHERE payment_type = 1 AND trip_distance > 100""",
+        EDGES,
+    ),
     "k_delete_cell": k(
         """SELECT row_key, fare_amount, CASE WHEN payment_type <> 4 THEN tip_amount END AS tip_amount,
         total_amount, congestion_surcharge FROM wide"""

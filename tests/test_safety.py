@@ -110,6 +110,54 @@ def test_one_shuffle_stores_the_last_put_of_each_key(spark, tmp_path):
     assert sorted(r.cells.a for r in stored.collect()) == [float(i) for i in range(450, 500)]
 
 
+CHANGES = [
+    # deletes, puts
+    (["1_010", "absent", None], []),
+    ([], [("1_0005", 1), ("1_0005", 2), ("2_039", 1)]),
+    (["2_001", "x", "ab_000"], [("2_001", 5), ("new_1", 1), (None, 3), ("x", 9)]),
+    ([f"ab_{i:03d}" for i in range(40)], []),
+    ([], []),
+]
+
+
+@pytest.mark.parametrize("characters", [0, 2])
+def test_changes_in_place_are_those_of_whole_tables(spark, tmp_path, characters):
+    made = [f"{v}_{i:03d}" for v in ("1", "2", "10", "ab") for i in range(40)] + ["1", "x", "", "é b/%_1", None, None]
+    path = str(tmp_path / "in place")
+    plain = wide(spark, [(k, (float(i), "x")) for i, k in enumerate(made)])
+    keyed.write_wide(plain, path, files=4, folder_characters=characters)
+    for deletes, new in CHANGES:
+        puts = spark.createDataFrame([(k, (float(n), "put"), n) for k, n in new], f"{KEY} string, cells struct<a: double, b: string>, n int")
+        plain = keyed.put_rows(keyed.delete_rows(plain, deletes), puts, ["n"])
+        keyed.change_stored(spark, path, deletes=deletes, puts=puts if new else None, sequence=["n"], files=2)
+        stored = keyed.read_wide(spark, path)
+        assert sorted(map(str, stored.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
+        for asked in ({"prefix": "ab_"}, {"reverse": True}):
+            first = keyed.scan(keyed.read_first(spark, path, 4, **asked), **asked, limit=4)
+            assert keys(first) == keys(keyed.scan(plain, **asked, limit=4))
+        assert keys(keyed.chosen(stored, ["1_011", "2_001", "new_1"])) == keys(keyed.chosen(plain, ["1_011", "2_001", "new_1"]))
+
+
+def test_a_change_leaves_other_folders_alone_and_a_failed_one_all(spark, tmp_path):
+    made = [f"1_2024{m:02d}{d:02d}" for m in range(1, 13) for d in range(1, 29)]
+    path = str(tmp_path / "t")
+    keyed.write_wide(wide(spark, [(k, (1.0, "x")) for k in made]), path, files=3, folder_characters=6)
+    before = set(keyed.read_wide(spark, path).inputFiles())
+    ten = [k for k in made if k.startswith("1_202403")][:10]
+    puts = wide(spark, [(k, (2.0, "y")) for k in ten])
+    failing = puts.withColumn("cells", F.when(F.col(KEY) == ten[9], F.raise_error(F.lit("lost"))).otherwise(F.col("cells")))
+    with pytest.raises(Exception, match="lost"):
+        keyed.change_stored(spark, path, puts=failing, sequence=[KEY])
+    assert set(keyed.read_wide(spark, path).inputFiles()) == before
+    assert keyed.read_wide(spark, path).where("cells.b = 'x'").count() == len(made)
+    keyed.change_stored(spark, path, puts=puts, sequence=[KEY])
+    after = keyed.read_wide(spark, path)
+    assert {f.split("key_vendor=")[1].split("/")[0] for f in before ^ set(after.inputFiles())} == {"v1_202403"}
+    assert keys(after.where("cells.b = 'y'")) == ten and after.count() == len(made)
+    keyed.change_stored(spark, path, deletes=after.select(KEY))
+    assert keyed.read_wide(spark, path).count() == 0 and keyed.read_first(spark, path, 3).count() == 0
+
+
 @pytest.mark.parametrize(
     ("pattern", "start"),
     [("^2_1997.*", "2_1997"), ("2_", ""), ("^ab*", "a"), ("^ab|c", ""), ("^a+b", "a"), ("^(x)", ""), ("^a?b", "")],
