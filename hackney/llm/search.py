@@ -27,6 +27,8 @@ K1, B = 1.2, 0.75
 TERM = re.compile(r"[^\W_]+")
 # Text of a shard, and of the queries that are broadcast at a time, in bytes.
 SHARD_BYTES = 48 << 20
+# Memory of a shard, by which short texts end one earlier, and what its building takes for a token and a document.
+SHARD_MEMORY, TOKEN_BYTES, DOCUMENT_BYTES = 640 << 20, 104, 64
 QUERY_BYTES = 24 << 20
 # Documents of a block; a term in more than this share of a shard's documents is common.
 BLOCK, COMMON = 32, 1 / 32
@@ -71,8 +73,17 @@ def numbered(texts: list[str], vocabulary: dict[str, int]) -> tuple[np.ndarray,
     return owner[known], number[known], lengths
 
 
+def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places begin, begin + 1, ... of each range, one range after the other."""
+    return np.arange(int(size.sum())) + np.repeat(begin - (np.cumsum(size) - size), size)
+
+
 class Shard:
-    """Inverted index of some documents: postings by term, and the common terms as rows of impacts."""
+    """Inverted index of some documents: postings by term, those of common terms by document, and their block maxima.
+
+    Memory is in proportion to the postings. Only the maxima are dense; a common term is held by over COMMON of the
+    documents, which is one in each block on average, so they are no more than the postings by much.
+    """
 
     def __init__(self, owner: np.ndarray, number: np.ndarray, lengths: np.ndarray, n_terms: int, mean_length: float):
         self.count = count = len(lengths)
@@ -83,6 +94,7 @@ class Shard:
         first = np.full(count, -1)
         heads = order[np.concatenate([[True], doc[order][1:] != doc[order][:-1]])] if len(order) else order
         first[doc[heads]] = term[heads]
+        del order, heads
         self.original = np.lexsort((lengths, first))
         place = np.empty(count, np.int64)
         place[self.original] = np.arange(count)
@@ -95,13 +107,18 @@ class Shard:
         frequent = np.flatnonzero(held > max(1.0, COMMON * count))
         self.row = np.full(n_terms, -1)
         self.row[frequent] = np.arange(len(frequent))
-        common = self.row[term] >= 0
-        self.impacts = np.zeros((len(frequent), count))
-        self.impacts[self.row[term[common]], doc[common]] = impact[common]
+        rows = self.row[term]
+        common = rows >= 0
         self.blocks = -(-count // BLOCK)
-        padded = np.zeros((len(frequent), self.blocks * BLOCK))
-        padded[:, :count] = self.impacts
-        self.maxima = padded.reshape(len(frequent), self.blocks, BLOCK).max(axis=2)
+        self.maxima = np.zeros((len(frequent), self.blocks))
+        # Postings are in order of term and document, so that those of a term and block are neighbours.
+        cell = rows[common] * self.blocks + doc[common] // BLOCK
+        if len(cell):
+            edges = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+            self.maxima.reshape(-1)[cell[edges]] = np.maximum.reduceat(impact[common], edges)
+        by_doc = np.argsort(doc[common], kind="stable")
+        self.common_row, self.common_impact = rows[common][by_doc].astype(np.int32), impact[common][by_doc]
+        self.common_start = np.searchsorted(doc[common][by_doc], np.arange(count + 1))
         self.doc, self.impact = doc[~common], impact[~common]
         self.start = np.searchsorted(term[~common], np.arange(n_terms + 1))
 
@@ -111,15 +128,23 @@ class Shard:
         frequent = rows >= 0
         rare, rare_weights = terms[~frequent], weights[~frequent]
         begin, size = self.start[rare], self.start[rare + 1] - self.start[rare]
-        total = int(size.sum())
-        at = np.arange(total) + np.repeat(begin - (np.cumsum(size) - size), size)
-        score = np.bincount(self.doc[at], self.impact[at] * np.repeat(rare_weights, size), self.count)
+        at = _ranges(begin, size)
+        score = np.bincount(self.doc[at], self.impact[at] * np.repeat(rare_weights, size), self.count).astype(float)
         rows, common_weights = rows[frequent], weights[frequent]
         bound = common_weights @ self.maxima[rows]
         reach = score + np.repeat(bound, BLOCK)[: self.count]
+        weight_of = np.zeros(len(self.maxima))
+        weight_of[rows] = common_weights
 
         def complete(docs: np.ndarray) -> np.ndarray:
-            return score[docs] + common_weights @ self.impacts[rows[:, None], docs[None, :]]
+            whole = score[docs]
+            for part in range(0, len(docs), 4096):
+                own = docs[part : part + 4096]
+                size = self.common_start[own + 1] - self.common_start[own]
+                at = _ranges(self.common_start[own], size)
+                added = self.common_impact[at] * weight_of[self.common_row[at]]
+                whole[part : part + 4096] += np.bincount(np.repeat(np.arange(len(own)), size), added, len(own))
+            return whole
 
         # The documents with the highest bounds give a score to beat; where theirs is lower, the rest cannot enter.
         tried = min(self.count, 3 * k)
@@ -181,7 +206,7 @@ def _search_block(rows: DataFrame, queries: Queries, k: int) -> DataFrame:
         asked, weight, mean = shared.value
         parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         ids: list[pa.Array] = []
-        size = 0
+        size = memory = 0
 
         def answered() -> Iterator[pa.RecordBatch]:
             starts = np.cumsum([0, *(len(p[2]) for p in parts)])
@@ -214,9 +239,10 @@ def _search_block(rows: DataFrame, queries: Queries, k: int) -> DataFrame:
             parts.append(numbered(texts, asked.vocabulary))
             ids.append(batch.column("doc_id"))
             size += sum(map(len, texts))
-            if size >= SHARD_BYTES:
+            memory += TOKEN_BYTES * len(parts[-1][0]) + DOCUMENT_BYTES * len(texts)
+            if size >= SHARD_BYTES or memory >= SHARD_MEMORY:
                 yield from answered()
-                parts, ids, size = [], [], 0
+                parts, ids, size, memory = [], [], 0, 0
         if parts:
             yield from answered()
 
@@ -235,7 +261,7 @@ def top_k(documents: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
 
     Queries are collected and broadcast in blocks of about QUERY_BYTES of text, and each block is
     answered in two passes over the documents, which are never shuffled. A task holds one shard of
-    SHARD_BYTES of text. What is shuffled is k rows, and ties, by shard and query.
+    SHARD_BYTES of text or SHARD_MEMORY of postings, whichever is reached first. What is shuffled is k rows, and ties, by shard and query.
     """
     rows = texts_of(documents)
     asked = texts_of(queries, "query_id").where("query_id IS NOT NULL").groupBy("query_id").agg(F.min("text").alias("text"))
