@@ -27,7 +27,7 @@ K1, B = 1.2, 0.75
 TERM = re.compile(r"[^\W_]+")
 # Text of a shard, and of the queries that are broadcast at a time, in bytes.
 SHARD_BYTES = 48 << 20
-# Memory of a shard, by which short texts end one earlier, and what its building takes for a token and a document.
+# Memory of a shard, by which many short texts end one earlier, and what its building takes for a token and a document.
 SHARD_MEMORY, TOKEN_BYTES, DOCUMENT_BYTES = 640 << 20, 104, 64
 QUERY_BYTES = 24 << 20
 # Documents of a block; a term in more than this share of a shard's documents is common.
@@ -73,17 +73,14 @@ def numbered(texts: list[str], vocabulary: dict[str, int]) -> tuple[np.ndarray,
     return owner[known], number[known], lengths
 
 
-def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The places begin, begin + 1, ... of each range, one range after the other."""
-    return np.arange(int(size.sum())) + np.repeat(begin - (np.cumsum(size) - size), size)
+def memory_of(held: np.ndarray, tokens: int, docs: int) -> int:
+    """Bytes that a shard takes at most, from how often its texts have each term; the common terms' impacts are dense."""
+    common = np.count_nonzero(held > max(1.0, COMMON * docs))
+    return 8 * common * docs + TOKEN_BYTES * tokens + DOCUMENT_BYTES * docs
 
 
 class Shard:
-    """Inverted index of some documents: postings by term, those of common terms by document, and their block maxima.
-
-    Memory is in proportion to the postings. Only the maxima are dense; a common term is held by over COMMON of the
-    documents, which is one in each block on average, so they are no more than the postings by much.
-    """
+    """Inverted index of some documents: postings by term, and the common terms as rows of impacts; see `memory_of`."""
 
     def __init__(self, owner: np.ndarray, number: np.ndarray, lengths: np.ndarray, n_terms: int, mean_length: float):
         self.count = count = len(lengths)
@@ -116,9 +113,8 @@ class Shard:
         if len(cell):
             edges = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
             self.maxima.reshape(-1)[cell[edges]] = np.maximum.reduceat(impact[common], edges)
-        by_doc = np.argsort(doc[common], kind="stable")
-        self.common_row, self.common_impact = rows[common][by_doc].astype(np.int32), impact[common][by_doc]
-        self.common_start = np.searchsorted(doc[common][by_doc], np.arange(count + 1))
+        self.impacts = np.zeros((len(frequent), count))
+        self.impacts[rows[common], doc[common]] = impact[common]
         self.doc, self.impact = doc[~common], impact[~common]
         self.start = np.searchsorted(term[~common], np.arange(n_terms + 1))
 
@@ -128,23 +124,14 @@ class Shard:
         frequent = rows >= 0
         rare, rare_weights = terms[~frequent], weights[~frequent]
         begin, size = self.start[rare], self.start[rare + 1] - self.start[rare]
-        at = _ranges(begin, size)
+        at = np.arange(int(size.sum())) + np.repeat(begin - (np.cumsum(size) - size), size)
         score = np.bincount(self.doc[at], self.impact[at] * np.repeat(rare_weights, size), self.count).astype(float)
         rows, common_weights = rows[frequent], weights[frequent]
         bound = common_weights @ self.maxima[rows]
         reach = score + np.repeat(bound, BLOCK)[: self.count]
-        weight_of = np.zeros(len(self.maxima))
-        weight_of[rows] = common_weights
 
         def complete(docs: np.ndarray) -> np.ndarray:
-            whole = score[docs]
-            for part in range(0, len(docs), 4096):
-                own = docs[part : part + 4096]
-                size = self.common_start[own + 1] - self.common_start[own]
-                at = _ranges(self.common_start[own], size)
-                added = self.common_impact[at] * weight_of[self.common_row[at]]
-                whole[part : part + 4096] += np.bincount(np.repeat(np.arange(len(own)), size), added, len(own))
-            return whole
+            return score[docs] + common_weights @ self.impacts[rows[:, None], docs[None, :]]
 
         # The documents with the highest bounds give a score to beat; where theirs is lower, the rest cannot enter.
         tried = min(self.count, 3 * k)
@@ -206,7 +193,7 @@ def _search_block(rows: DataFrame, queries: Queries, k: int) -> DataFrame:
         asked, weight, mean = shared.value
         parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         ids: list[pa.Array] = []
-        size = memory = 0
+        size, held = 0, np.zeros(len(asked.vocabulary), np.int64)
 
         def answered() -> Iterator[pa.RecordBatch]:
             starts = np.cumsum([0, *(len(p[2]) for p in parts)])
@@ -239,10 +226,11 @@ def _search_block(rows: DataFrame, queries: Queries, k: int) -> DataFrame:
             parts.append(numbered(texts, asked.vocabulary))
             ids.append(batch.column("doc_id"))
             size += sum(map(len, texts))
-            memory += TOKEN_BYTES * len(parts[-1][0]) + DOCUMENT_BYTES * len(texts)
-            if size >= SHARD_BYTES or memory >= SHARD_MEMORY:
+            held += np.bincount(parts[-1][1], minlength=len(held))
+            if size >= SHARD_BYTES or memory_of(held, int(held.sum()), sum(map(len, ids))) >= SHARD_MEMORY:
                 yield from answered()
-                parts, ids, size, memory = [], [], 0, 0
+                parts, ids, size = [], [], 0
+                held[:] = 0
         if parts:
             yield from answered()
 

@@ -219,9 +219,10 @@ def plain_search(documents, queries, k):
     return sorted(told)
 
 
-@pytest.mark.parametrize("shard_bytes", [1 << 12, 1 << 24])
-def test_search_is_exact(spark, sf_dir, monkeypatch, shard_bytes):
+@pytest.mark.parametrize(("shard_bytes", "memory"), [(1 << 12, 1 << 30), (1 << 24, 1 << 30), (1 << 24, 1 << 10)])
+def test_search_is_exact(spark, sf_dir, monkeypatch, shard_bytes, memory):
     monkeypatch.setattr(search, "SHARD_BYTES", shard_bytes)
+    monkeypatch.setattr(search, "SHARD_MEMORY", memory)
     rows = [(r["doc_id"], r["text"]) for r in registry.table(spark, sf_dir, "documents").collect()]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
     queries = [(i, t) for i, t in rows if i % 25 == 0]
@@ -250,8 +251,8 @@ def test_search_of_odd_documents(spark, odd_documents, clashing):
     assert search.top_k(odd_documents, queries.limit(0)).count() == 0
 
 
-def test_memory_of_a_shard_is_that_of_its_postings():
-    """Short texts of common words: no array of common terms by documents."""
+def test_memory_of_a_shard_is_as_foretold():
+    """Many short texts of common words, the most that common terms can take."""
     import tracemalloc
 
     count, terms = 200_000, 160
@@ -263,7 +264,7 @@ def test_memory_of_a_shard_is_that_of_its_postings():
     place, score = shard.best(np.arange(20), np.ones(20), 10)
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
-    assert (shard.row >= 0).sum() >= 24 and peak < 4 * count * search.TOKEN_BYTES + count * search.DOCUMENT_BYTES
+    assert (shard.row >= 0).sum() >= 24 and peak < search.memory_of(np.bincount(number, minlength=terms), 4 * count, count)
     times = np.bincount(owner * terms + number, minlength=count * terms).reshape(count, terms)[:, :20]
     whole = (times * 2.2 / (times + 1.2)).sum(axis=1)
     least = np.sort(whole)[-10]
