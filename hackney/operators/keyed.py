@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import operator
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,22 +49,30 @@ def families(table: DataFrame) -> dict[str, list[str]]:
 # --- build ---------------------------------------------------------------
 
 
-def wide_rows(frame: DataFrame) -> DataFrame:
-    """One wide row per trip; equal keys are not merged here."""
+def _cell(column: str, kind: str) -> str:
+    if column.endswith("_datetime"):
+        return times.time_text(column)
+    if column == "passenger_count":
+        return truncated_int(column)
+    return f"CAST({column} AS {kind})"
+
 
-    def cell(column: str, kind: str) -> str:
-        if column.endswith("_datetime"):
-            return times.time_text(column)
-        if column == "passenger_count":
-            return truncated_int(column)
-        return f"CAST({column} AS {kind})"
+# Every cell of a wide row by group and name, from the columns of a trip.
+_CELLS = {f"{group}.{name}": _cell(*source) for group, cells in FAMILIES.items() for name, source in cells.items()}
+_TRIP_KEY = trips.row_key("VendorID", "tpep_pickup_datetime", "PULocationID")
 
+
+def _grouped(frame: DataFrame, *others: str) -> DataFrame:
     groups = [
-        f"named_struct({', '.join(f'{name!r}, {cell(*source)}' for name, source in cells.items())}) AS {group}"
+        f"named_struct({', '.join(f'{name!r}, {_CELLS[f"{group}.{name}"]}' for name in cells)}) AS {group}"
         for group, cells in FAMILIES.items()
     ]
-    key = trips.row_key("VendorID", "tpep_pickup_datetime", "PULocationID")
-    return frame.selectExpr(f"{key} AS {KEY}", *groups)
+    return frame.selectExpr(*others, *groups)
+
+
+def wide_rows(frame: DataFrame) -> DataFrame:
+    """One wide row per trip; equal keys are not merged here."""
+    return _grouped(frame, f"{_TRIP_KEY} AS {KEY}")
 
 
 def latest_per_key(frame: DataFrame, key: Sequence[str], sequence: Sequence[str | Column]) -> DataFrame:
@@ -88,14 +96,42 @@ TRIP_SEQUENCE = (
 )
 
 
+Derive = Callable[[DataFrame], DataFrame]
+
+# Rows of a key range or a hash partition, about: what one task sorts then fits its memory.
+RANGE_ROWS = 1_250_000
+
+def _partitions(spark: SparkSession, rows: int) -> list[int]:
+    """The number of partitions that so many rows need; none where the session's own setting makes them as small."""
+    asked = -(-rows // RANGE_ROWS)
+    usual = min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return [asked] if asked > usual else []
+
+
+def _cells_of(sequence: Sequence[str | Column]) -> list[Column] | None:
+    """A sequence of cells, said of the trips themselves; none if it names anything else."""
+    plain = all(isinstance(s, str) and s in _CELLS for s in sequence)
+    return [F.expr(_CELLS[s]) for s in sequence] if plain else None
+
+
 def ingest(frame: DataFrame, sequence: Sequence[str | Column] = TRIP_SEQUENCE) -> DataFrame:
     """Trips as wide rows with one row per key; the last put of a key stays."""
     return latest_per_key(wide_rows(frame), [KEY], sequence)
 
 
-def store_trips(frame: DataFrame, path: str, files: int | None = None) -> None:
-    """Trips stored as a wide table, with one shuffle for the upsert and the layout together."""
-    write_wide(wide_rows(frame), path, files, TRIP_SEQUENCE)
+def store_trips(frame: DataFrame, path: str, files: int | None = None, derive: Derive | None = None, folder_characters: int = 0) -> None:
+    """Trips stored as a wide table, with one shuffle for the upsert and the layout together.
+
+    Trips are shuffled as they are, and become wide rows behind the shuffle; so do the columns that `derive` adds.
+    """
+    ready = derive or (lambda trip: trip)
+    key = F.expr(_TRIP_KEY)
+    folder = _folder_of(key, folder_characters)
+    ranges = _partitions(frame.sparkSession, frame.count()) if files is None else [files]
+    ranged = ready(frame.repartitionByRange(*ranges, folder, key)).withColumns({VENDOR: folder, KEY: key})
+    last = latest_per_key(ranged, [VENDOR, KEY], _cells_of(TRIP_SEQUENCE)).sortWithinPartitions(VENDOR, KEY)
+    _write_sorted(_grouped(last, KEY, VENDOR), path, "static")
+    _note_spans(read_wide(frame.sparkSession, path), path)
 
 
 # Where the key spans of a stored table's files are noted; readers of the table pass over such a name.
@@ -106,19 +142,27 @@ _SPANS = "_spans"
 _SPAN_COLUMNS = f"file string, least string, most string, rows bigint, keyless bigint, {VENDOR} string"
 
 
+def _folder_of(key: Column, characters: int = 0) -> Column:
+    vendor = F.substring_index(key, "_", 1)
+    name = F.left(key, F.length(vendor) + 1 + characters) if characters else vendor
+    return F.concat(F.lit("v"), name)
+
+
 def _with_folder(table: DataFrame, characters: int = 0) -> DataFrame:
-    vendor = F.substring_index(KEY, "_", 1)
-    name = F.left(F.col(KEY), F.length(vendor) + 1 + characters) if characters else vendor
-    return _unstored(table).withColumn(VENDOR, F.concat(F.lit("v"), name))
+    return _unstored(table).withColumn(VENDOR, _folder_of(F.col(KEY), characters))
+
+
+def _write_sorted(table: DataFrame, path: str, mode: str) -> None:
+    """Write sorted rows that know their folder; `dynamic` replaces the folders that get rows and no others."""
+    table.write.mode("overwrite").option("partitionOverwriteMode", mode).option("compression", "zstd").partitionBy(VENDOR).parquet(path)
 
 
 def _write_folders(table: DataFrame, path: str, files: int | None, sequence: Sequence[str | Column], mode: str) -> None:
-    """Write rows that know their folder, in key ranges; `dynamic` replaces the folders that get rows and no others."""
+    """Write rows that know their folder, in key ranges."""
     ranged = table.repartitionByRange(*([] if files is None else [files]), VENDOR, KEY)
     if sequence:
         ranged = latest_per_key(ranged, [VENDOR, KEY], sequence)
-    kept = ranged.sortWithinPartitions(VENDOR, KEY).write.mode("overwrite").option("partitionOverwriteMode", mode)
-    kept.partitionBy(VENDOR).parquet(path)
+    _write_sorted(ranged.sortWithinPartitions(VENDOR, KEY), path, mode)
 
 
 def _note_spans(stored: DataFrame, path: str) -> None:

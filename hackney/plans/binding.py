@@ -152,7 +152,7 @@ def wide_path(spark: SparkSession, sf_dir: str) -> str:
     """The keyed wide table, stored sorted by key for the scans to prune."""
 
     def write(path: str) -> None:
-        keyed.store_trips(featured_trips(spark, sf_dir), path)
+        keyed.store_trips(trips(spark, sf_dir), path, derive=with_features)
 
     return _store(spark, sf_dir, "wide", write)
 
