@@ -21,6 +21,9 @@ from hackney.sources.scratch import scratch_path
 # The cleaning rules' highest total that suits the value range of the test tables.
 MAX_TOTAL = 100.0
 
+# Lines of a text file at most.
+FILE_LINES = 100_000
+
 # Tables written for a session, by application, name and source folder.
 _stored: dict[tuple[str, str, str], str] = {}
 
@@ -181,6 +184,9 @@ def stored_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lines_path(spark: SparkSession, sf_dir: str) -> str:
-    """Text files with the lines; the text jobs read these."""
-    return _store(spark, sf_dir, "lines", lambda path: lines(spark, sf_dir).write.text(path))
+    """Text files with the lines; the text jobs read these.
+
+    They are packed. As a packed file is read by one task, none is long.
+    """
+    return _store(spark, sf_dir, "lines", lambda path: lines(spark, sf_dir).write.options(compression="gzip", maxRecordsPerFile=FILE_LINES).text(path))
 
