@@ -204,6 +204,10 @@ def _in_folders(table: DataFrame, folders: Sequence[str | None]) -> DataFrame:
     return table.where(named | F.col(VENDOR).isNull() if None in folders else named)
 
 
+# What a row is to a change: stored (0), taken away (1) or put (2); rows of a key's highest step stay, those taken away do not.
+_STEP = "_step"
+
+
 def change_stored(
     spark: SparkSession,
     path: str,
@@ -215,8 +219,8 @@ def change_stored(
 ) -> None:
     """Delete keys from a stored table and then put rows, in place; only the folders of those keys are written.
 
-    Semantics are those of `delete_rows` and `put_rows`; puts may come from the table itself. Other folders' files
-    are neither read nor touched. New files are written beside the old ones and take their place when all are done,
+    Semantics are those of `delete_rows` and `put_rows`; puts may come from the table itself. Stored rows, deletes and puts
+    meet in the range shuffle that lays the folders out, so the stored rows move once. Other folders' files are neither read nor touched. New files are written beside the old ones and take their place when all are done,
     so a change whose tasks fail leaves the table as it was; a driver lost during that last step, which only renames,
     may leave some folders changed and others not. One change at a time. A folder that lost all
     its rows keeps an empty file. What goes to the driver are names of folders and files.
@@ -230,13 +234,24 @@ def change_stored(
     changed = gone.select(KEY).where(F.col(KEY).isNotNull())
     if puts is not None:
         changed = changed.unionByName(puts.select(KEY))
-    folders = [r[VENDOR] for r in _with_folder(changed, characters).select(VENDOR).distinct().collect()]
+    touched = {r[VENDOR]: r["count"] for r in _with_folder(changed, characters).groupBy(VENDOR).count().collect()}
+    folders = list(touched)
     if not folders:
         return
-    rows = delete_rows(_in_folders(table, folders), deletes)
-    rows = _unstored(rows) if puts is None else put_rows(rows, puts, sequence)
     before = set(table.inputFiles())
-    _write_folders(_with_folder(rows, characters), path, files, (), "dynamic")
+    noted = _in_folders(_spans_of(spark, path), folders).agg(F.sum(F.col("rows") + F.col("keyless"))).first()[0] or 0
+    stored = _unstored(_in_folders(table, folders))
+    steps = stored.withColumn(_STEP, F.lit(0))
+    away = gone.select(KEY).where(F.col(KEY).isNotNull()).withColumn(_STEP, F.lit(1))
+    steps = steps.unionByName(away, allowMissingColumns=True)
+    if puts is not None:
+        newest = latest_per_key(puts, [KEY], sequence).select(*stored.columns)
+        steps = steps.unionByName(newest.withColumn(_STEP, F.lit(2)))
+    ranges = _partitions(spark, noted + sum(touched.values())) if files is None else [files]
+    ranged = _with_folder(steps, characters).repartitionByRange(*ranges, VENDOR, KEY)
+    place = F.rank().over(W.partitionBy(VENDOR, KEY).orderBy(F.col(_STEP).desc()))
+    last = ranged.withColumn("_place", place).where(((F.col("_place") == 1) & (F.col(_STEP) != 1)) | F.col(KEY).isNull())
+    _write_sorted(last.drop("_place", _STEP).sortWithinPartitions(VENDOR, KEY), path, "dynamic")
 
     after = read_wide(spark, path)
     named = {f"{VENDOR}={'__HIVE_DEFAULT_PARTITION__' if f is None else f}" for f in folders}

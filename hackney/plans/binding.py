@@ -165,10 +165,10 @@ def stored_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def changed_wide_path(spark: SparkSession, sf_dir: str, change: Callable[[DataFrame, str], None]) -> str:
-    """A copy of the keyed wide table in folders of a year each, changed in place."""
+    """The keyed wide table once more, in folders of a year each and changed in place."""
 
     def write(path: str) -> None:
-        keyed.write_wide(stored_wide(spark, sf_dir), path, folder_characters=4)
+        keyed.store_trips(trips(spark, sf_dir), path, derive=with_features, folder_characters=4)
         change(keyed.read_wide(spark, path), path)
 
     return _store(spark, sf_dir, "changed", write)
