@@ -403,11 +403,12 @@ def k_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def k_put_rows(table: DataFrame) -> DataFrame:
     """Card trips are put twice, with a zero tip last, and long ones under a new key too."""
     card = table.where(keyed.cell_filter("trip_info.payment_type", "=", 1))
-    first = keyed.put_cells(card, F.lit(True), "financials", {"tip_amount": 9.0}).withColumn("put", F.lit(1))
-    again = keyed.put_cells(card, F.lit(True), "financials", {"tip_amount": 0.0}).withColumn("put", F.lit(2))
-    far = again.where(keyed.cell_filter("trip_info.trip_distance", ">", 100))
+    twice = card.withColumn("put", F.explode(F.array(F.lit(1), F.lit(2))))
+    tip = F.when(F.col("put") == 1, 9.0).otherwise(0.0)
+    puts = twice.withColumn("financials", F.col("financials").withField("tip_amount", tip))
+    far = puts.where((F.col("put") == 2) & keyed.cell_filter("trip_info.trip_distance", ">", 100))
     fresh = far.withColumn(keyed.KEY, F.concat(F.lit("9_"), keyed.KEY))
-    changes = again.unionByName(first).unionByName(fresh)
+    changes = puts.unionByName(fresh)
     return keyed.project(keyed.put_rows(table, changes, ["put"]), ["financials"])
 
 
