@@ -101,6 +101,10 @@ Derive = Callable[[DataFrame], DataFrame]
 # Rows of a key range or a hash partition, about: what one task sorts then fits its memory.
 RANGE_ROWS = 1_250_000
 
+# Keys are counted by this many hash buckets, to find out whether some have very many rows.
+_BUCKETS = 4096
+
+
 def _partitions(spark: SparkSession, rows: int) -> list[int]:
     """The number of partitions that so many rows need; none where the session's own setting makes them as small."""
     asked = -(-rows // RANGE_ROWS)
@@ -114,9 +118,28 @@ def _cells_of(sequence: Sequence[str | Column]) -> list[Column] | None:
     return [F.expr(_CELLS[s]) for s in sequence] if plain else None
 
 
-def ingest(frame: DataFrame, sequence: Sequence[str | Column] = TRIP_SEQUENCE) -> DataFrame:
-    """Trips as wide rows with one row per key; the last put of a key stays."""
-    return latest_per_key(wide_rows(frame), [KEY], sequence)
+def ingest(frame: DataFrame, sequence: Sequence[str | Column] = TRIP_SEQUENCE, derive: Derive | None = None) -> DataFrame:
+    """Trips as wide rows with one row per key; the last put of a key stays.
+
+    Trips are shuffled as they are, without a sort before, and become wide rows behind the shuffle; so do the columns that
+    `derive` adds. Only keys of buckets with very many rows are reduced to a row per key and task first. One pass counts the buckets.
+    """
+    ready = derive or (lambda trip: trip)
+    order = _cells_of(sequence)
+    if order is None:
+        return latest_per_key(wide_rows(ready(frame)), [KEY], sequence)
+    key = F.expr(_TRIP_KEY)
+    bucket = F.pmod(F.xxhash64(key), F.lit(_BUCKETS))
+    counts = {r["bucket"]: r["count"] for r in frame.groupBy(bucket.alias("bucket")).count().collect()}
+    rows = sum(counts.values())
+    often = [b for b, n in counts.items() if n > max(RANGE_ROWS, 4 * rows // _BUCKETS)]
+
+    def latest(trip: DataFrame) -> DataFrame:
+        return _grouped(latest_per_key(ready(trip).withColumn(KEY, key), [KEY], order), KEY)
+
+    rest = frame.where(~bucket.isin(often)) if often else frame
+    dealt = latest(rest.repartition(*_partitions(frame.sparkSession, rows), key))
+    return dealt.unionByName(latest(frame.where(bucket.isin(often)))) if often else dealt
 
 
 def store_trips(frame: DataFrame, path: str, files: int | None = None, derive: Derive | None = None, folder_characters: int = 0) -> None:

@@ -388,7 +388,7 @@ def _edge_keys(table: DataFrame) -> DataFrame:
 
 @query("k_wide_rows")
 def k_wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keyed.flatten(keyed.ingest(binding.featured_trips(spark, sf_dir)))
+    return keyed.flatten(keyed.ingest(binding.trips(spark, sf_dir), derive=features.with_features))
 
 
 @query("k_upsert_latest")

@@ -34,6 +34,21 @@ def many_puts(spark):
 @pytest.fixture
 def small_ranges(monkeypatch):
     monkeypatch.setattr(keyed, "RANGE_ROWS", 2)
+    monkeypatch.setattr(keyed, "_BUCKETS", 64)
+
+
+def test_trips_are_shuffled_before_they_are_wide(spark, sf_dir):
+    text = plan(keyed.ingest(binding.trips(spark, sf_dir), derive=with_features))
+    assert "Partial" not in text and text.count("Exchange") == 1
+    for late in ("named_struct", "date_format", "Sort ["):
+        assert text.index(late) < text.index("Exchange")
+        assert late not in text[text.index("Exchange") :]
+
+
+def test_keys_with_very_many_rows_are_reduced_first(spark, many_puts, small_ranges):
+    found = keyed.ingest(many_puts)
+    assert "Partial" in plan(found)
+    assert texts(found) == texts(keyed.latest_per_key(keyed.wide_rows(many_puts), [KEY], keyed.TRIP_SEQUENCE))
 
 
 @pytest.mark.parametrize("characters", [0, 4])
