@@ -10,6 +10,7 @@ from collections import Counter
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -271,6 +272,70 @@ def test_memory_of_a_shard_is_as_foretold():
     assert set(shard.original[place[score >= least - 1e-9]]) == set(np.flatnonzero(whole >= least - 1e-9))
 
 
+def test_documents_are_read_once_for_all_queries(spark, tmp_path, monkeypatch):
+    """However many blocks the queries make, their plans read stored slices and no document."""
+    monkeypatch.setattr(search, "QUERY_BYTES", 40)
+    rows = [(i, f"word{i % 7} word{i % 5} all") for i in range(60)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents"))
+    documents = spark.read.parquet(str(tmp_path / "documents"))
+    found = search.top_k(documents, documents.where("doc_id < 12").withColumnRenamed("doc_id", "query_id"), k=3)
+    plan = found._jdf.queryExecution().toString()
+    assert plan.count("MapInArrow") > 4 and "FileScan" not in plan and str(tmp_path) not in plan
+    assert [tuple(r)[:3] for r in sorted(found.collect())] == [e[:3] for e in plain_search(rows, rows[:12], 3)]
+
+
+def test_queries_at_a_time_score_like_one_by_one():
+    """Documents and queries of two languages, so that blocks of one cannot reach the floors of the other."""
+    draw = np.random.default_rng(5)
+    count, half, k = 3000, 40, 10
+    lengths = draw.integers(5, 60, count)
+    owner = np.repeat(np.arange(count), lengths)
+    # Two languages of common terms, and rare terms of both.
+    number = np.where(draw.random(len(owner)) < 0.2, 2 * half + draw.integers(0, 400, len(owner)), draw.integers(0, half, len(owner)) + half * (owner % 2))
+    n_terms, mean = 2 * half + 400, lengths.mean()
+    shard = search.Shard(owner, number, lengths, n_terms, mean)
+    assert (shard.row >= 0).sum() >= 2 * half and (shard.row[2 * half :] < 0).any()
+    asked = [np.unique(np.concatenate([draw.integers(0, half, 12) + half * (q % 2), 2 * half + draw.integers(0, 400, 9)])) for q in range(50)]
+    asked[7] = asked[7][:0]
+    weights = [draw.random(len(t)) * 30 for t in asked]
+    times = np.bincount(owner * n_terms + number, minlength=count * n_terms).reshape(count, n_terms)
+    impacts = times * 2.2 / (times + 1.2 * (0.25 + 0.75 * lengths / mean)[:, None])
+    bounds = np.cumsum([0, *map(len, asked)])
+    floor = np.array([np.sort(impacts[:, t] @ w)[-k] for t, w in zip(asked, weights)])
+    for floors in (np.zeros(50), floor - 1e-7, np.where(np.arange(50) % 3, floor, 0.0)):
+        whose, place, score = shard.best_of(bounds, np.concatenate(asked), np.concatenate(weights), k, floors)
+        for q, (t, w) in enumerate(zip(asked, weights)):
+            whole, mine = impacts[:, t] @ w, shard.original[place[whose == q]]
+            assert score[whose == q] == pytest.approx(whole[mine], abs=1e-9)
+            assert set(np.flatnonzero((whole >= floor[q]) & (whole > 0))) <= set(mine) and len(mine) < 3 * k
+    pruned = shard.best_of(bounds[:2], asked[0], weights[0], k, np.array([1e9]))
+    assert all(len(x) == 0 for x in pruned)
+
+
+@pytest.mark.parametrize("by_id", [True, False])
+def test_the_best_so_far(by_id):
+    best = search.Best(2, 2, by_id)
+    best.add(np.array([0, 0, 1]), pa.array([5, None, 9]), np.array([1.0, 1.0, 3.0]))
+    best.add(np.array([1, 0, 0]), pa.array([8, 4, 3]), np.array([4.0, 1.0, 0.5]))
+    best.add(np.array([1]), pa.array([7]), np.array([5.0]))
+    found = sorted(zip(best.whose.tolist(), best.score.tolist(), best.ids.to_pylist()), key=repr)
+    ties = [] if by_id else [(0, 1.0, None)]
+    assert found == [(0, 1.0, 4), (0, 1.0, 5), *ties, (1, 4.0, 8), (1, 5.0, 7)] and best.floor.tolist() == [1.0, 4.0]
+
+
+def test_terms_by_bytes():
+    """Terms cut by bytes are those of the pattern, also where other characters than ASCII stand between them."""
+    draw = random.Random(4)
+    texts = ["", " ", "_a_b_", "İstanbul ΣΑΣ ß²", "日本、語", "a\u2019b\u00a0c\u2003d", "x\u0302y"]
+    texts += ["".join(draw.choices("aB9_ .-\n\t\x1c\x85 \u00a0éßİΣ日²½ⅷ\u0301\u200b–𝒳٣", k=draw.randint(0, 30))) for _ in range(500)]
+    told = search.packed(pa.array(range(len(texts))), texts, 1)
+    terms = sorted({t for text in texts for t in search.terms_of(text)})
+    (part,) = search.unpacked([told], pa.array(terms[::2], pa.string()))
+    assert part.lengths.tolist() == [len(search.terms_of(t)) for t in texts]
+    held = [(i, terms.index(t) // 2, n) for i, text in enumerate(texts) for t, n in Counter(search.terms_of(text)).items() if t in terms[::2]]
+    assert sorted(zip(part.owner.tolist(), part.number.tolist(), part.times.tolist())) == sorted(held)
+
+
 # --- the pipeline
 
 
